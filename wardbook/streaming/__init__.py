@@ -1,0 +1,5 @@
+"""Intentionally empty: every source is a finished export, so nothing here is a stream.
+
+The nearest thing to streaming, loading only months that are new or corrected, is the
+batch operator ``wardbook.operators.incremental``.
+"""
