@@ -230,6 +230,15 @@ def test_gates(spark, tmp_path):
     assert [e.exit_code for e in (JobStopped, QuarantineRateExceeded, EmptyFact, ContractViolation)] == [1, 2, 3, 4]
 
 
+def test_text_of_corrupt_documents_reaches_quarantine(spark, tmp_path):
+    data = write_exports(tmp_path / "data", data_values(MONTHS[:1]))
+    with open(f"{data}/data_values.json", "a") as f:
+        f.write("\n{broken\n")
+    assert run(spark, data, str(tmp_path / "out"), JobOptions(keep_corrupt=True))
+    malformed = spark.read.parquet(f"{tmp_path}/out/quarantine/malformed_data_values").collect()
+    assert [r["_corrupt_record"] for r in malformed] == ["{broken"]
+
+
 def test_work_tables_go_to_the_checkpoint_folder(spark, full_run):
     root = spark.conf.get("spark.checkpoint.dir")
     assert glob.glob(f"{root}/wardbook-*/clean/*.parquet")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from wardbook.operators.validity import (
 from wardbook.plans import facility
 from wardbook.sources import exports as ex
 from wardbook.sources.tables import (
-    Workspace, exists, write_csv, write_json, write_parquet, write_partitioned,
+    Workspace, exists, side_by_side, write_csv, write_json, write_parquet, write_partitioned,
 )
 
 
@@ -34,6 +35,7 @@ class JobOptions:
     reference_metadata: str | None = None
     multi_line: bool = False
     data_values_as_lines: bool = False
+    keep_corrupt: bool = False
     strict_periods: bool = False
     max_quarantine_rate: float = MAX_QUARANTINE_RATE
     contract: tuple[ColumnSpec, ...] = tuple(facility.FACT_CONTRACT)
@@ -58,12 +60,15 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     warehouse, dq = f"{out_dir}/warehouse", f"{out_dir}/dq"
     fact_path = f"{warehouse}/fact_service_delivery"
 
-    exports = ex.load_exports(spark, data_dir, options.multi_line, options.data_values_as_lines)
+    exports = ex.load_exports(
+        spark, data_dir, options.multi_line, options.data_values_as_lines, options.keep_corrupt
+    )
     landed = work.keep(
         facility.flag_valid(ex.flatten_data_values(exports["data_values"]), options.strict_periods),
         "observations",
     )
     valid, malformed = split_valid(landed)
+    valid = valid.drop(ex.CORRUPT)
 
     extends = options.incremental and exists(spark, fact_path)
     if extends:
@@ -79,9 +84,6 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     enforce_rate(validity_summary(landed), options.max_quarantine_rate)
 
     lookups = _lookups(work, exports)
-    _report_drift(spark, lookups.indicators, f"{warehouse}/metadata_snapshot", dq, options)
-    _report_unresolved(valid, lookups, dq)
-
     enriched = work.keep(
         facility.enrich(
             valid, lookups.indicators, lookups.category_options, lookups.hierarchy, lookups.bridge
@@ -90,12 +92,13 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     )
     scores = work.keep(facility.completeness(enriched, lookups.bridge), "completeness")
     clean = work.keep(facility.attach_completeness(enriched, scores), "clean")
-    for flag, name in (
-        ("is_late_reported", "late_reported"),
-        ("is_missing_value", "missing_values"),
-        ("is_explicit_zero", "explicit_zeros"),
-    ):
-        write_parquet(clean.filter(F.col(flag)), f"{dq}/{name}")
+    side_by_side(
+        lambda: _report_drift(spark, lookups.indicators, f"{warehouse}/metadata_snapshot", dq, options),
+        *_unresolved_reports(valid, lookups, dq),
+        lambda: write_parquet(clean.filter("is_late_reported"), f"{dq}/late_reported"),
+        lambda: write_parquet(clean.filter("is_missing_value"), f"{dq}/missing_values"),
+        lambda: write_parquet(clean.filter("is_explicit_zero"), f"{dq}/explicit_zeros"),
+    )
 
     fact = facility.fact_service_delivery(clean)
     if fact.isEmpty():
@@ -107,46 +110,42 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     )
 
     whole_fact = facility.read_fact(spark, fact_path)
-    write_parquet(unique_lookup(lookups.indicators, ["data_element_uid"]), f"{warehouse}/dim_data_element")
-    write_parquet(unique_lookup(lookups.hierarchy, ["org_unit_uid"]), f"{warehouse}/dim_org_unit")
-    write_parquet(period_dimension(whole_fact, "year_month"), f"{warehouse}/dim_period")
-    write_parquet(unique_lookup(lookups.programs, ["program_uid"]), f"{warehouse}/dim_program")
-
-    write_analytics(whole_fact, f"{out_dir}/analytics")
-    write_cross_country(
-        whole_fact, work.keep(facility.completeness_comparison(whole_fact), "mean_scores"),
-        f"{out_dir}/cross_country",
-    )
-    write_parquet(lookups.indicators, f"{warehouse}/metadata_snapshot")
-    write_csv(
-        dq_summary({
-            "flattened_data_values": landed,
-            "malformed_data_values": malformed,
-            "processed_data_values": valid,
-            "enriched_data_values": clean,
-            "fact_service_delivery": whole_fact,
-        }),
-        f"{dq}/summary",
+    mean_scores = work.keep(facility.completeness_comparison(whole_fact), "mean_scores")
+    side_by_side(
+        *_dimensions(whole_fact, lookups, warehouse),
+        *_analytics(whole_fact, f"{out_dir}/analytics"),
+        *_cross_country(whole_fact, mean_scores, f"{out_dir}/cross_country"),
+        lambda: write_parquet(lookups.indicators, f"{warehouse}/metadata_snapshot"),
+        lambda: write_csv(
+            dq_summary({
+                "flattened_data_values": landed,
+                "malformed_data_values": malformed,
+                "processed_data_values": valid,
+                "enriched_data_values": clean,
+                "fact_service_delivery": whole_fact,
+            }),
+            f"{dq}/summary",
+        ),
     )
     return True
 
 
 def _lookups(work: Workspace, exports: dict[str, DataFrame]) -> Lookups:
     """Lookups with one row per key, written so that Spark knows their size when it plans joins."""
+    programs = ex.flatten_programs(exports["programs"]).filter(F.col("program_uid").isNotNull())
     org_units = ex.known(ex.flatten_org_units(exports["org_units"]), "org_unit_uid")
-    programs = work.keep(
-        ex.flatten_programs(exports["programs"]).filter(F.col("program_uid").isNotNull()), "programs"
-    )
-    return Lookups(
-        work.keep(ex.known(ex.flatten_indicators(exports["metadata"]), "data_element_uid"), "indicators"),
-        work.keep(
+    return Lookups(*side_by_side(
+        lambda: work.keep(
+            ex.known(ex.flatten_indicators(exports["metadata"]), "data_element_uid"), "indicators"
+        ),
+        lambda: work.keep(
             ex.known(ex.flatten_category_options(exports["metadata"]), "category_option_combo_uid"),
             "category_options",
         ),
-        work.keep(facility.facility_hierarchy(org_units), "hierarchy"),
-        programs,
-        work.keep(ex.program_indicators(programs).distinct(), "program_indicators"),
-    )
+        lambda: work.keep(facility.facility_hierarchy(org_units), "hierarchy"),
+        lambda: work.keep(programs, "programs"),
+        lambda: work.keep(ex.program_indicators(programs).distinct(), "program_indicators"),
+    ))
 
 
 def _report_drift(
@@ -167,36 +166,61 @@ def _report_drift(
     write_json(drift_totals(drift), f"{dq}/metadata_drift_totals")
 
 
-def _report_unresolved(valid: DataFrame, lookups: Lookups, dq: str) -> None:
-    reports = {
-        "unresolved_data_elements": unresolved(valid, lookups.indicators, ["data_element_uid"]),
-        "unresolved_category_option_combos": unresolved(
-            valid, lookups.category_options, ["category_option_combo_uid"]
+def _unresolved_reports(valid: DataFrame, lookups: Lookups, dq: str) -> list[Callable[[], None]]:
+    return [
+        lambda: write_parquet(
+            unresolved(valid, lookups.indicators, ["data_element_uid"]), f"{dq}/unresolved_data_elements"
         ),
-        "unresolved_org_units": facility.resolve_metadata(
-            unresolved(valid, lookups.hierarchy, ["org_unit_uid"]),
-            lookups.indicators, lookups.category_options,
+        lambda: write_parquet(
+            unresolved(valid, lookups.category_options, ["category_option_combo_uid"]),
+            f"{dq}/unresolved_category_option_combos",
         ),
-        "ambiguous_program_indicators": ambiguous_keys(
-            lookups.bridge, ["data_element_uid", "program_country", "program_health_area"]
+        lambda: write_parquet(
+            facility.resolve_metadata(
+                unresolved(valid, lookups.hierarchy, ["org_unit_uid"]),
+                lookups.indicators, lookups.category_options,
+            ),
+            f"{dq}/unresolved_org_units",
         ),
-    }
-    for name, df in reports.items():
-        write_parquet(df, f"{dq}/{name}")
-
-
-def write_analytics(fact: DataFrame, folder: str) -> None:
-    write_csv(facility.month_over_month_change(fact), f"{folder}/month_over_month_change")
-    write_csv(facility.rolling_three_month_average(fact), f"{folder}/rolling_3_month_average")
-    write_csv(facility.country_reporting_rate(fact), f"{folder}/country_reporting_rate")
-    write_csv(facility.top_underreporting_facilities(fact), f"{folder}/top_underreporting_facilities")
-    write_csv(facility.anomalies(fact), f"{folder}/anomalies")
+        lambda: write_parquet(
+            ambiguous_keys(lookups.bridge, ["data_element_uid", "program_country", "program_health_area"]),
+            f"{dq}/ambiguous_program_indicators",
+        ),
+    ]
+
+
+def _dimensions(fact: DataFrame, lookups: Lookups, folder: str) -> list[Callable[[], None]]:
+    """Indicators and facilities are unique already; a program may come more than once."""
+    return [
+        lambda: write_parquet(lookups.indicators, f"{folder}/dim_data_element"),
+        lambda: write_parquet(lookups.hierarchy, f"{folder}/dim_org_unit"),
+        lambda: write_parquet(period_dimension(fact, "year_month"), f"{folder}/dim_period"),
+        lambda: write_parquet(unique_lookup(lookups.programs, ["program_uid"]), f"{folder}/dim_program"),
+    ]
+
+
+def _analytics(fact: DataFrame, folder: str) -> list[Callable[[], None]]:
+    return [
+        lambda: write_csv(facility.month_over_month_change(fact), f"{folder}/month_over_month_change"),
+        lambda: write_csv(facility.rolling_three_month_average(fact), f"{folder}/rolling_3_month_average"),
+        lambda: write_csv(facility.country_reporting_rate(fact), f"{folder}/country_reporting_rate"),
+        lambda: write_csv(
+            facility.top_underreporting_facilities(fact), f"{folder}/top_underreporting_facilities"
+        ),
+        lambda: write_csv(facility.anomalies(fact), f"{folder}/anomalies"),
+    ]
 
 
-def write_cross_country(fact: DataFrame, mean_scores: DataFrame, folder: str) -> None:
-    write_csv(facility.global_volumes_by_quarter(fact), f"{folder}/global_volumes_by_quarter")
-    write_csv(
-        mean_scores.orderBy("country_name", "health_area", "period"), f"{folder}/completeness_comparison"
-    )
-    write_csv(facility.data_element_coverage_matrix(fact), f"{folder}/data_element_coverage_matrix")
-    write_csv(facility.low_completeness_flags(mean_scores), f"{folder}/low_completeness_flags")
+def _cross_country(
+    fact: DataFrame, mean_scores: DataFrame, folder: str
+) -> list[Callable[[], None]]:
+    return [
+        lambda: write_csv(facility.global_volumes_by_quarter(fact), f"{folder}/global_volumes_by_quarter"),
+        lambda: write_csv(
+            mean_scores.orderBy("country_name", "health_area", "period"), f"{folder}/completeness_comparison"
+        ),
+        lambda: write_csv(
+            facility.data_element_coverage_matrix(fact), f"{folder}/data_element_coverage_matrix"
+        ),
+        lambda: write_csv(facility.low_completeness_flags(mean_scores), f"{folder}/low_completeness_flags"),
+    ]

@@ -84,11 +84,18 @@ def read_data_value_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_exports(
-    spark: SparkSession, data_dir: str, multi_line: bool = False, data_values_as_lines: bool = False
+    spark: SparkSession,
+    data_dir: str,
+    multi_line: bool = False,
+    data_values_as_lines: bool = False,
+    keep_corrupt: bool = False,
 ) -> dict[str, DataFrame]:
-    """The four exports of a data folder by name."""
+    """The four exports of a data folder by name; ``keep_corrupt`` concerns data-value documents."""
     exports = {
-        name: read_documents(spark, f"{data_dir}/{file}", DOCUMENTS[name], multi_line)
+        name: read_documents(
+            spark, f"{data_dir}/{file}", DOCUMENTS[name], multi_line,
+            keep_corrupt=keep_corrupt and name == "data_values",
+        )
         for name, file in FILES.items()
     }
     if data_values_as_lines:
@@ -97,7 +104,10 @@ def load_exports(
 
 
 def flatten_data_values(documents: DataFrame) -> DataFrame:
-    """One row per observation. Timestamps that do not parse are null."""
+    """One row per observation. Timestamps that do not parse are null.
+
+    The text of documents that do not parse stays, if it was read.
+    """
     return explode_records(documents, "dataValues", {
         "data_element_uid": "record.dataElement",
         "period": "record.period",
@@ -109,7 +119,7 @@ def flatten_data_values(documents: DataFrame) -> DataFrame:
         "created_at": F.try_to_timestamp(F.col("record.created")),
         "last_updated_at": F.try_to_timestamp(F.col("record.lastUpdated")),
         "followup": "record.followup",
-    })
+    }, keep=[c for c in documents.columns if c == CORRUPT])
 
 
 def flatten_indicators(metadata: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def side_by_side(*steps: Callable, at_once: int = 8) -> list:
+    """Results of independent steps whose Spark jobs may overlap; the first failure is raised.
+
+    The last tasks of one job then leave no executor idle while another has work.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(s)) for s in steps]]
+
+
 class Workspace:
     """Intermediate tables of one run, written to shared storage and read back.
 
