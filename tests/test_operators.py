@@ -195,6 +195,10 @@ def test_mean_score_weighs_rows_or_units(spark):
     df = spark.createDataFrame([("X", "u1", 1.0)] * 3 + [("X", "u2", 0.0)], "area string, unit string, completeness_score double")
     assert scoring.mean_score(df, ["area"]).first()[1] == 0.75
     assert scoring.mean_score(df, ["area"], unit=["unit"]).first()[1] == 0.5
+    counted = df.withColumn("completeness_score", F.nullif("completeness_score", F.lit(7.0))).groupBy(
+        "area", "unit", "completeness_score").count().unionByName(
+        spark.createDataFrame([("X", "u3", None, 9), ("Y", "u4", None, 9)], "area string, unit string, completeness_score double, count long"))
+    assert [tuple(r) for r in scoring.mean_score(counted, ["area"], weight="count").collect()] == [("X", 0.75), ("Y", None)]
 
 
 # Trends
@@ -307,6 +311,7 @@ def test_coverage_matrix_with_null_row_and_column(spark):
 def test_drift_dedupes_and_finds_nothing_against_itself(spark):
     a = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", None)], "id string, name string")
     assert snapshot_drift(a, a, "id", "name").isEmpty()
+    assert snapshot_drift(a, a.unionByName(spark.createDataFrame([(None, "z")], a.schema)), "id", "name").isEmpty()
     b = spark.createDataFrame([("1", "b"), ("2", "x"), ("3", "c")], "id string, name string")
     drift = snapshot_drift(b, a, "id", "name")
     assert rows(drift, "id", "change", "old_name", "new_name") == [("2", "renamed", None, "x"), ("3", "added", None, "c")]

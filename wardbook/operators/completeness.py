@@ -61,12 +61,19 @@ def mean_score(
     score: str = "completeness_score",
     mean: str = "avg_completeness_score",
     unit: Sequence[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Mean score per group, sorted by it.
 
-    By default each row weighs the same, so units with many rows weigh more. Naming the
-    ``unit`` columns lets each unit weigh the same instead.
+    By default each row weighs the same, so units with many rows weigh more; ``weight`` names
+    a column of row counts where rows were counted before. Naming the ``unit`` columns lets
+    each unit weigh the same instead.
     """
     if unit is not None:
         df = df.groupBy(*dict.fromkeys([*by, *unit])).agg(F.max(score).alias(score))
-    return df.groupBy(*by).agg(F.avg(score).alias(mean)).orderBy(*by)
+    if weight is None:
+        average = F.avg(score)
+    else:
+        weights = F.sum(F.when(F.col(score).isNotNull(), F.col(weight)))
+        average = F.sum(F.col(score) * F.col(weight)) / F.nullif(weights, F.lit(0))
+    return df.groupBy(*by).agg(average.alias(mean)).orderBy(*by)

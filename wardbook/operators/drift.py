@@ -18,17 +18,20 @@ def snapshot_drift(
     """``id``, ``change``, ``old_name`` and ``new_name`` of each id that differs.
 
     An id listed more than once counts once, by the greatest of ``order`` and then of the
-    name. Only names are compared; a name that was or became null counts as changed.
+    name. Only names are compared; a name that was or became null counts as changed. Entries
+    without an id are nobody's and are left out. Both sides come out of their deduplication
+    partitioned by id, and the join needs no further shuffle.
     """
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        one = latest_by(df.select(key, name, *order), [key], order)
+        narrow = df.filter(F.col(key).isNotNull()).select(key, name, *order)
+        one = latest_by(narrow, [key], order)
         return one.select(
             F.col(key).alias(f"{prefix}_id"), F.col(name).alias(f"{prefix}_name"),
             F.lit(True).alias(f"in_{prefix}"),
         )
 
     old, new = side(reference, "old"), side(current, "new")
-    both = new.join(old, F.col("new_id").eqNullSafe(F.col("old_id")), "full_outer")
+    both = new.join(old, F.col("new_id") == F.col("old_id"), "full_outer")
     change = (
         F.when(F.col("in_old").isNull(), F.lit("added"))
         .when(F.col("in_new").isNull(), F.lit("removed"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardbook.functions.sizing import broadcast_if_small
+
 
 def new_periods_only(
     df: DataFrame,
@@ -17,17 +19,19 @@ def new_periods_only(
     """Rows whose period is not among the loaded ones; rows without a period are left out.
 
     With ``reprocess_corrected`` a loaded period comes back whole, all its rows, if any of
-    them was updated after everything loaded for that period. Loaded periods are folded to
-    one row each first, a table small enough for Spark to broadcast by itself.
+    them was updated after everything loaded for that period. The periods to skip are folded
+    to one row each, counted, and broadcast if they are as few as expected, which spares
+    ``df`` a shuffle by a column with few values.
     """
     df = df.filter(F.col(period).isNotNull())
-    known = loaded.select(F.col(loaded_period).alias(period), *([updated] if reprocess_corrected else []))
-    if not reprocess_corrected:
-        return df.join(known.distinct(), period, "left_anti")
-    last_loaded = known.groupBy(period).agg(F.max(updated).alias("__loaded"))
-    unchanged = (
-        df.groupBy(period).agg(F.max(updated).alias("__offered"))
-        .join(last_loaded, period)
-        .filter(F.col("__offered").isNull() | (F.col("__offered") <= F.col("__loaded")))
-    )
-    return df.join(unchanged.select(period), period, "left_anti")
+    if reprocess_corrected:
+        last_loaded = loaded.groupBy(F.col(loaded_period).alias(period)).agg(F.max(updated).alias("__loaded"))
+        skipped = (
+            df.groupBy(period).agg(F.max(updated).alias("__offered"))
+            .join(last_loaded, period)
+            .filter(F.col("__offered").isNull() | (F.col("__offered") <= F.col("__loaded")))
+            .select(period)
+        )
+    else:
+        skipped = loaded.select(F.col(loaded_period).alias(period)).distinct()
+    return df.join(broadcast_if_small(skipped), period, "left_anti")

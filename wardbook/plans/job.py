@@ -93,6 +93,7 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     scores = work.keep(facility.completeness(enriched, lookups.bridge), "completeness")
     clean = work.keep(facility.attach_completeness(enriched, scores), "clean")
     side_by_side(
+        spark,
         lambda: _report_drift(spark, lookups.indicators, f"{warehouse}/metadata_snapshot", dq, options),
         *_unresolved_reports(valid, lookups, dq),
         lambda: write_parquet(clean.filter("is_late_reported"), f"{dq}/late_reported"),
@@ -112,6 +113,7 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     whole_fact = facility.read_fact(spark, fact_path)
     mean_scores = work.keep(facility.completeness_comparison(whole_fact), "mean_scores")
     side_by_side(
+        spark,
         *_dimensions(whole_fact, lookups, warehouse),
         *_analytics(whole_fact, f"{out_dir}/analytics"),
         *_cross_country(whole_fact, mean_scores, f"{out_dir}/cross_country"),
@@ -135,6 +137,7 @@ def _lookups(work: Workspace, exports: dict[str, DataFrame]) -> Lookups:
     programs = ex.flatten_programs(exports["programs"]).filter(F.col("program_uid").isNotNull())
     org_units = ex.known(ex.flatten_org_units(exports["org_units"]), "org_unit_uid")
     return Lookups(*side_by_side(
+        work.spark,
         lambda: work.keep(
             ex.known(ex.flatten_indicators(exports["metadata"]), "data_element_uid"), "indicators"
         ),

@@ -54,13 +54,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def side_by_side(*steps: Callable, at_once: int = 8) -> list:
+def side_by_side(spark: SparkSession, *steps: Callable, at_once: int = 8) -> list:
     """Results of independent steps whose Spark jobs may overlap; the first failure is raised.
 
     The last tasks of one job then leave no executor idle while another has work.
     """
     with ThreadPoolExecutor(at_once) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(s)) for s in steps]]
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(s)) for s in steps]]
 
 
 class Workspace:
