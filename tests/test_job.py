@@ -142,6 +142,19 @@ def test_analytics_files(full_run):
     assert float(streaks[0]["avg_streak_completeness"]) == 0.5
 
 
+def test_volumes_of_additive_indicators_only(spark, full_run):
+    fact = read_fact(spark, full_run[1])
+    indicators = spark.createDataFrame([("deCases", "SUM"), ("dePosit", "AVERAGE")], "data_element_uid string, aggregation_type string")
+    got = {(r[0], r[1]): r[2] for r in facility.global_volumes_by_quarter(fact, indicators).collect()}
+    want = {}
+    for (element, *_), r in expected_fact(full_run[0]).items():
+        key = (r["health_area"], r["quarter"])
+        want.setdefault(key, None)
+        if element == "deCases" and r["numeric_value"] is not None:
+            want[key] = (want[key] or 0) + r["numeric_value"]
+    assert got == want
+
+
 def test_stage_counts(full_run):
     rows, out, _ = full_run
     counts = {r["stage"]: int(r["rows"]) for r in read_csv(f"{out}/dq/summary")}
@@ -230,6 +243,23 @@ def test_gates(spark, tmp_path):
     assert [e.exit_code for e in (JobStopped, QuarantineRateExceeded, EmptyFact, ContractViolation)] == [1, 2, 3, 4]
 
 
+def test_command_line_exits_with_the_gate_code(spark, tmp_path, capsys, monkeypatch):
+    import wardbook.__main__ as cli
+    monkeypatch.setattr(cli, "run", lambda *args: seen.append(args) or True)
+    seen = []
+    arguments = ["--data-dir", "d", "--output-dir", "o"]
+    assert cli.main(arguments) == 0
+    assert cli.main([*arguments, "--incremental", "--reference-metadata", "m.json", "--multi-line"]) == 0
+    assert [a[1:] for a in seen] == [
+        ("d", "o", JobOptions()),
+        ("d", "o", JobOptions(incremental=True, reference_metadata="m.json", multi_line=True))]
+    monkeypatch.setattr(cli, "run", run)
+    row = data_values(MONTHS[:1])[0]
+    data = write_exports(tmp_path / "data", [{**row, "period": "x"}])
+    assert cli.main(["--data-dir", data, "--output-dir", str(tmp_path / "out")]) == 2
+    assert "QuarantineRateExceeded: 1 of 1 rows" in capsys.readouterr().err
+
+
 def test_text_of_corrupt_documents_reaches_quarantine(spark, tmp_path):
     data = write_exports(tmp_path / "data", data_values(MONTHS[:1]))
     with open(f"{data}/data_values.json", "a") as f:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from wardbook.functions.columns import join_null_safe
 from wardbook.functions.periods import PERIOD_COLUMNS, is_period, period_dimension, with_period_columns
-from wardbook.functions.sizing import broadcast_if_small
 from wardbook.functions.values import with_quality_flags, with_typed_values
 from wardbook.operators import completeness as scoring
 from wardbook.operators import crossview, facilities, trends
@@ -327,17 +326,6 @@ def test_new_periods(spark):
         ("202402", 1), ("202402", 9), ("202403", None)]
 
 
-# Sizing
-
-
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-    def plan(d):
-        return d._jdf.queryExecution().toString()
-    assert "broadcast" in plan(broadcast_if_small(df, 10))
-    assert "broadcast" not in plan(broadcast_if_small(df, 9))
-
-
 def test_periods_reject_trailing_text(spark):
     df = spark.createDataFrame([("202401x",), ("x202401",), ("２０２４０１",)], "p string")
     assert df.filter(is_period(F.col("p"))).isEmpty()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """Hint a broadcast only if a count proves ``df`` has at most ``max_rows`` rows.
 
     Meant for narrow tables of fixed-width columns, where a row bound is a byte bound.

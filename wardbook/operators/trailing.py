@@ -19,7 +19,8 @@ class HotKeySplit:
     ``bin`` is an expression that never falls as the window order rises, such as the minute
     of the ordering timestamp. Rows of one bin stay together; a chunk is a run of bins with
     about ``rows_per_chunk`` rows. Bins should be fine enough to fit a task, coarse enough
-    that bins per key stay far below rows per key.
+    that bins per key stay far below rows per key. Where one value of the first order column
+    is itself too frequent, a struct that goes on with the next column makes finer bins.
     """
 
     bin: Column

@@ -17,11 +17,13 @@ from wardbook.operators.star import project_fact, restore_unknown
 from wardbook.operators.validity import with_validity
 from wardbook.sources.tables import read_typed
 
-# Levels of the organisation tree, the key of an observation, the fact's
-# columns with their contract types, and the output columns of the anomaly table.
+# Levels of the organisation tree, the key of an observation, the aggregation
+# type of values that add up, the fact's columns with their contract types, and the output
+# columns of the anomaly table.
 LEAF_LEVEL = 4
 LEVEL_NAMES = {1: "country_name", 2: "region_name", 3: "district_name"}
 OBSERVATION_KEY = ["data_element_uid", "period", "org_unit_uid", "category_option_combo_uid"]
+ADDITIVE_TYPE = "SUM"
 FACT_PARTITIONS = ["health_area", "year_month"]
 FACT_CONTRACT = [
     ColumnSpec("data_element_uid", "string", nullable=False),
@@ -178,8 +180,15 @@ def anomalies(fact: DataFrame, exclude_current: bool = False) -> DataFrame:
     ).select(*ANOMALY_COLUMNS)
 
 
-def global_volumes_by_quarter(fact: DataFrame) -> DataFrame:
-    return crossview.volumes(fact, ["health_area", "quarter"])
+def global_volumes_by_quarter(fact: DataFrame, indicators: DataFrame | None = None) -> DataFrame:
+    """Sums of all values or, given the indicators, of those whose aggregation type is a sum."""
+    if indicators is None:
+        return crossview.volumes(fact, ["health_area", "quarter"])
+    kinds = indicators.select("data_element_uid", "aggregation_type")
+    return crossview.volumes(
+        resolve(fact, kinds, ["data_element_uid"]), ["health_area", "quarter"],
+        additive=F.col("aggregation_type") == ADDITIVE_TYPE,
+    )
 
 
 def completeness_comparison(fact: DataFrame, equal_facilities: bool = False) -> DataFrame:
