@@ -120,15 +120,32 @@ def enrich(
     return resolve(typed, programs, ["data_element_uid", "country_name", "health_area"])
 
 
-def completeness(enriched: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Score per country, area, facility and period: resolved indicators over expected ones."""
+def name_reports(observations: DataFrame, indicators: DataFrame, hierarchy: DataFrame) -> DataFrame:
+    """Who reported what when, with the names that completeness groups by.
+
+    Duplicates may stay: they do not change which indicators a facility reported. So scores
+    come straight from a few columns of the observations.
+    """
+    named = resolve(
+        observations.select("data_element_uid", "org_unit_uid", "period"),
+        indicators.select("data_element_uid", "data_element_name", "health_area"),
+        ["data_element_uid"],
+    )
+    return resolve(named, hierarchy.select("org_unit_uid", "country_name"), ["org_unit_uid"])
+
+
+def completeness(named: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Score per country, area, facility and period: resolved indicators over expected ones.
+
+    ``named`` are enriched rows, or those of ``name_reports``.
+    """
     group = ["country_name", "health_area"]
     expected = scoring.expected_counts(
         bridge.withColumnsRenamed({"program_country": "country_name", "program_health_area": "health_area"}),
         group, "data_element_uid",
     )
     reported = scoring.reported_counts(
-        enriched, [*group, "org_unit_uid", "period"], "data_element_uid", resolved="data_element_name"
+        named, [*group, "org_unit_uid", "period"], "data_element_uid", resolved="data_element_name"
     )
     return scoring.completeness(reported, expected, group)
 

@@ -84,17 +84,20 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     enforce_rate(validity_summary(landed), options.max_quarantine_rate)
 
     lookups = _lookups(work, exports)
-    enriched = work.keep(
-        facility.enrich(
-            valid, lookups.indicators, lookups.category_options, lookups.hierarchy, lookups.bridge
+    scores = work.keep(
+        facility.completeness(
+            facility.name_reports(valid, lookups.indicators, lookups.hierarchy), lookups.bridge
         ),
-        "enriched",
+        "completeness",
+    )
+    enriched = facility.enrich(
+        valid, lookups.indicators, lookups.category_options, lookups.hierarchy, lookups.bridge
     )
-    scores = work.keep(facility.completeness(enriched, lookups.bridge), "completeness")
     clean = work.keep(facility.attach_completeness(enriched, scores), "clean")
+    snapshot = f"{warehouse}/metadata_snapshot"
     side_by_side(
         spark,
-        lambda: _report_drift(spark, lookups.indicators, f"{warehouse}/metadata_snapshot", dq, options),
+        lambda: _report_drift(spark, lookups.indicators, snapshot, dq, options),
         *_unresolved_reports(valid, lookups, dq),
         lambda: write_parquet(clean.filter("is_late_reported"), f"{dq}/late_reported"),
         lambda: write_parquet(clean.filter("is_missing_value"), f"{dq}/missing_values"),
@@ -105,19 +108,25 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     if fact.isEmpty():
         raise EmptyFact("The fact has no rows")
     enforce_contract(fact, options.contract)
-    write_partitioned(
-        fill_unknown(fact, "health_area"), fact_path, facility.FACT_PARTITIONS,
-        replace_only_written=extends,
-    )
 
-    whole_fact = facility.read_fact(spark, fact_path)
-    mean_scores = work.keep(facility.completeness_comparison(whole_fact), "mean_scores")
+    def write_fact() -> None:
+        write_partitioned(
+            fill_unknown(fact, "health_area"), fact_path, facility.FACT_PARTITIONS,
+            replace_only_written=extends,
+        )
+
+    if extends:
+        write_fact()
+        whole_fact, fact_writes = facility.read_fact(spark, fact_path), []
+    else:
+        whole_fact, fact_writes = fact, [write_fact]
     side_by_side(
         spark,
+        *fact_writes,
         *_dimensions(whole_fact, lookups, warehouse),
         *_analytics(whole_fact, f"{out_dir}/analytics"),
-        *_cross_country(whole_fact, mean_scores, f"{out_dir}/cross_country"),
-        lambda: write_parquet(lookups.indicators, f"{warehouse}/metadata_snapshot"),
+        *_cross_country(work, whole_fact, f"{out_dir}/cross_country"),
+        lambda: write_parquet(lookups.indicators, snapshot),
         lambda: write_csv(
             dq_summary({
                 "flattened_data_values": landed,
@@ -214,16 +223,18 @@ def _analytics(fact: DataFrame, folder: str) -> list[Callable[[], None]]:
     ]
 
 
-def _cross_country(
-    fact: DataFrame, mean_scores: DataFrame, folder: str
-) -> list[Callable[[], None]]:
+def _cross_country(work: Workspace, fact: DataFrame, folder: str) -> list[Callable[[], None]]:
+    def write_scores() -> None:
+        scores = work.keep(facility.completeness_comparison(fact), "mean_scores")
+        write_csv(
+            scores.orderBy("country_name", "health_area", "period"), f"{folder}/completeness_comparison"
+        )
+        write_csv(facility.low_completeness_flags(scores), f"{folder}/low_completeness_flags")
+
     return [
         lambda: write_csv(facility.global_volumes_by_quarter(fact), f"{folder}/global_volumes_by_quarter"),
-        lambda: write_csv(
-            mean_scores.orderBy("country_name", "health_area", "period"), f"{folder}/completeness_comparison"
-        ),
         lambda: write_csv(
             facility.data_element_coverage_matrix(fact), f"{folder}/data_element_coverage_matrix"
         ),
-        lambda: write_csv(facility.low_completeness_flags(mean_scores), f"{folder}/low_completeness_flags"),
+        write_scores,
     ]
