@@ -56,6 +56,37 @@ def test_big_lookups_are_not_broadcast(spark, plan, facts, lookup):
     assert "SortMergeJoin" in text and "BroadcastExchange" not in text
 
 
+def test_hot_and_null_keys_of_a_shuffled_join_are_split(spark, plan, tmp_path):
+    spark.range(300_000).selectExpr(
+        "case id % 3 when 0 then 'hot' when 1 then null else cast(id as string) end k", "id", "uuid() text"
+    ).repartition(8).write.parquet(str(tmp_path / "rows"))
+    spark.range(300_000).selectExpr("if(id = 0, 'hot', cast(id as string)) k", "id * 2 twice", "uuid() name").write.parquet(
+        str(tmp_path / "lookup"))
+    rows, register = (spark.read.parquet(str(tmp_path / n)) for n in ("rows", "lookup"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    for name, setting in settings.items():
+        spark.conf.set(name, setting)
+    try:
+        joined = resolve(rows, register, ["k"])
+        joined.write.parquet(str(tmp_path / "out"))
+        joined.collect()
+        assert "skew=true" in plan(joined)
+        missing = unresolved(rows, register, ["k"])
+        missing.collect()
+        assert "skew=true" in plan(missing)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 300_000 and out.filter("k = 'hot' and twice = 0").count() == 100_000
+    assert missing.count() == 100_000
+
+
 def test_latest_keeps_one_row_per_key_before_the_shuffle(plan, facts):
     text = plan(latest_by(facts, ["k"], ["value"]))
     partial, exchange = text.index("row_number(), 1, Partial"), text.index("Exchange hashpartitioning")

@@ -1,6 +1,6 @@
 """Each operator as a query over the driver's tables; the SQL it must equal is in ``oracles``.
 
-Money is summed as ``decimal(18,2)``, which is exact in any order, and leaves as a double.
+Money is summed as whole cents, which is exact in any order, and leaves as a double.
 Dates leave as text. Months are grouped by their first day and turned into ``yyyyMM`` text
 after the aggregate, on few rows.
 """
@@ -60,8 +60,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+def _cents(column: str) -> Column:
+    return F.floor(F.col(column) * 100 + 0.5)
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -313,8 +313,8 @@ def low_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _segment_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["c_nationkey", "c_mktsegment"]
     orders = _orders_of_customers(spark, sf_dir).withColumn("month", _month("o_orderdate"))
-    totals = trends.period_totals(orders, keys, "month", _money("o_totalprice"))
-    return _as_period(totals).withColumn("monthly_value", F.col("monthly_value").cast("double"))
+    totals = trends.period_totals(orders, keys, "month", _cents("o_totalprice"))
+    return _as_period(totals).withColumn("monthly_value", F.col("monthly_value") / 100)
 
 
 def period_change(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,8 +330,8 @@ def period_change_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _supplier_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem").withColumn("month", _month("l_shipdate"))
-    totals = trends.period_totals(lines, ["l_suppkey"], "month", _money("l_extendedprice"))
-    return _as_period(totals).withColumn("monthly_value", F.col("monthly_value").cast("double"))
+    totals = trends.period_totals(lines, ["l_suppkey"], "month", _cents("l_extendedprice"))
+    return _as_period(totals).withColumn("monthly_value", F.col("monthly_value") / 100)
 
 
 def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,9 +399,9 @@ def _segment_volumes(spark: SparkSession, sf_dir: str, additive: Column | None =
     orders = _orders_of_customers(spark, sf_dir).withColumn(
         "quarter_start", F.trunc(F.col("o_orderdate").cast("date"), "quarter"))
     summed = crossview.volumes(
-        orders, ["c_mktsegment", "quarter_start"], _money("o_totalprice"), additive=additive)
+        orders, ["c_mktsegment", "quarter_start"], _cents("o_totalprice"), additive=additive)
     return with_period_columns(_as_period(summed, "quarter_start")).select(
-        "c_mktsegment", "quarter", F.col("total_service_volume").cast("double"))
+        "c_mktsegment", "quarter", (F.col("total_service_volume") / 100).alias("total_service_volume"))
 
 
 def volumes_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
