@@ -15,7 +15,7 @@ from wardbook.operators.drift import drift_totals, snapshot_drift
 from wardbook.operators.hierarchy import flatten_hierarchy
 from wardbook.operators.incremental import new_periods_only
 from wardbook.operators.latest import latest_by, unique_lookup
-from wardbook.operators.resolve import resolve, unresolved
+from wardbook.operators.resolve import flag_unresolved, resolve, unresolved
 from wardbook.operators.star import ambiguous_keys
 from wardbook.operators.validity import enforce_rate, split_valid, validity_summary, with_validity
 from wardbook.sources import exports as ex
@@ -140,6 +140,10 @@ def test_resolved_and_unresolved_make_up_the_input(spark):
     lookup = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, name string")
     assert rows(resolve(df, lookup, ["k"]), "k", "name") == [("a", "A"), ("x", None), (None, None)]
     assert rows(unresolved(df, lookup, ["k"]), "v") == [(2,), (3,)]
+    numbers = spark.createDataFrame([(1,), (2,)], "v int")
+    flagged = flag_unresolved(df, {"bad_k": (lookup, ["k"]), "bad_v": (numbers, ["v"])})
+    assert rows(flagged, "k", "v", "bad_k", "bad_v") == [
+        ("a", 1, False, False), ("x", 2, True, False), (None, 3, True, True)]
 
 
 def test_join_null_safe_of_a_frame_with_its_own_aggregate(spark):

@@ -7,9 +7,10 @@ of the observations, null keys included.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def resolve(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -20,3 +21,16 @@ def resolve(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
 def unresolved(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is unknown to the lookup; a null key is unknown."""
     return df.join(lookup.select(*keys), list(keys), "left_anti")
+
+
+def flag_unresolved(
+    df: DataFrame, lookups: Mapping[str, tuple[DataFrame, Sequence[str]]]
+) -> DataFrame:
+    """Add a flag per lookup, true where ``unresolved`` would list the row, in one pass over ``df``.
+
+    ``lookups`` maps the flag to a lookup, which holds each key once, and its key columns.
+    """
+    for flag, (lookup, keys) in lookups.items():
+        found = lookup.select(*keys, F.lit(True).alias(flag))
+        df = df.join(found, list(keys), "left").withColumn(flag, F.col(flag).isNull())
+    return df

@@ -14,7 +14,7 @@ from wardbook.operators.contract import ColumnSpec, enforce_contract
 from wardbook.operators.drift import drift_totals, snapshot_drift
 from wardbook.operators.incremental import new_periods_only
 from wardbook.operators.latest import unique_lookup
-from wardbook.operators.resolve import unresolved
+from wardbook.operators.resolve import flag_unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown
 from wardbook.operators.validity import (
     MAX_QUARANTINE_RATE, dq_summary, enforce_rate, split_valid, validity_summary,
@@ -98,7 +98,11 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     side_by_side(
         spark,
         lambda: _report_drift(spark, lookups.indicators, snapshot, dq, options),
-        *_unresolved_reports(valid, lookups, dq),
+        lambda: _unresolved_reports(work, valid, lookups, dq),
+        lambda: write_parquet(
+            ambiguous_keys(lookups.bridge, ["data_element_uid", "program_country", "program_health_area"]),
+            f"{dq}/ambiguous_program_indicators",
+        ),
         lambda: write_parquet(clean.filter("is_late_reported"), f"{dq}/late_reported"),
         lambda: write_parquet(clean.filter("is_missing_value"), f"{dq}/missing_values"),
         lambda: write_parquet(clean.filter("is_explicit_zero"), f"{dq}/explicit_zeros"),
@@ -178,27 +182,21 @@ def _report_drift(
     write_json(drift_totals(drift), f"{dq}/metadata_drift_totals")
 
 
-def _unresolved_reports(valid: DataFrame, lookups: Lookups, dq: str) -> list[Callable[[], None]]:
-    return [
-        lambda: write_parquet(
-            unresolved(valid, lookups.indicators, ["data_element_uid"]), f"{dq}/unresolved_data_elements"
-        ),
-        lambda: write_parquet(
-            unresolved(valid, lookups.category_options, ["category_option_combo_uid"]),
-            f"{dq}/unresolved_category_option_combos",
-        ),
-        lambda: write_parquet(
-            facility.resolve_metadata(
-                unresolved(valid, lookups.hierarchy, ["org_unit_uid"]),
-                lookups.indicators, lookups.category_options,
-            ),
-            f"{dq}/unresolved_org_units",
-        ),
-        lambda: write_parquet(
-            ambiguous_keys(lookups.bridge, ["data_element_uid", "program_country", "program_health_area"]),
-            f"{dq}/ambiguous_program_indicators",
-        ),
-    ]
+def _unresolved_reports(work: Workspace, valid: DataFrame, lookups: Lookups, dq: str) -> None:
+    """One pass over all rows finds those with any unknown key; the reports then split these few."""
+    checks = {
+        "unresolved_data_elements": (lookups.indicators, ["data_element_uid"]),
+        "unresolved_category_option_combos": (lookups.category_options, ["category_option_combo_uid"]),
+        "unresolved_org_units": (lookups.hierarchy, ["org_unit_uid"]),
+    }
+    suspects = work.keep(
+        flag_unresolved(valid, checks).filter(" or ".join(checks)), "unresolved"
+    )
+    for report in checks:
+        rows = suspects.filter(report).drop(*checks)
+        if report == "unresolved_org_units":
+            rows = facility.resolve_metadata(rows, lookups.indicators, lookups.category_options)
+        write_parquet(rows, f"{dq}/{report}")
 
 
 def _dimensions(fact: DataFrame, lookups: Lookups, folder: str) -> list[Callable[[], None]]:
