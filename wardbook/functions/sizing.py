@@ -11,8 +11,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
 
     Meant for narrow tables of fixed-width columns, where a row bound is a byte bound.
     Beyond the bound ``df`` comes back unhinted and Spark joins it by shuffling, splitting
-    skewed partitions adaptively. The count is one job and stops at ``max_rows + 1`` rows.
+    skewed partitions adaptively. The count is one job, which folds to a number per task.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df

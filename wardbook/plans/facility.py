@@ -100,15 +100,27 @@ def enrich(
     category_options: DataFrame,
     hierarchy: DataFrame,
     bridge: DataFrame,
+    scores: DataFrame,
 ) -> DataFrame:
-    """Latest observations with names, typed values, flags and programs.
+    """Latest observations with names, scores, typed values, flags and programs.
 
     Duplicates go before the joins: their key is part of the raw row, so nothing is widened
-    only to be dropped. Each lookup holds a key once; only the bridge may multiply rows.
+    only to be dropped. Scores are attached next, by the only join that may have to shuffle,
+    while rows carry no names but the two it needs. Each lookup holds a key once; only the
+    bridge may multiply rows.
     """
+    keyed = resolve(
+        resolve(
+            latest_observations(observations),
+            indicators.select("data_element_uid", "health_area"), ["data_element_uid"],
+        ),
+        hierarchy.select("org_unit_uid", "country_name"), ["org_unit_uid"],
+    )
     named = resolve(
-        resolve_metadata(latest_observations(observations), indicators, category_options),
-        hierarchy, ["org_unit_uid"],
+        resolve_metadata(
+            attach_completeness(keyed, scores), indicators.drop("health_area"), category_options
+        ),
+        hierarchy.drop("country_name"), ["org_unit_uid"],
     )
     typed = with_quality_flags(with_typed_values(with_period_columns(named)))
     programs = bridge.select(
@@ -150,8 +162,8 @@ def completeness(named: DataFrame, bridge: DataFrame) -> DataFrame:
     return scoring.completeness(reported, expected, group)
 
 
-def attach_completeness(enriched: DataFrame, scores: DataFrame) -> DataFrame:
-    return scoring.attach(enriched, scores, ["country_name", "health_area", "org_unit_uid", "period"])
+def attach_completeness(df: DataFrame, scores: DataFrame) -> DataFrame:
+    return scoring.attach(df, scores, ["country_name", "health_area", "org_unit_uid", "period"])
 
 
 def fact_service_delivery(enriched: DataFrame) -> DataFrame:

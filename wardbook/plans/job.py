@@ -90,10 +90,12 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
         ),
         "completeness",
     )
-    enriched = facility.enrich(
-        valid, lookups.indicators, lookups.category_options, lookups.hierarchy, lookups.bridge
+    clean = work.keep(
+        facility.enrich(
+            valid, lookups.indicators, lookups.category_options, lookups.hierarchy, lookups.bridge, scores
+        ),
+        "clean",
     )
-    clean = work.keep(facility.attach_completeness(enriched, scores), "clean")
     snapshot = f"{warehouse}/metadata_snapshot"
     side_by_side(
         spark,
