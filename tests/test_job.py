@@ -13,6 +13,7 @@ from wardbook.errors import ContractViolation, EmptyFact, JobStopped, Quarantine
 from wardbook.operators.contract import ColumnSpec
 from wardbook.plans import facility
 from wardbook.plans.job import JobOptions, run
+from wardbook.sources.tables import Workspace
 
 KEY = facility.OBSERVATION_KEY
 
@@ -273,3 +274,11 @@ def test_work_tables_go_to_the_checkpoint_folder(spark, full_run):
     root = spark.conf.get("spark.checkpoint.dir")
     assert glob.glob(f"{root}/wardbook-*/clean/*.parquet")
     assert not glob.glob(f"{full_run[1]}/work*")
+
+
+def test_work_tables_go_to_the_output_where_no_folder_is_named():
+    class Unconfigured:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+    first, second = (Workspace(Unconfigured, "/shared/out/work").folder for _ in range(2))
+    assert first.startswith("/shared/out/work/wardbook-") and first != second

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardbook.operators.trailing import HotKeySplit, over_trailing_rows
+from wardbook.operators.trends import rolling_mean
 
 
 def brute(data, start, end):
@@ -51,3 +52,19 @@ def test_rows_without_an_order_value_come_first(spark):
     split = HotKeySplit(F.col("at"), rows_per_chunk=2)
     got = over_trailing_rows(df, ["k"], ["at", "v"], -1, 0, {"s": F.sum("v")}, split)
     assert sorted(r["s"] for r in got.collect()) == [1.0, 5.0, 5.0, 6.0]
+
+
+def test_bins_may_be_structs(spark):
+    data = [("a", 1, i, i) for i in range(50)] + [("b", i, 100 + i, i) for i in range(5)]
+    df = spark.createDataFrame(data, "k string, at int, i int, v int")
+    split = HotKeySplit(F.struct("at", F.expr("i div 4")), rows_per_chunk=10)
+    got = over_trailing_rows(df, ["k"], ["at", "i"], -6, 0, {"n": F.count("v"), "s": F.sum("v")}, split)
+    assert {r["i"]: (r["n"], r["s"]) for r in got.collect()} == brute(data, -6, 0)
+
+
+def test_rolling_mean_of_a_split_key(spark):
+    totals = spark.range(300).selectExpr("'k' k", "id at", "cast(hash(id) % 100 as double) monthly_value")
+    columns = ["at", "rolling_3_month_avg"]
+    plain = rolling_mean(totals, ["k"], "at", min_periods=3).select(columns).collect()
+    split = rolling_mean(totals, ["k"], "at", min_periods=3, split=HotKeySplit(F.expr("at div 3"), 20))
+    assert sorted(split.select(columns).collect(), key=str) == sorted(plain, key=str)
