@@ -27,12 +27,14 @@ from wardbook.operators.resolve import resolve, unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
 from wardbook.operators.trailing import HotKeySplit
 from wardbook.operators.validity import dq_summary, split_valid, validity_summary, with_validity
+from wardbook.plans import facility
 
 # The driver tables' columns, so that no job has to look them up in file footers.
 TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
     "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
     "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
               " o_orderdate timestamp_ntz, o_orderpriority string",
@@ -481,6 +483,66 @@ def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_unknown(fact, "health_area")
 
 
+def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facility job's fact, from raw observations to its contract columns.
+
+    Order lines are observations: of a brand, in the month of shipping, by a customer, per return
+    flag. Brands are indicators in areas by their first digit, regions are countries, nations
+    are districts, and a region's program expects the brands that its suppliers ship.
+    """
+    orders = _table(spark, sf_dir, "orders")
+    part = _table(spark, sf_dir, "part")
+    lines = _table(spark, sf_dir, "lineitem")
+    area = F.substring("p_brand", 1, 7)
+    observations = (
+        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+        .join(part, lines["l_partkey"] == part["p_partkey"])
+        .select(
+            F.col("p_brand").alias("data_element_uid"),
+            period_of(F.col("l_shipdate").cast("date")).alias("period"),
+            F.concat(F.lit("C"), "o_custkey").alias("org_unit_uid"),
+            F.col("l_returnflag").alias("category_option_combo_uid"),
+            F.col("l_linestatus").alias("attribute_option_combo_uid"),
+            F.col("l_quantity").cast("long").cast("string").alias("raw_value"),
+            F.lower("o_orderpriority").alias("stored_by"),
+            F.col("o_orderdate").alias("created_at"),
+            F.col("l_shipdate").alias("last_updated_at"),
+            F.col("o_orderstatus").alias("followup"),
+        )
+    )
+    indicators = part.select(
+        F.col("p_brand").alias("data_element_uid"), F.lower("p_brand").alias("data_element_name"),
+        F.lit("INTEGER").alias("value_type"), area.alias("health_area"),
+    ).distinct()
+    flags = lines.filter("l_returnflag <> 'N'").select(
+        F.col("l_returnflag").alias("category_option_combo_uid"),
+        F.lower("l_returnflag").alias("category_option_combo_name"),
+    ).distinct()
+    hierarchy = flatten_tree(spark, sf_dir).select(
+        F.col("id").alias("org_unit_uid"), F.col("name").alias("facility_name"),
+        F.col("region_name").alias("country_name"), F.lit(None).cast("string").alias("region_name"),
+        F.col("nation_name").alias("district_name"),
+    )
+    supplier, nation = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "nation")
+    region = _table(spark, sf_dir, "region")
+    bridge = (
+        lines.join(part, lines["l_partkey"] == part["p_partkey"])
+        .join(supplier, lines["l_suppkey"] == supplier["s_suppkey"])
+        .join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+        .join(region, nation["n_regionkey"] == region["r_regionkey"])
+        .select(
+            F.concat_ws("/", "r_name", area).alias("program_uid"), F.col("r_name").alias("program_name"),
+            area.alias("program_health_area"), F.col("r_name").alias("program_country"),
+            F.col("p_brand").alias("data_element_uid"),
+        ).distinct()
+    )
+    scores = facility.completeness(facility.name_reports(observations, indicators, hierarchy), bridge)
+    enriched = facility.enrich(observations, indicators, flags, hierarchy, bridge, scores)
+    return facility.fact_service_delivery(enriched).withColumns({
+        c: F.col(c).cast("date").cast("string") for c in ("created_at", "last_updated_at")
+    })
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "volumes_by_quarter": volumes_by_quarter,
     "volumes_additive_only": volumes_additive_only,
@@ -522,4 +584,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_periods_only": new_days_only,
     "new_or_corrected_periods": new_or_corrected_days,
     "star_fact": star_fact,
+    "service_fact": service_fact,
 }

@@ -337,4 +337,49 @@ ORACLES: dict[str, str] = {
         FROM {ORDERS_OF_CUSTOMERS} LEFT JOIN nation ON c_nationkey = n_nationkey
              LEFT JOIN region ON n_regionkey = r_regionkey
     """,
+    "service_fact": """
+        WITH obs AS (
+            SELECT p_brand AS de, strftime(l_shipdate, '%Y%m') AS period, 'C' || o_custkey AS ou,
+                   l_returnflag AS coc, l_linestatus AS aoc,
+                   CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS raw_value,
+                   lower(o_orderpriority) AS stored_by, o_orderdate AS created, l_shipdate AS updated,
+                   o_orderstatus AS followup
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+        latest AS (
+            SELECT * FROM obs QUALIFY row_number() OVER (
+                PARTITION BY de, period, ou, coc
+                ORDER BY updated DESC, created DESC, aoc DESC, raw_value DESC, stored_by DESC,
+                         followup DESC) = 1),
+        units AS (
+            SELECT 'C' || c_custkey AS ou, c_name, n_name, r_name
+            FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+        bridge AS (
+            SELECT DISTINCT r_name, substr(p_brand, 1, 7) AS area, p_brand AS de
+            FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+                 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+        expected AS (SELECT r_name, area, count(*) AS expected FROM bridge GROUP BY r_name, area),
+        reported AS (
+            SELECT ou, period, substr(de, 1, 7) AS area, count(DISTINCT de) AS reported
+            FROM obs GROUP BY ou, period, substr(de, 1, 7))
+        SELECT l.de AS data_element_uid, lower(l.de) AS data_element_name,
+               l.coc AS category_option_combo_uid,
+               CASE WHEN l.coc <> 'N' THEN lower(l.coc) END AS category_option_combo_name,
+               b.r_name || '/' || b.area AS program_uid, b.r_name AS program_name,
+               substr(l.de, 1, 7) AS health_area, l.ou AS org_unit_uid, u.c_name AS facility_name,
+               u.n_name AS district_name, CAST(NULL AS VARCHAR) AS region_name, u.r_name AS country_name,
+               l.period, l.period AS year_month, CAST(year(l.updated) AS INTEGER) AS year,
+               CAST(month(l.updated) AS INTEGER) AS month,
+               CAST(year(l.updated) AS VARCHAR) || 'Q' || CAST(quarter(l.updated) AS VARCHAR) AS quarter,
+               l.raw_value, CAST(l.raw_value AS DOUBLE) AS numeric_value,
+               CAST(NULL AS BOOLEAN) AS boolean_value, l.stored_by,
+               strftime(l.created, '%Y-%m-%d') AS created_at, strftime(l.updated, '%Y-%m-%d') AS last_updated_at,
+               l.raw_value = '0' AS is_explicit_zero, l.raw_value IS NULL AS is_missing_value,
+               date_diff('day', last_day(l.updated), CAST(l.updated AS DATE)) > 60 AS is_late_reported,
+               r.reported AS reported_indicator_count, e.expected AS expected_indicator_count,
+               CAST(r.reported AS DOUBLE) / e.expected AS completeness_score
+        FROM latest l JOIN units u ON u.ou = l.ou
+             LEFT JOIN bridge b ON b.de = l.de AND b.r_name = u.r_name
+             LEFT JOIN expected e ON e.r_name = u.r_name AND e.area = substr(l.de, 1, 7)
+             LEFT JOIN reported r ON r.ou = l.ou AND r.period = l.period AND r.area = substr(l.de, 1, 7)
+    """,
 }
