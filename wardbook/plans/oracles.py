@@ -197,12 +197,12 @@ ORACLES: dict[str, str] = {
     """,
     "mean_score": f"""
         {USER_DAYS}
-        SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(completeness_score), 6) AS avg_completeness_score
+        SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(completeness_score), 9) AS avg_completeness_score
         FROM e LEFT JOIN scores USING (user_id, day) GROUP BY day ORDER BY day
     """,
     "mean_score_by_unit": f"""
         {USER_DAYS}
-        SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(completeness_score), 6) AS avg_completeness_score
+        SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(completeness_score), 9) AS avg_completeness_score
         FROM scores GROUP BY day ORDER BY day
     """,
     "low_streaks": f"""
