@@ -6,7 +6,9 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from wardbook.plans.driver_tables import QUERIES
+from wardbook.plans.oracles import ORACLES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark"
@@ -25,10 +27,10 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    got = queries()[name](spark, SF_DIR)
-    cursor = duck.execute(oracle_sql()[name])
+    got = QUERIES[name](spark, SF_DIR)
+    cursor = duck.execute(ORACLES[name])
     sql_columns = [c[0] for c in cursor.description]
     want = cursor.fetchall()
     assert sorted(got.columns) == sorted(sql_columns)
@@ -40,8 +42,8 @@ def test_query_equals_sql(spark, duck, name):
 def test_value_types_agree(spark, duck):
     families = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
                 "BOOLEAN": "boolean"}
-    for name, query in queries().items():
-        relation = duck.sql(oracle_sql()[name])
+    for name, query in QUERIES.items():
+        relation = duck.sql(ORACLES[name])
         sql_types = {c: families.get(str(t)) for c, t in zip(relation.columns, relation.types)}
         assert dict(query(spark, SF_DIR).dtypes) == sql_types, name
 
@@ -51,4 +53,4 @@ def test_entry_runs(spark):
 
 
 def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
