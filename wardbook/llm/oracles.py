@@ -100,4 +100,40 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_sharding": OP1, "op5_quality_rules": OP5, "op8_line_dedup": OP8}
+OP6 = """
+WITH RECURSIVE able AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM able a JOIN able b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT u, u AS v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v),
+least AS (SELECT u, min(v) AS component FROM reach GROUP BY u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id,
+  vec_id = coalesce(component, vec_id) AS kept
+FROM embeddings LEFT JOIN counts c ON c.u = vec_id LEFT JOIN least l ON l.u = vec_id
+"""
+
+OP10 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+reach AS (SELECT u, u AS v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON l.u = r.v),
+least AS (SELECT u, min(v) AS component FROM reach GROUP BY u)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least l ON l.u = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_sharding": OP1, "op5_quality_rules": OP5, "op8_line_dedup": OP8,
+    "op6_embedding_near_dedup": OP6, "op10_ngram_jaccard": OP10,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import divergence_rules, line_runs, sharding, source_mixing
+from wardbook.llm import divergence_rules, hyperplane_dedup, line_runs, ngram_tiles, sharding, source_mixing
 
 #: The shards of the sharding query.
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
@@ -32,6 +32,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hyperplane_dedup.near_vectors(vectors).withColumnRenamed("id", "vec_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and the hash of what is left of every document."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -49,6 +55,14 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_tiles.near_copies(docs).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op5_quality_rules, op8_line_dedup, op9_source_mixing)
+    f.__name__: f for f in (
+        op1_sharding, op5_quality_rules, op6_embedding_near_dedup, op8_line_dedup, op9_source_mixing, op10_ngram_jaccard,
+    )
 }
