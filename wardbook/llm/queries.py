@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardbook.llm import divergence_rules, hyperplane_dedup, line_runs, ngram_tiles, sharding, source_mixing
+from wardbook.llm import (
+    chunked_bpe, deobfuscation, divergence_rules, hyperplane_dedup, line_runs, ngram_tiles, secret_ledger, sharding,
+    source_mixing,
+)
+from wardbook.llm.common import workspace
 
 #: The shards of the sharding query.
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
 
 
+#: The tokenizer file of the encoding query.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -23,6 +32,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", SHARDS)
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Hashes of the ids of every document and of the text they decode to."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunked_bpe.encode(docs, vocabulary).withColumnRenamed("id", "doc_id")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return deobfuscation.personal_data(docs).withColumnRenamed("id", "doc_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict for every document."""
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -38,6 +59,27 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperplane_dedup.near_vectors(vectors).withColumnRenamed("id", "vec_id")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, from a ledger that starts empty."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secret_ledger.BlobLedger(spark, f"{workspace(spark).folder}/ledger")
+    ledger.update(docs, "doc_id", "text")
+    found = ledger.findings(docs, "doc_id", "text")
+
+    def text_of(spans: Column) -> Column:
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("findings", lambda s: s["kind"].isin(*secret_ledger.BASE_KINDS))
+    return found.select(
+        F.col("path").alias("doc_id"), *[count(kind) for kind in secret_ledger.BASE_KINDS],
+        F.sha2(text_of(base), 256).alias("base_sha256"), text_of(F.col("findings")).alias("spans"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and the hash of what is left of every document."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +105,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op5_quality_rules, op6_embedding_near_dedup, op8_line_dedup, op9_source_mixing, op10_ngram_jaccard,
+        op1_sharding, op3_bpe, op4_pii, op5_quality_rules, op6_embedding_near_dedup, op7_secret_scan, op8_line_dedup,
+        op9_source_mixing, op10_ngram_jaccard,
     )
 }

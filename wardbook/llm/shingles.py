@@ -29,7 +29,7 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(_BASE) + np.uint64(seed)) | np.uint64(1)
 
 
-class _Powers:
+class Powers:
     """Powers of an odd base and of its inverse modulo 2^64."""
 
     def __init__(self):
@@ -45,14 +45,14 @@ class _Powers:
         return self.up, self.down
 
 
-_POWERS = _Powers()
+POWERS = Powers()
 
 
 def _piece_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[raw]
     edges = np.flatnonzero(np.diff(space.astype(np.int8), prepend=1, append=1))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _POWERS.of(len(raw) + 1)
+    up, down = POWERS.of(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, dtype=np.uint64)
     np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
     return starts, mix((sums[ends] - sums[starts]) * down[starts])
