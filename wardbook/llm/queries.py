@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.llm import (
-    chunked_bpe, deobfuscation, divergence_rules, hyperplane_dedup, line_runs, ngram_tiles, secret_ledger, sharding,
-    source_mixing,
+    chunked_bpe, deobfuscation, divergence_rules, hyperplane_dedup, line_runs, ngram_tiles, recurrent_lm, secret_ledger,
+    sharding, source_mixing,
 )
 from wardbook.llm.common import workspace
 
@@ -32,6 +32,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, "doc_id", SHARDS)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a model of the training documents."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return recurrent_lm.document_scores(docs).withColumnRenamed("id", "doc_id")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """Hashes of the ids of every document and of the text they decode to."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -105,7 +111,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op3_bpe, op4_pii, op5_quality_rules, op6_embedding_near_dedup, op7_secret_scan, op8_line_dedup,
-        op9_source_mixing, op10_ngram_jaccard,
+        op1_sharding, op2_lm_scoring, op3_bpe, op4_pii, op5_quality_rules, op6_embedding_near_dedup,
+        op7_secret_scan, op8_line_dedup, op9_source_mixing, op10_ngram_jaccard,
     )
 }
