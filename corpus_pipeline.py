@@ -6,11 +6,16 @@ step before it kept. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardbook.llm import divergence_rules, line_runs, source_mixing
+from wardbook.llm import chunked_bpe, divergence_rules, line_runs, ngram_tiles, source_mixing
 from wardbook.llm.common import workspace
 
+#: The tokenizer file of the last stage.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
@@ -20,20 +25,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier document has; ``n_chars`` follows the text."""
     cut = line_runs.dedup_lines(docs)
-    return _recounted(cut).select(*docs.columns)
+    recounted = F.char_length("text").cast("long").alias("n_chars")
+    return cut.select(*[recounted if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least id."""
+    return ngram_tiles.keep_first(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return source_mixing.mix_sources(docs)
 
 
-def _recounted(docs: DataFrame) -> DataFrame:
-    return docs.selectExpr("* except (n_chars)", "cast(char_length(text) as bigint) as n_chars")
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every document, with hashes of the ids and of the text they decode to."""
+    encoded = chunked_bpe.encode(docs, VOCABULARY, with_ids=True)
+    return encoded.withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("quality", quality), ("lines", lines), ("mix", mix)]
+STAGES = [
+    ("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mixing", mixing),
+    ("encoding", encoding),
+]
 
+#: SQL has no BPE; ``tests/llm/test_pipeline.py`` holds the result against a plain version.
 ORACLE_SQL = None
 
 
