@@ -202,8 +202,9 @@ def near_copies(
     members = firsts.join(families, "node").groupBy("node", "family").agg(F.max("n").alias("n"))
     tiles = work.keep(_tiles(members, settings), "tiles")
 
+    # Texts are shuffled once at any size; tables of tiles grow with the input, so none is broadcast.
     sets = (
-        source.withColumnRenamed("id", "node").join(tiles, "node")
+        source.withColumnRenamed("id", "node").join(tiles.hint("shuffle_hash"), "node")
         .mapInArrow(_shingle_rows(settings.width), f"node long, tiles {dict(tiles.dtypes)['tiles']}, shingles binary")
     )
     links = (
@@ -223,4 +224,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     later = near_copies(docs, id_col, text_col, settings).filter("id <> component_id").select(
         F.col("id").alias("__later")
     ).distinct()
-    return docs.join(later, F.col(id_col) == F.col("__later"), "left_anti")
+    return docs.join(later.hint("shuffle_hash"), F.col(id_col) == F.col("__later"), "left_anti")
