@@ -9,7 +9,7 @@ begins exactly there, and everything between the places left is encoded anew. A
 space stands between two ASCII letters: there every tokenizer that splits words before merging
 begins a word, whatever the rest of the text.
 
-Texts move once, to meet the chunks. Only hashes are grouped, counted before they move.
+Texts move once, compressed, to meet the chunks. Only hashes are grouped, counted before they move.
 
 Defined results: a null or empty text has no ids. Rows may repeat.
 """
@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +97,8 @@ class Coder:
         ]
         self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
         self.names = [str(i) for i in range(size)]
+        #: How ids travel.
+        self.kind = np.uint16 if size <= 1 << 16 else np.int32
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -107,7 +110,7 @@ class Coder:
         """The part of a chunk whose ids hold in any text, as byte offsets, and these ids."""
         begins = np.concatenate([[0], np.cumsum(self.lengths[ids])])
         if begins[-1] != len(chunk):
-            return 0, 0, np.zeros(0, dtype=np.int32)
+            return 0, 0, np.zeros(0, dtype=self.kind)
         agreed = set(begins.tolist())
         low, high = 1, len(chunk) - 2
         while low < high and not (_safe(chunk, low) and low in agreed):
@@ -115,9 +118,9 @@ class Coder:
         while high > low and not (_safe(chunk, high) and high in agreed):
             high -= 1
         if low >= high:
-            return 0, 0, np.zeros(0, dtype=np.int32)
+            return 0, 0, np.zeros(0, dtype=self.kind)
         i, j = np.searchsorted(begins, [low, high])
-        return low, high, np.array(ids[i:j], dtype=np.int32)
+        return low, high, np.array(ids[i:j], dtype=self.kind)
 
 
 @lru_cache(maxsize=2)
@@ -125,6 +128,21 @@ def _coder(text: str) -> Coder:
     return Coder(text)
 
 
+def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, which shuffles write as they are."""
+    compressor = zstandard.ZstdCompressor()
+    for batch in batches:
+        packed = [compressor.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("id", "r1", "r2")), pa.array(packed, pa.binary())], ["id", "r1", "r2", "packed"]
+        )
+
+
+def _unpacked(column: pa.Array) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(p) for p in column.to_pylist()]
+
+
 CHUNKS = "r1 long, r2 long, at long, size long, h binary"
 
 
@@ -154,8 +172,7 @@ def _core_rows(vocabulary_text):
         coder = _coder(vocabulary_text.value)
         for batch in batches:
             out = []
-            for text, chunks in zip(batch.column("text").to_pylist(), batch.column("chunks").to_pylist()):
-                data = (text or "").encode()
+            for data, chunks in zip(_unpacked(batch.column("packed")), batch.column("chunks").to_pylist()):
                 pieces = [data[c["at"] : c["at"] + c["size"]] for c in chunks]
                 for chunk, piece, ids in zip(chunks, pieces, coder.encode([p.decode() for p in pieces])):
                     low, high, core = coder.core(piece, ids)
@@ -173,6 +190,8 @@ def assemble(coder: Coder, texts: list[str], parts: list[list[dict]]) -> list[li
     for text, cores in zip(texts, parts):
         data, plan, done = text.encode(), [], 0
         for core in sorted(cores, key=lambda c: c["at"]):
+            if core["at"] + core["low"] < done:
+                continue  # the same chunk again, from a repeated row
             low, high = core["at"] + core["low"], core["at"] + core["high"]
             if low > done:
                 plan.append(len(gaps))
@@ -185,7 +204,7 @@ def assemble(coder: Coder, texts: list[str], parts: list[list[dict]]) -> list[li
         plans.append(plan)
     encoded = coder.encode(gaps)
     return [
-        [i for step in plan for i in (encoded[step] if isinstance(step, int) else np.frombuffer(step, dtype=np.int32).tolist())]
+        [i for step in plan for i in (encoded[step] if isinstance(step, int) else np.frombuffer(step, dtype=coder.kind).tolist())]
         for plan in plans
     ]
 
@@ -196,7 +215,7 @@ def _encoded_rows(vocabulary_text, emit_ids: bool, batch_chars: int = 1 << 20):
 
         coder = _coder(vocabulary_text.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = [data.decode() for data in _unpacked(batch.column("packed"))]
             parts = [p or [] for p in batch.column("parts").to_pylist()]
             for part in slices(texts, batch_chars):
                 found = assemble(coder, texts[part], parts[part])
@@ -227,6 +246,7 @@ def encode(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
         F.xxhash64(F.lit(1), id_col, text_col).alias("r1"), F.xxhash64(F.lit(2), text_col, id_col).alias("r2"),
     )
+    packed = rows.mapInArrow(_pack_rows, "id long, r1 long, r2 long, packed binary")
     chunks = work.keep(rows.select("r1", "r2", "text").mapInArrow(_chunk_rows, CHUNKS), "chunks")
     place = F.struct("r1", "r2", "at", "size")
     shared = work.keep(
@@ -237,17 +257,16 @@ def encode(
         .agg(F.collect_list(F.struct("at", "size", "h")).alias("chunks"))
     )
     cores = (
-        rows.join(firsts.hint("shuffle_hash"), ["r1", "r2"]).mapInArrow(_core_rows(text), CORES)
+        packed.join(firsts.hint("shuffle_hash"), ["r1", "r2"]).mapInArrow(_core_rows(text), CORES)
         .dropDuplicates(["h"]).filter("high > low")
     )
     # A chunk's places move, not its text; a chunk in very many documents is a skewed join's hot key.
     parts = (
-        chunks.join(cores, "h").groupBy("r1", "r2", "at").agg(F.first(F.struct("low", "high", "ids")).alias("c"))
-        .groupBy("r1", "r2").agg(F.collect_list(F.struct("at", "c.low", "c.high", "c.ids")).alias("parts"))
+        chunks.join(cores, "h").groupBy("r1", "r2").agg(F.collect_list(F.struct("at", "low", "high", "ids")).alias("parts"))
     )
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return (
-        rows.join(parts.hint("shuffle_hash"), ["r1", "r2"], "left").select("id", "text", "parts")
+        packed.join(parts.hint("shuffle_hash"), ["r1", "r2"], "left").select("id", "packed", "parts")
         .mapInArrow(_encoded_rows(text, with_ids), schema)
     )
 
