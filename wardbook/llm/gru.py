@@ -91,7 +91,7 @@ def windows(texts: Sequence[np.ndarray], start: int, lanes: int, steps: int) ->
         y = np.concatenate([texts[i] for i in lane])
         x = np.empty_like(y)
         x[1:] = y[:-1]
-        owner = np.repeat(np.array(lane), [len(texts[i]) for i in lane])
+        owner = np.repeat(np.array(lane, dtype=np.int32), [len(texts[i]) for i in lane])
         begins = np.cumsum([0] + [len(texts[i]) for i in lane[:-1]])
         x[begins] = start
         fresh = np.zeros(len(y), dtype=bool)
@@ -114,8 +114,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    """In place. Rows are shifted only where some logit is too large for a plain sum."""
+    with np.errstate(over="ignore"):
+        total = np.exp(x).sum(axis=1, keepdims=True)
+    if not (np.isfinite(total).all() and total.all()):
+        x -= x.max(axis=1, keepdims=True)
+        total = np.exp(x).sum(axis=1, keepdims=True)
+    x -= np.log(total)
     return x
 
 

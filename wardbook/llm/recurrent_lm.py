@@ -50,14 +50,16 @@ class Settings:
     #: Most words whose counts are sent to all tasks.
     max_hot: int = 150_000
     #: Tokens that a task holds at a time, a longer text apart.
-    buffer_tokens: int = 3_000_000
+    buffer_tokens: int = 5_000_000
     #: Distinct words that a task counts before it passes counts on.
     count_words: int = 400_000
 
 
 def tokens(text: str | None) -> list[bytes]:
     """Words split at ASCII white space with A-Z in lower case, then the end."""
-    return [*(text or "").encode().lower().split(), END]
+    words = (text or "").encode().lower().split()
+    words.append(END)
+    return words
 
 
 def is_held_out(doc_id: Column) -> Column:
