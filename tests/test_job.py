@@ -5,6 +5,7 @@ import glob
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from tests.exports import (
     INDICATORS, MONTHS, data_values, expected_fact, malformed_values, value, write_exports,
@@ -13,7 +14,7 @@ from wardbook.errors import ContractViolation, EmptyFact, JobStopped, Quarantine
 from wardbook.operators.contract import ColumnSpec
 from wardbook.plans import facility
 from wardbook.plans.job import JobOptions, run
-from wardbook.sources.tables import Workspace
+from wardbook.sources.tables import Workspace, exists
 
 KEY = facility.OBSERVATION_KEY
 
@@ -205,6 +206,39 @@ def test_incremental_corrections(spark, full_run, tmp_path):
     assert got == {k: v["raw_value"] for k, v in expected_fact(corrected).items()}
 
 
+def test_reloaded_months_leave_no_row_behind(spark, full_run, tmp_path):
+    """An unknown indicator becomes known, so its rows change area; a late report has an old stamp."""
+    rows, _, _ = full_run
+    rows = [r for r in rows if r["period"] in MONTHS[:2]]
+    out, whole = str(tmp_path / "out"), str(tmp_path / "whole")
+    first = write_exports(tmp_path / "first", rows, indicators=[i for i in INDICATORS if i["id"] != "dePosit"])
+    assert run(spark, first, out)
+    corrected = rows + [value("deCases", MONTHS[0], "facC", "500", days=90)]
+    corrected.append(value("deStock", MONTHS[1], "facC", "false", days=-20))
+    data = write_exports(tmp_path / "data", corrected)
+    assert run(spark, data, out, JobOptions(incremental=True, reprocess_corrected=True))
+    assert run(spark, data, whole)
+    assert fact_rows(spark, out) == fact_rows(spark, whole)
+    assert read_fact(spark, out).count() == len(expected_fact(corrected))
+    assert run(spark, data, out, JobOptions(incremental=True, reprocess_corrected=True)) is False
+
+
+def test_a_table_that_cannot_be_opened_is_not_taken_for_none(spark, tmp_path):
+    assert not exists(spark, str(tmp_path / "none"))
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(AnalysisException):
+        exists(spark, str(tmp_path / "empty"))
+
+
+def test_summary_is_there_when_a_gate_stops_the_run(spark, tmp_path):
+    row = data_values(MONTHS[:1])[0]
+    data = write_exports(tmp_path / "data", [row, {**row, "period": "x"}])
+    with pytest.raises(QuarantineRateExceeded):
+        run(spark, data, str(tmp_path / "out"))
+    counts = {r["stage"]: int(r["rows"]) for r in read_csv(f"{tmp_path}/out/dq/summary")}
+    assert counts == {"flattened_data_values": 2, "malformed_data_values": 1, "processed_data_values": 1}
+
+
 def test_drift_against_last_run_and_against_a_given_export(spark, tmp_path):
     rows, out = data_values(MONTHS[:1]), str(tmp_path / "out")
     old = write_exports(tmp_path / "old", rows)
@@ -254,6 +288,12 @@ def test_command_line_exits_with_the_gate_code(spark, tmp_path, capsys, monkeypa
     assert [a[1:] for a in seen] == [
         ("d", "o", JobOptions()),
         ("d", "o", JobOptions(incremental=True, reference_metadata="m.json", multi_line=True))]
+    options = ["--calendar", "--min-periods", "2", "--exclude-current", "--equal-facilities", "--keep-null-country",
+               "--facility-register", "--additive-volumes", "--strict-periods", "--keep-corrupt", "--max-quarantine-rate", "0.5"]
+    assert cli.main([*arguments, *options]) == 0
+    assert seen[-1][3] == JobOptions(
+        calendar=True, min_periods=2, exclude_current=True, equal_facilities=True, keep_null_country=True,
+        facility_register=True, additive_volumes=True, strict_periods=True, keep_corrupt=True, max_quarantine_rate=0.5)
     monkeypatch.setattr(cli, "run", run)
     row = data_values(MONTHS[:1])[0]
     data = write_exports(tmp_path / "data", [{**row, "period": "x"}])
@@ -272,8 +312,18 @@ def test_text_of_corrupt_documents_reaches_quarantine(spark, tmp_path):
 
 def test_work_tables_go_to_the_checkpoint_folder(spark, full_run):
     root = spark.conf.get("spark.checkpoint.dir")
-    assert glob.glob(f"{root}/wardbook-*/clean/*.parquet")
-    assert not glob.glob(f"{full_run[1]}/work*")
+    before = set(glob.glob(f"{root}/wardbook-*"))
+    rows, out, data = full_run
+    with pytest.raises(ContractViolation):
+        run(spark, data, f"{out}-broken", JobOptions(contract=(ColumnSpec("health_area", "integer"),)))
+    assert len(set(glob.glob(f"{root}/wardbook-*/clean")) - before) and not glob.glob(f"{out}*/work*")
+
+
+def test_work_tables_go_after_success(spark, full_run, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{root}/wardbook-*"))
+    assert run(spark, full_run[2], str(tmp_path / "out"))
+    assert set(glob.glob(f"{root}/wardbook-*")) == before
 
 
 def test_work_tables_go_to_the_output_where_no_folder_is_named():

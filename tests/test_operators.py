@@ -16,7 +16,7 @@ from wardbook.operators.hierarchy import flatten_hierarchy
 from wardbook.operators.incremental import new_periods_only
 from wardbook.operators.latest import latest_by, unique_lookup
 from wardbook.operators.resolve import flag_unresolved, resolve, unresolved
-from wardbook.operators.star import ambiguous_keys
+from wardbook.operators.star import ambiguous_keys, fill_unknown, restore_unknown
 from wardbook.operators.validity import enforce_rate, split_valid, validity_summary, with_validity
 from wardbook.sources import exports as ex
 
@@ -304,8 +304,19 @@ def test_coverage_matrix_with_null_row_and_column(spark):
     matrix = crossview.coverage_matrix(df, "item", "country", values)
     assert matrix.columns == ["item", "null", "X", "Y"]
     assert rows(matrix, "*") == [("Cases", 1, 1, 0), (None, 0, 0, 1)]
-    with pytest.raises(ValueError):
-        crossview.distinct_values(df, "country", at_most=2)
+    clash = df.unionByName(spark.createDataFrame([(None, "null")], df.schema))
+    matrix = crossview.coverage_matrix(clash, "item", "country", crossview.distinct_values(clash, "country"))
+    assert matrix.columns == ["item", "null_", "X", "Y", "null"]
+    assert rows(matrix, "*") == [("Cases", 1, 1, 0, 0), (None, 0, 0, 1, 1)]
+    assert crossview.coverage_pairs(df, "item", "country").count() == 3
+
+
+def test_unknown_is_told_from_a_value_of_that_name(spark):
+    areas = ["HIV", None, "Unknown", "Unknown_", "Unknowns", ""]
+    df = spark.createDataFrame([(a,) for a in areas], "area string")
+    stored = fill_unknown(df, "area")
+    assert [r[0] for r in stored.collect()] == ["HIV", "Unknown", "Unknown_", "Unknown__", "Unknowns", ""]
+    assert [r[0] for r in restore_unknown(stored, "area").collect()] == areas
 
 
 # Drift and incremental
@@ -330,6 +341,15 @@ def test_new_periods(spark):
         ("202402", 1), ("202402", 9), ("202403", None)]
 
 
+def test_late_reports_reload_their_period_whatever_their_stamp(spark):
+    df = spark.createDataFrame([("202401", "a", 5), ("202401", "b", 1), ("202402", None, 2), ("202403", "a", 1)],
+                               "period string, k string, last_updated_at int")
+    loaded = spark.createDataFrame([("202401", "a", 5), ("202402", None, 2), ("202403", "a", None)],
+                                   "year_month string, k string, last_updated_at int")
+    assert rows(new_periods_only(df, loaded, reprocess_corrected=True, key=["k"]), "period", "k") == [
+        ("202401", "a"), ("202401", "b"), ("202403", "a")]
+
+
 def test_periods_reject_trailing_text(spark):
     df = spark.createDataFrame([("202401x",), ("x202401",), ("２０２４０１",)], "p string")
     assert df.filter(is_period(F.col("p"))).isEmpty()

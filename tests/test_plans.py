@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wardbook.functions.sizing import broadcast_if_small
 from wardbook.operators import crossview, facilities
 from wardbook.operators.contract import ColumnSpec, contract_report
 from wardbook.operators.drift import snapshot_drift
@@ -135,13 +134,6 @@ def test_loaded_periods_are_skipped_without_shuffling_the_export(plan, facts):
     assert text.count("Exchange hashpartitioning") == 1  # the distinct periods
 
 
-def test_broadcast_only_below_the_bound(spark, plan):
-    joined = spark.range(100).join(broadcast_if_small(spark.range(10), 10), "id")
-    assert "strategy=broadcast" in plan(joined, "extended")
-    joined = spark.range(100).join(broadcast_if_small(spark.range(10), 9), "id")
-    assert "strategy=broadcast" not in plan(joined, "extended")
-
-
 def test_analytics_read_the_columns_they_need(spark, plan, tmp_path):
     columns = ", ".join(f"cast(null as {t}) {n}" for n, t in _fact_types())
     path = str(tmp_path / "fact")

@@ -8,6 +8,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from wardbook.errors import JobStopped
+from wardbook.operators.validity import MAX_QUARANTINE_RATE
 from wardbook.plans.job import JobOptions, run
 from wardbook.sources.contracts import read_contract
 
@@ -24,17 +25,23 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--multi-line", action="store_true", help="exports are pretty-printed")
     parser.add_argument("--data-values-as-lines", action="store_true",
                         help="data values are one record per line")
+    parser.add_argument("--keep-corrupt", action="store_true", help="keep the text of documents that do not parse")
+    parser.add_argument("--strict-periods", action="store_true", help="a period needs a month from 01 to 12")
+    parser.add_argument("--max-quarantine-rate", type=float, default=MAX_QUARANTINE_RATE)
+    parser.add_argument("--calendar", action="store_true", help="compare months by the calendar, not by rows")
+    parser.add_argument("--min-periods", type=int, default=1, help="months a rolling average needs")
+    parser.add_argument("--exclude-current", action="store_true", help="judge a value by the ones before it only")
+    parser.add_argument("--equal-facilities", action="store_true", help="each facility weighs the same in mean scores")
+    parser.add_argument("--keep-null-country", action="store_true", help="give the null country a reporting rate")
+    parser.add_argument("--facility-register", action="store_true", help="expect all facilities of the tree to report")
+    parser.add_argument("--additive-volumes", action="store_true", help="sum indicators that add up only")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("wardbook").getOrCreate()
-    options = JobOptions(
-        incremental=args.incremental,
-        reprocess_corrected=args.reprocess_corrected,
-        reference_metadata=args.reference_metadata,
-        multi_line=args.multi_line,
-        data_values_as_lines=args.data_values_as_lines,
-        **({"contract": tuple(read_contract(spark, args.contract))} if args.contract else {}),
-    )
+    given = {k: v for k, v in vars(args).items() if k not in ("data_dir", "output_dir", "contract")}
+    if args.contract:
+        given["contract"] = tuple(read_contract(spark, args.contract))
+    options = JobOptions(**given)
     try:
         run(spark, args.data_dir, args.output_dir, options)
     except JobStopped as stopped:

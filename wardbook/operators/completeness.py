@@ -62,8 +62,9 @@ def mean_score(
     mean: str = "avg_completeness_score",
     unit: Sequence[str] | None = None,
     weight: str | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Mean score per group, sorted by it.
+    """Mean score per group, sorted by it if ``ordered``.
 
     By default each row weighs the same, so units with many rows weigh more; ``weight`` names
     a column of row counts where rows were counted before. Naming the ``unit`` columns lets
@@ -76,4 +77,5 @@ def mean_score(
     else:
         weights = F.sum(F.when(F.col(score).isNotNull(), F.col(weight)))
         average = F.sum(F.col(score) * F.col(weight)) / F.nullif(weights, F.lit(0))
-    return df.groupBy(*by).agg(average.alias(mean)).orderBy(*by)
+    means = df.groupBy(*by).agg(average.alias(mean))
+    return means.orderBy(*by) if ordered else means

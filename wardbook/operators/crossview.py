@@ -30,21 +30,28 @@ def volumes(
     return df.groupBy(*by).agg(F.sum(measure).alias(total)).orderBy(*by)
 
 
-def distinct_values(df: DataFrame, column: str, at_most: int = 1000) -> list:
-    """Sorted distinct values to use as output columns, null first; more than ``at_most`` is an error."""
-    rows = df.select(column).distinct().limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"{column} has more than {at_most} values, too many to become columns")
+def distinct_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct values to use as output columns, null first; a table's width bounds them."""
+    rows = df.select(column).distinct().collect()
     return sorted((r[0] for r in rows), key=lambda v: (v is not None, v))
 
 
+def coverage_pairs(df: DataFrame, row: str, column: str) -> DataFrame:
+    """The pairs that occur, one row each: the matrix's ones in a form that any number of columns fits."""
+    return df.select(row, column).distinct()
+
+
 def coverage_matrix(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
-    """One row per ``row`` value, a 0/1 column per entry of ``values``; a null entry is named ``null``.
+    """One row per ``row`` value, a 0/1 column per entry of ``values``.
 
-    A plain aggregate: it folds before the single shuffle and needs no job to find columns.
+    A null entry is named ``null``, with ``_`` after it while a value has that name. A plain
+    aggregate: it folds before the single shuffle and needs no job to find columns.
     """
+    null = NULL_COLUMN
+    while null in {str(v) for v in values if v is not None}:
+        null += "_"
     return df.groupBy(row).agg(*[
-        F.max(F.col(column).eqNullSafe(F.lit(v)).cast("int")).alias(NULL_COLUMN if v is None else str(v))
+        F.max(F.col(column).eqNullSafe(F.lit(v)).cast("int")).alias(null if v is None else str(v))
         for v in values
     ])
 

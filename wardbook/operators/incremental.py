@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardbook.functions.sizing import broadcast_if_small
+from wardbook.functions.columns import join_null_safe
 
 
 def new_periods_only(
@@ -15,23 +17,26 @@ def new_periods_only(
     loaded_period: str = "year_month",
     updated: str = "last_updated_at",
     reprocess_corrected: bool = False,
+    key: Sequence[str] = (),
 ) -> DataFrame:
     """Rows whose period is not among the loaded ones; rows without a period are left out.
 
-    With ``reprocess_corrected`` a loaded period comes back whole, all its rows, if any of
-    them was updated after everything loaded for that period. The periods to skip are folded
-    to one row each, counted, and broadcast if they are as few as expected, which spares
-    ``df`` a shuffle by a column with few values.
+    With ``reprocess_corrected`` a loaded period comes back whole, all its rows, if it offers a
+    key that is not loaded, whatever its time stamp, or a newer row of one that is. Keys are
+    compared one by one, as a late report may carry an older stamp than others of its period.
+    Both sides fold to one row per key before they meet.
     """
     df = df.filter(F.col(period).isNotNull())
-    if reprocess_corrected:
-        last_loaded = loaded.groupBy(F.col(loaded_period).alias(period)).agg(F.max(updated).alias("__loaded"))
-        skipped = (
-            df.groupBy(period).agg(F.max(updated).alias("__offered"))
-            .join(last_loaded, period)
-            .filter(F.col("__offered").isNull() | (F.col("__offered") <= F.col("__loaded")))
-            .select(period)
-        )
-    else:
+    if not reprocess_corrected:
         skipped = loaded.select(F.col(loaded_period).alias(period)).distinct()
-    return df.join(broadcast_if_small(skipped), period, "left_anti")
+        return df.join(skipped, period, "left_anti")
+    offered = df.groupBy(period, *key).agg(F.max(updated).alias("__offered"))
+    held = (
+        loaded.withColumnRenamed(loaded_period, period).groupBy(period, *key)
+        .agg(F.max(updated).alias("__held"), F.lit(True).alias("__is_held"))
+    )
+    newer = F.col("__is_held").isNull() | (
+        F.col("__offered").isNotNull() & F.coalesce(F.col("__offered") > F.col("__held"), F.lit(True))
+    )
+    changed = join_null_safe(offered, held, [period, *key], "left").filter(newer).select(period).distinct()
+    return df.join(changed, period, "left_semi")

@@ -19,11 +19,17 @@ def project_fact(df: DataFrame, columns: Sequence[str] | Mapping[str, Column]) -
 
 
 def fill_unknown(df: DataFrame, column: str, unknown: str = UNKNOWN) -> DataFrame:
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(unknown)))
+    """Name the null; a value that has this name already, with or without ``_`` after it, gets one more ``_``."""
+    value = F.col(column)
+    named = F.when(value.rlike(f"^{unknown}_*$"), F.concat(value, F.lit("_"))).otherwise(value)
+    return df.withColumn(column, F.coalesce(named, F.lit(unknown)))
 
 
 def restore_unknown(df: DataFrame, column: str, unknown: str = UNKNOWN) -> DataFrame:
-    return df.withColumn(column, F.when(F.col(column) != unknown, F.col(column)))
+    """Undo ``fill_unknown``."""
+    value = F.col(column)
+    plain = F.when(value.rlike(f"^{unknown}_+$"), F.expr(f"left(`{column}`, char_length(`{column}`) - 1)")).otherwise(value)
+    return df.withColumn(column, F.when(value != unknown, plain))
 
 
 def ambiguous_keys(bridge: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardbook.functions.columns import join_null_safe
-from wardbook.functions.sizing import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -50,7 +49,7 @@ def over_trailing_rows(
 
     columns = df.columns
     binned = df.withColumn("__bin", split.bin)
-    chunks = broadcast_if_small(_chunks_per_bin(binned, keys, split.rows_per_chunk, carry=-start))
+    chunks = _chunks_per_bin(binned, keys, split.rows_per_chunk, carry=-start)
     placed = (
         join_null_safe(binned, chunks, [*keys, "__bin"])
         .select(*columns, F.explode("__chunks").alias("__place"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from wardbook.errors import QuarantineRateExceeded
@@ -47,9 +47,9 @@ def validity_summary(df: DataFrame, flag: str = "is_valid") -> DataFrame:
     )
 
 
-def enforce_rate(summary: DataFrame, limit: float = MAX_QUARANTINE_RATE) -> dict:
-    """Raise if the malformed share exceeds ``limit``; return the one-row summary otherwise."""
-    row = summary.first().asDict()
+def enforce_rate(summary: DataFrame | Row, limit: float = MAX_QUARANTINE_RATE) -> dict:
+    """Raise if the malformed share of a ``validity_summary`` exceeds ``limit``; return its row otherwise."""
+    row = (summary.first() if isinstance(summary, DataFrame) else summary).asDict()
     if row["quarantine_rate"] > limit:
         raise QuarantineRateExceeded(
             f"{row['malformed_rows']} of {row['total_rows']} rows are malformed,"
@@ -60,8 +60,12 @@ def enforce_rate(summary: DataFrame, limit: float = MAX_QUARANTINE_RATE) -> dict
 
 def dq_summary(stages: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per named stage, in one job."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(stage).alias("stage"), "rows")
-        for stage, df in stages.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    return reduce(DataFrame.unionByName, [count_stages(df, {name: F.lit(True)}) for name, df in stages.items()])
+
+
+def count_stages(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
+    """Rows of ``df`` per named condition, from one pass: ``(stage, rows)``."""
+    counts = df.agg(F.array(*[
+        F.struct(F.lit(name).alias("stage"), F.count_if(condition).alias("rows")) for name, condition in stages.items()
+    ]).alias("counts"))
+    return counts.select(F.inline("counts"))

@@ -7,6 +7,7 @@ after the aggregate, on few rows.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,8 +27,9 @@ from wardbook.operators.records import explode_records
 from wardbook.operators.resolve import resolve, unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
 from wardbook.operators.trailing import HotKeySplit
-from wardbook.operators.validity import dq_summary, split_valid, validity_summary, with_validity
+from wardbook.operators.validity import count_stages, split_valid, validity_summary, with_validity
 from wardbook.plans import facility
+from wardbook.sources.tables import Workspace
 
 # The driver tables' columns, so that no job has to look them up in file footers.
 TABLE_SCHEMAS = {
@@ -46,7 +48,6 @@ TABLE_SCHEMAS = {
     "embeddings": "vec_id long, embedding array<float>, label int",
     "labels": "doc_id long, quality int, toxic int",
 }
-PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 # The mean of 128 fifths can end in a five at the seventh digit, where the order of a sum of
 # doubles would decide the rounding; no mean of these tables ends that way at the tenth.
 MEAN_DIGITS = 9
@@ -65,6 +66,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def workspace(spark: SparkSession) -> Workspace:
+    """Work tables of one query; a session without a checkpoint folder, as on one machine, gets a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return Workspace(spark, named or tempfile.mkdtemp(prefix="wardbook-"))
+
+
 def _cents(column: str) -> Column:
     return F.floor(F.col(column) * 100 + 0.5)
 
@@ -129,16 +136,14 @@ def quarantine_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = _unpadded_periods(spark, sf_dir)
-    valid, malformed = split_valid(flagged)
-    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    return dq_summary({
-        "orders": flagged,
-        "valid_orders": valid,
-        "malformed_orders": malformed,
-        "documents": documents,
-        "unlabelled_documents": unresolved(documents, labels, ["doc_id"]),
-    })
+    """One scan of each table, whatever the number of stages counted from it."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("labelled"))
+    return count_stages(_unpadded_periods(spark, sf_dir), {
+        "orders": F.lit(True), "valid_orders": F.col("is_valid"), "malformed_orders": ~F.col("is_valid"),
+    }).unionByName(count_stages(resolve(documents, labels, ["doc_id"]), {
+        "documents": F.lit(True), "unlabelled_documents": F.col("labelled").isNull(),
+    }))
 
 
 def period_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,7 +425,8 @@ def volumes_additive_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _table(spark, sf_dir, "orders")
-    return crossview.coverage_matrix(orders, "o_custkey", "o_orderpriority", PRIORITIES)
+    priorities = crossview.distinct_values(orders, "o_orderpriority")
+    return crossview.coverage_matrix(orders, "o_custkey", "o_orderpriority", priorities)
 
 
 def document_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -446,14 +452,14 @@ def priority_drift_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").cast("string").alias("day"))
+        "o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date").cast("string").alias("day"))
 
 
 def new_days_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of days from which no finished order has been loaded."""
     orders = _dated_orders(spark, sf_dir)
     loaded = orders.filter(F.col("o_orderstatus") == "F")
-    return new_periods_only(orders, loaded, period="day", loaded_period="day")
+    return new_periods_only(orders, loaded, period="day", loaded_period="day").drop("o_orderpriority")
 
 
 def new_or_corrected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,7 +467,22 @@ def new_or_corrected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _dated_orders(spark, sf_dir)
     loaded = orders.filter(F.col("o_orderstatus") == "F")
     return new_periods_only(
-        orders, loaded, period="day", loaded_period="day", updated="o_orderkey", reprocess_corrected=True)
+        orders, loaded, period="day", loaded_period="day", updated="o_orderkey", reprocess_corrected=True,
+    ).drop("o_orderpriority")
+
+
+def new_or_corrected_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of months in which a customer's priority is not loaded, or was loaded from an older order only.
+
+    Loaded are finished orders. An order's priority is missing where it is not specified.
+    """
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("priority"),
+        (F.col("o_custkey") % 100).alias("customer_group"), F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    loaded = orders.filter((F.col("o_orderstatus") == "F") | (F.col("o_orderkey") % 3 > 0))
+    return new_periods_only(
+        orders, loaded, period="day", loaded_period="day", updated="o_orderkey", reprocess_corrected=True,
+        key=["customer_group", "priority"])
 
 
 def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -497,7 +518,9 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part")
     lines = _table(spark, sf_dir, "lineitem")
     area = F.substring("p_brand", 1, 7)
-    observations = (
+    work = workspace(spark)
+    # Used by the scores and by the fact: built once, as the job does.
+    observations = work.keep((
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
         .join(part, lines["l_partkey"] == part["p_partkey"])
         .select(
@@ -512,7 +535,7 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_shipdate").alias("last_updated_at"),
             F.col("o_orderstatus").alias("followup"),
         )
-    )
+    ), "observations")
     indicators = part.select(
         F.col("p_brand").alias("data_element_uid"), F.lower("p_brand").alias("data_element_name"),
         F.lit("INTEGER").alias("value_type"), area.alias("health_area"),
@@ -528,9 +551,10 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     supplier, nation = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "nation")
     region = _table(spark, sf_dir, "region")
-    bridge = (
-        lines.join(part, lines["l_partkey"] == part["p_partkey"])
-        .join(supplier, lines["l_suppkey"] == supplier["s_suppkey"])
+    # Pairs first: they are as many as parts and suppliers meet, not as many as lines.
+    pairs = lines.join(part, lines["l_partkey"] == part["p_partkey"]).select("p_brand", "l_suppkey").distinct()
+    bridge = work.keep((
+        pairs.join(supplier, pairs["l_suppkey"] == supplier["s_suppkey"])
         .join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
         .join(region, nation["n_regionkey"] == region["r_regionkey"])
         .select(
@@ -538,7 +562,8 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             area.alias("program_health_area"), F.col("r_name").alias("program_country"),
             F.col("p_brand").alias("data_element_uid"),
         ).distinct()
-    )
+    ), "bridge")
+    indicators, hierarchy = work.keep(indicators, "indicators"), work.keep(hierarchy, "hierarchy")
     scores = facility.completeness(facility.name_reports(observations, indicators, hierarchy), bridge)
     enriched = facility.enrich(observations, indicators, flags, hierarchy, bridge, scores)
     return facility.fact_service_delivery(enriched).withColumns({
@@ -586,6 +611,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_totals": priority_drift_totals,
     "new_periods_only": new_days_only,
     "new_or_corrected_periods": new_or_corrected_days,
+    "new_or_corrected_keys": new_or_corrected_keys,
     "star_fact": star_fact,
     "service_fact": service_fact,
 }

@@ -105,23 +105,12 @@ def enrich(
     """Latest observations with names, scores, typed values, flags and programs.
 
     Duplicates go before the joins: their key is part of the raw row, so nothing is widened
-    only to be dropped. Scores are attached next, by the only join that may have to shuffle,
-    while rows carry no names but the two it needs. Each lookup holds a key once; only the
-    bridge may multiply rows.
+    only to be dropped. Each lookup is joined once and holds a key once; only the bridge may
+    multiply rows.
     """
-    keyed = resolve(
-        resolve(
-            latest_observations(observations),
-            indicators.select("data_element_uid", "health_area"), ["data_element_uid"],
-        ),
-        hierarchy.select("org_unit_uid", "country_name"), ["org_unit_uid"],
-    )
-    named = resolve(
-        resolve_metadata(
-            attach_completeness(keyed, scores), indicators.drop("health_area"), category_options
-        ),
-        hierarchy.drop("country_name"), ["org_unit_uid"],
-    )
+    latest = resolve(resolve_metadata(latest_observations(observations), indicators, category_options),
+                     hierarchy, ["org_unit_uid"])
+    named = attach_completeness(latest, scores)
     typed = with_quality_flags(with_typed_values(with_period_columns(named)))
     programs = bridge.select(
         "data_element_uid",
@@ -220,10 +209,10 @@ def global_volumes_by_quarter(fact: DataFrame, indicators: DataFrame | None = No
     )
 
 
-def completeness_comparison(fact: DataFrame, equal_facilities: bool = False) -> DataFrame:
+def completeness_comparison(fact: DataFrame, equal_facilities: bool = False, ordered: bool = True) -> DataFrame:
     return scoring.mean_score(
         fact, ["country_name", "health_area", "period"],
-        unit=["org_unit_uid"] if equal_facilities else None,
+        unit=["org_unit_uid"] if equal_facilities else None, ordered=ordered,
     )
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.errors import EmptyFact
@@ -16,15 +17,15 @@ from wardbook.operators.incremental import new_periods_only
 from wardbook.operators.latest import unique_lookup
 from wardbook.operators.resolve import flag_unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown
-from wardbook.operators.validity import (
-    MAX_QUARANTINE_RATE, dq_summary, enforce_rate, split_valid, validity_summary,
-)
+from wardbook.operators.validity import MAX_QUARANTINE_RATE, enforce_rate, split_valid, validity_summary
 from wardbook.plans import facility
 from wardbook.sources import exports as ex
 from wardbook.sources.tables import (
-    Workspace, exists, side_by_side, write_csv, write_json, write_parquet, write_partitioned,
+    Workspace, drop_partitions, exists, side_by_side, write_csv, write_json, write_parquet, write_partitioned,
 )
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class JobOptions:
@@ -38,6 +39,13 @@ class JobOptions:
     keep_corrupt: bool = False
     strict_periods: bool = False
     max_quarantine_rate: float = MAX_QUARANTINE_RATE
+    calendar: bool = False
+    min_periods: int = 1
+    exclude_current: bool = False
+    equal_facilities: bool = False
+    keep_null_country: bool = False
+    facility_register: bool = False
+    additive_volumes: bool = False
     contract: tuple[ColumnSpec, ...] = tuple(facility.FACT_CONTRACT)
 
 
@@ -51,12 +59,32 @@ class Lookups:
 
 
 def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions = JobOptions()) -> bool:
-    """Run the job; False means that an incremental run found no new months.
+    """Run the job; False means that an incremental run found nothing to load.
 
-    Raises an error of ``wardbook.errors`` when a gate fails. Intermediate tables are written
-    once and read back, so each export is parsed once and every later step prunes columns.
+    Raises an error of ``wardbook.errors`` when a gate fails; the summary then holds the counts up
+    to that gate. Intermediate tables are written once and read back, so each export is parsed
+    once and every later step prunes columns. They are deleted when a run ends well, and left
+    for inspection when it does not.
     """
     work = Workspace(spark, fallback=f"{out_dir}/work")
+    counts: dict[str, int] = {}
+    try:
+        loaded = _run(spark, data_dir, out_dir, options, work, counts)
+    finally:
+        if counts:
+            rows = spark.createDataFrame(list(counts.items()), "stage string, rows long")
+            write_csv(rows.coalesce(1), f"{out_dir}/dq/summary")
+    work.delete()
+    return loaded
+
+
+def _run(
+    spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions, work: Workspace, counts: dict[str, int]
+) -> bool:
+    def count(stage: str, rows: int) -> None:
+        counts[stage] = rows
+        log.info("%s: %d rows", stage, rows)
+
     warehouse, dq = f"{out_dir}/warehouse", f"{out_dir}/dq"
     fact_path = f"{warehouse}/fact_service_delivery"
 
@@ -73,15 +101,20 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     extends = options.incremental and exists(spark, fact_path)
     if extends:
         valid = new_periods_only(
-            valid, facility.read_fact(spark, fact_path).select("year_month", "last_updated_at"),
+            valid, facility.read_fact(spark, fact_path).drop("period"),
             reprocess_corrected=options.reprocess_corrected,
+            key=[c for c in facility.OBSERVATION_KEY if c != "period"],
         )
+        valid = work.keep(valid, "new_observations")
         if valid.isEmpty():
             return False
-        valid = work.keep(valid, "new_observations")
 
     write_parquet(malformed, f"{out_dir}/quarantine/malformed_data_values")
-    enforce_rate(validity_summary(landed), options.max_quarantine_rate)
+    landing = validity_summary(landed).first()
+    count("flattened_data_values", landing["total_rows"])
+    count("malformed_data_values", landing["malformed_rows"])
+    count("processed_data_values", valid.count() if extends else landing["valid_rows"])
+    enforce_rate(landing, options.max_quarantine_rate)
 
     lookups = _lookups(work, exports)
     scores = work.keep(
@@ -90,12 +123,14 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
         ),
         "completeness",
     )
+    cleaned = Observation("clean")
     clean = work.keep(
         facility.enrich(
             valid, lookups.indicators, lookups.category_options, lookups.hierarchy, lookups.bridge, scores
-        ),
+        ).observe(cleaned, F.count(F.lit(1)).alias("rows")),
         "clean",
     )
+    count("enriched_data_values", cleaned.get["rows"])
     snapshot = f"{warehouse}/metadata_snapshot"
     side_by_side(
         spark,
@@ -111,7 +146,7 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     )
 
     fact = facility.fact_service_delivery(clean)
-    if fact.isEmpty():
+    if not counts["enriched_data_values"]:
         raise EmptyFact("The fact has no rows")
     enforce_contract(fact, options.contract)
 
@@ -122,6 +157,7 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
         )
 
     if extends:
+        _drop_emptied_partitions(spark, fact, fact_path)
         write_fact()
         whole_fact, fact_writes = facility.read_fact(spark, fact_path), []
     else:
@@ -130,23 +166,28 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
         spark,
         *fact_writes,
         *_dimensions(whole_fact, lookups, warehouse),
-        *_analytics(whole_fact, f"{out_dir}/analytics"),
-        *_cross_country(work, whole_fact, f"{out_dir}/cross_country"),
+        *_analytics(whole_fact, lookups, options, f"{out_dir}/analytics"),
+        *_cross_country(work, whole_fact, lookups, options, f"{out_dir}/cross_country"),
         lambda: write_parquet(lookups.indicators, snapshot),
-        lambda: write_csv(
-            dq_summary({
-                "flattened_data_values": landed,
-                "malformed_data_values": malformed,
-                "processed_data_values": valid,
-                "enriched_data_values": clean,
-                "fact_service_delivery": whole_fact,
-            }),
-            f"{dq}/summary",
-        ),
     )
+    count("fact_service_delivery", whole_fact.count() if extends else counts["enriched_data_values"])
     return True
 
 
+def _drop_emptied_partitions(spark: SparkSession, fact: DataFrame, fact_path: str) -> None:
+    """Delete the partitions of reloaded months that get no rows now, as where an area has changed.
+
+    The others are replaced when the fact is written. This comes first: if a run is cut off in
+    between, rows are missing, which the next run sees and loads, and never there twice. The
+    list has an entry per area and reloaded month at most.
+    """
+    new = fill_unknown(fact, "health_area").select(*facility.FACT_PARTITIONS).distinct()
+    held = fill_unknown(facility.read_fact(spark, fact_path), "health_area").select(*facility.FACT_PARTITIONS).distinct()
+    emptied = held.join(new.select("year_month").distinct(), "year_month", "left_semi").select(
+        *facility.FACT_PARTITIONS).exceptAll(new)
+    drop_partitions(spark, fact_path, facility.FACT_PARTITIONS, emptied.collect())
+
+
 def _lookups(work: Workspace, exports: dict[str, DataFrame]) -> Lookups:
     """Lookups with one row per key, written so that Spark knows their size when it plans joins."""
     programs = ex.flatten_programs(exports["programs"]).filter(F.col("program_uid").isNotNull())
@@ -211,28 +252,45 @@ def _dimensions(fact: DataFrame, lookups: Lookups, folder: str) -> list[Callable
     ]
 
 
-def _analytics(fact: DataFrame, folder: str) -> list[Callable[[], None]]:
+def _analytics(fact: DataFrame, lookups: Lookups, options: JobOptions, folder: str) -> list[Callable[[], None]]:
+    register = lookups.hierarchy.select("country_name", "org_unit_uid") if options.facility_register else None
     return [
-        lambda: write_csv(facility.month_over_month_change(fact), f"{folder}/month_over_month_change"),
-        lambda: write_csv(facility.rolling_three_month_average(fact), f"{folder}/rolling_3_month_average"),
-        lambda: write_csv(facility.country_reporting_rate(fact), f"{folder}/country_reporting_rate"),
+        lambda: write_csv(
+            facility.month_over_month_change(fact, options.calendar), f"{folder}/month_over_month_change"
+        ),
+        lambda: write_csv(
+            facility.rolling_three_month_average(fact, options.min_periods, options.calendar),
+            f"{folder}/rolling_3_month_average",
+        ),
+        lambda: write_csv(
+            facility.country_reporting_rate(
+                fact, expected_units=register, keep_null_group=options.keep_null_country
+            ),
+            f"{folder}/country_reporting_rate",
+        ),
         lambda: write_csv(
             facility.top_underreporting_facilities(fact), f"{folder}/top_underreporting_facilities"
         ),
-        lambda: write_csv(facility.anomalies(fact), f"{folder}/anomalies"),
+        lambda: write_csv(facility.anomalies(fact, options.exclude_current), f"{folder}/anomalies"),
     ]
 
 
-def _cross_country(work: Workspace, fact: DataFrame, folder: str) -> list[Callable[[], None]]:
+def _cross_country(
+    work: Workspace, fact: DataFrame, lookups: Lookups, options: JobOptions, folder: str
+) -> list[Callable[[], None]]:
     def write_scores() -> None:
-        scores = work.keep(facility.completeness_comparison(fact), "mean_scores")
+        means = facility.completeness_comparison(fact, options.equal_facilities, ordered=False)
+        scores = work.keep(means, "mean_scores")
         write_csv(
             scores.orderBy("country_name", "health_area", "period"), f"{folder}/completeness_comparison"
         )
         write_csv(facility.low_completeness_flags(scores), f"{folder}/low_completeness_flags")
 
     return [
-        lambda: write_csv(facility.global_volumes_by_quarter(fact), f"{folder}/global_volumes_by_quarter"),
+        lambda: write_csv(
+            facility.global_volumes_by_quarter(fact, lookups.indicators if options.additive_volumes else None),
+            f"{folder}/global_volumes_by_quarter",
+        ),
         lambda: write_csv(
             facility.data_element_coverage_matrix(fact), f"{folder}/data_element_coverage_matrix"
         ),

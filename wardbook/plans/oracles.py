@@ -328,6 +328,14 @@ ORACLES: dict[str, str] = {
               FROM o GROUP BY day)
         SELECT o.* FROM o JOIN d USING (day) WHERE loaded IS NULL OR offered > loaded
     """,
+    "new_or_corrected_keys": """
+        WITH o AS (SELECT o_orderkey, o_orderstatus, nullif(o_orderpriority, '4-NOT SPECIFIED') AS priority,
+                          o_custkey % 100 AS customer_group, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders),
+        k AS (SELECT day, customer_group, priority, max(o_orderkey) AS offered,
+                     max(CASE WHEN o_orderstatus = 'F' OR o_orderkey % 3 > 0 THEN o_orderkey END) AS held
+              FROM o GROUP BY ALL)
+        SELECT * FROM o WHERE day IN (SELECT day FROM k WHERE held IS NULL OR offered > held)
+    """,
     "star_fact": f"""
         SELECT o_orderkey, c_custkey AS org_unit_uid, c_name AS facility_name, n_name AS country_name,
                r_name AS region_name,

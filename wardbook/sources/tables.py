@@ -46,14 +46,26 @@ def read_typed(spark: SparkSession, path: str, schema: str, columns: Sequence[st
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether Spark can open a Parquet table at ``path``."""
+    """Whether there is a Parquet table at ``path``. One that cannot be opened is an error."""
     try:
         spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 
 
+def drop_partitions(spark: SparkSession, path: str, by: Sequence[str], values: Sequence[Sequence[str]]) -> None:
+    """Delete the folders of the given partitions of a table that ``write_partitioned`` wrote."""
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for partition in values:
+        name = "/".join(f"{escape(c)}={escape(v)}" for c, v in zip(by, partition))
+        folder = jvm.org.apache.hadoop.fs.Path(path, name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def side_by_side(spark: SparkSession, *steps: Callable, at_once: int = 8) -> list:
     """Results of independent steps whose Spark jobs may overlap; the first failure is raised.
 
@@ -80,3 +92,8 @@ class Workspace:
         path = f"{self.folder}/{name}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def delete(self) -> None:
+        """Delete the run's tables; nothing that reads them may run after it."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
