@@ -9,6 +9,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from wardbook.llm.common import workspace
 from wardbook.llm.oracles import ORACLES
 
 COLUMNS = "doc_id, text, lang, source, n_chars"
@@ -39,9 +40,9 @@ def plain_stages(sf_dir):
 
 def test_pipeline_equals_plain_stages(spark, sf_dir):
     kept = plain_stages(sf_dir)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, work = spark.read.parquet(f"{sf_dir}/documents.parquet"), workspace(spark)
     for name, stage in corpus_pipeline.STAGES[:3]:
-        docs = stage(spark, docs, sf_dir)
+        docs = work.keep(stage(spark, docs, sf_dir), name)
         assert ", ".join(docs.columns) == COLUMNS, name
     found = docs.collect()
     assert sorted((r.doc_id, r.source, r.text) for r in found) == sorted(kept)

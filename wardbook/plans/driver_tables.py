@@ -28,7 +28,7 @@ from wardbook.operators.resolve import resolve, unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
 from wardbook.operators.trailing import HotKeySplit
 from wardbook.operators.validity import count_stages, split_valid, validity_summary, with_validity
-from wardbook.plans import facility
+from wardbook.plans import export_queries, facility
 from wardbook.sources.tables import Workspace
 
 # The driver tables' columns, so that no job has to look them up in file footers.
@@ -571,7 +571,12 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def _over_tables(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(spark, lambda name: _table(spark, sf_dir, name))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **{name: _over_tables(query) for name, query in export_queries.QUERIES.items()},
     "volumes_by_quarter": volumes_by_quarter,
     "volumes_additive_only": volumes_additive_only,
     "explode_records": explode_embeddings,

@@ -274,6 +274,53 @@ ORACLES: dict[str, str] = {
     """,
     "rolling_anomalies": _anomalies("11 PRECEDING AND CURRENT ROW"),
     "rolling_anomalies_prior": _anomalies("12 PRECEDING AND 1 PRECEDING"),
+    "flatten_data_values": """
+        WITH r AS (SELECT * FROM lineitem WHERE l_orderkey % 7 > 0)
+        SELECT CAST(l_partkey AS VARCHAR) AS data_element_uid, strftime(l_shipdate, '%Y%m') AS period,
+               'S' || l_suppkey AS org_unit_uid, nullif(l_returnflag, 'N') AS category_option_combo_uid,
+               l_linestatus AS attribute_option_combo_uid, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS raw_value,
+               lower('User' || l_returnflag) AS stored_by, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS created_at,
+               CASE WHEN l_linenumber <> 3 THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS last_updated_at,
+               CAST(NULL AS VARCHAR) AS followup FROM r
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+        FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 7 = 0)
+    """,
+    "flatten_indicators": """
+        SELECT 'P' || p_partkey AS data_element_uid, p_name AS data_element_name,
+               CASE WHEN p_size > 10 THEN 'NUMBER' END AS value_type, 'AGGREGATE' AS domain_type,
+               CASE WHEN p_size % 2 = 0 THEN 'SUM' ELSE 'AVERAGE' END AS aggregation_type,
+               p_size > 25 AS zero_is_significant,
+               CASE WHEN p_size % 3 > 0 THEN p_brand END AS category_combo_uid,
+               CASE WHEN p_size % 3 > 0 THEN lower(p_brand) END AS category_combo_name,
+               CASE WHEN p_size % 5 > 0 THEN split_part(p_type, ' ', 1) END AS health_area
+        FROM part
+    """,
+    "flatten_category_options": """
+        SELECT 'S' || s_suppkey AS category_option_combo_uid,
+               CASE WHEN s_acctbal > 0 THEN s_name END AS category_option_combo_name FROM supplier
+    """,
+    "flatten_org_units": """
+        SELECT 'C' || c_custkey AS org_unit_uid, c_name AS org_unit_name, 2 AS org_unit_level,
+               '/N' || c_nationkey || '/C' || c_custkey AS org_unit_path,
+               CASE WHEN c_custkey % 9 > 0 THEN 'N' || c_nationkey END AS parent_org_unit_uid,
+               CASE WHEN c_custkey % 4 > 0 THEN concat_ws(',', c_mktsegment, CASE WHEN c_acctbal < 0 THEN 'in debt' END)
+                    ELSE '' END AS org_unit_groups
+        FROM customer
+    """,
+    "flatten_programs": f"""
+        SELECT p_brand || '/' || p_size AS program_uid, p_brand AS program_name,
+               substr(p_brand, 1, 7) AS program_health_area, CASE WHEN p_size > 5 THEN 'Alpha' END AS program_country,
+               'Monthly' AS reporting_frequency,
+               CASE WHEN p_size = 1 THEN '' ELSE string_agg(DISTINCT p_type, '|' ORDER BY p_type) END AS program_data_elements
+        FROM part GROUP BY p_brand, p_size
+    """,
+    "flatten_program_indicators": f"""
+        SELECT DISTINCT p_brand || '/' || p_size AS program_uid, p_brand AS program_name,
+               substr(p_brand, 1, 7) AS program_health_area, CASE WHEN p_size > 5 THEN 'Alpha' END AS program_country,
+               CASE WHEN p_size > 1 THEN p_type END AS data_element_uid
+        FROM part
+    """,
     "coverage_matrix": """
         SELECT o_custkey,
                CAST(max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS INTEGER) AS "1-URGENT",
