@@ -1,5 +1,7 @@
 """Plans: where Spark shuffles, broadcasts, prunes, and folds rows before a shuffle."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ from wardbook.operators.latest import latest_by
 from wardbook.operators.resolve import resolve, unresolved
 from wardbook.operators.trailing import HotKeySplit
 from wardbook.sources.tables import write_partitioned
-from wardbook.plans import facility
+from wardbook.plans import driver_tables, facility
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture
@@ -134,6 +138,19 @@ def test_loaded_periods_are_skipped_without_shuffling_the_export(plan, facts):
     assert text.count("Exchange hashpartitioning") == 1  # the distinct periods
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not there")
+def test_mean_scores_read_and_shuffle_events_once_per_step(spark, plan):
+    text = plan(driver_tables.mean_score(spark, SF_DIR))
+    assert text.count("events.parquet") == 1 and "BroadcastHashJoin" in text
+    assert text.count("Exchange hashpartitioning") <= 3
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not there")
+def test_stage_counts_scan_each_table_once(spark, plan):
+    text = plan(driver_tables.stage_counts(spark, SF_DIR))
+    assert [text.count(f"{t}.parquet") for t in ("orders", "documents", "labels")] == [1, 1, 1]
+
+
 def test_analytics_read_the_columns_they_need(spark, plan, tmp_path):
     columns = ", ".join(f"cast(null as {t}) {n}" for n, t in _fact_types())
     path = str(tmp_path / "fact")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +25,20 @@ def reported_counts(
     resolved: str | None = None,
     require_value: str | None = None,
     count: str = "reported_indicator_count",
+    rows: str | None = None,
 ) -> DataFrame:
     """Distinct items per unit and period, among rows where ``resolved`` is not null.
 
     A row without a value counts as reported unless ``require_value`` names the value column.
     Duplicates of an item fold before the shuffle, so a busy unit does not gather in one task.
+    ``rows`` names a column for the count of all rows of the unit, from the same pass; units that
+    reported nothing then stay, with a null count.
     """
+    if rows is not None:
+        counted = [F.col(c).isNotNull() for c in (resolved, require_value) if c is not None]
+        reported = F.when(reduce(lambda a, b: a & b, counted, F.lit(True)), F.col(item))
+        both = df.groupBy(*unit).agg(F.count_distinct(reported).alias(count), F.count(F.lit(1)).alias(rows))
+        return both.withColumn(count, F.nullif(count, F.lit(0)))
     for column in (resolved, require_value):
         if column is not None:
             df = df.filter(F.col(column).isNotNull())

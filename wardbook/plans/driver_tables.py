@@ -279,7 +279,7 @@ def _day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_day_scores(events: DataFrame) -> DataFrame:
-    expected = scoring.expected_counts(events, ["month"], "event_type")
+    expected = workspace(events.sparkSession).keep(scoring.expected_counts(events, ["month"], "event_type"), "expected")
     reported = scoring.reported_counts(
         events, ["month", "user_id", "day"], "event_type", require_value="value")
     return scoring.completeness(reported, expected, ["month"])
@@ -291,11 +291,15 @@ def user_day_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored_user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores attached to rows per user and day, counted first so that a busy user-day is one row."""
+    """One row per user and day with its score and its number of events, both from one pass.
+
+    Expected counts are one row per month, written so that Spark knows their size when it joins.
+    """
     events = _day_events(spark, sf_dir)
-    unit = ["month", "user_id", "day"]
-    counted = events.groupBy(*unit).agg(F.count(F.lit(1)).alias("rows"))
-    return scoring.attach(counted, _user_day_scores(events), unit)
+    expected = workspace(spark).keep(scoring.expected_counts(events, ["month"], "event_type"), "expected")
+    reported = scoring.reported_counts(
+        events, ["month", "user_id", "day"], "event_type", require_value="value", rows="rows")
+    return scoring.completeness(reported, expected, ["month"])
 
 
 def mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,13 +387,15 @@ def top_underreporting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facilities.top_underreporting(orders, "c_mktsegment", ["c_custkey"], "month", "finished_price")
 
 
-def _event_anomalies(spark: SparkSession, sf_dir: str, exclude_current: bool) -> DataFrame:
-    """Five event types share all events, so each type is cut into chunks of whole minutes."""
+def _event_anomalies(
+    spark: SparkSession, sf_dir: str, exclude_current: bool, split: HotKeySplit | None = None
+) -> DataFrame:
+    """Five event types share all events, so each type is cut into chunks, by default of whole minutes."""
     events = _table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
     minute = (F.unix_date(F.col("ts").cast("date")).cast("long") * 24 + F.hour("ts")) * 60 + F.minute("ts")
     found = facilities.rolling_anomalies(
         events, ["event_type"], ["ts", "event_id"], "value",
-        exclude_current=exclude_current, split=HotKeySplit(minute))
+        exclude_current=exclude_current, split=split or HotKeySplit(minute))
     return _rounded(found.drop("ts"), "rolling_mean", "rolling_stddev", "z_score")
 
 
@@ -401,6 +407,13 @@ def rolling_anomalies_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_anomalies(spark, sf_dir, exclude_current=True)
 
 
+def rolling_anomalies_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in many small chunks, whose bins go on below the minute: no minute has to fit a chunk."""
+    day = F.unix_date(F.col("ts").cast("date")).cast("long")
+    fine = F.struct(day.alias("day"), F.hour("ts").alias("hour"), F.minute("ts").alias("minute"), F.second("ts").alias("second"))
+    return _event_anomalies(spark, sf_dir, exclude_current=False, split=HotKeySplit(fine, rows_per_chunk=300))
+
+
 # Comparisons, governance, warehouse
 
 
@@ -610,6 +623,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_underreporting": top_underreporting,
     "rolling_anomalies": rolling_anomalies,
     "rolling_anomalies_prior": rolling_anomalies_prior,
+    "rolling_anomalies_chunks": rolling_anomalies_chunks,
     "coverage_matrix": coverage_matrix,
     "contract_report": document_contract,
     "snapshot_drift": priority_drift,

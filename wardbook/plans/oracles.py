@@ -274,6 +274,7 @@ ORACLES: dict[str, str] = {
     """,
     "rolling_anomalies": _anomalies("11 PRECEDING AND CURRENT ROW"),
     "rolling_anomalies_prior": _anomalies("12 PRECEDING AND 1 PRECEDING"),
+    "rolling_anomalies_chunks": _anomalies("11 PRECEDING AND CURRENT ROW"),
     "flatten_data_values": """
         WITH r AS (SELECT * FROM lineitem WHERE l_orderkey % 7 > 0)
         SELECT CAST(l_partkey AS VARCHAR) AS data_element_uid, strftime(l_shipdate, '%Y%m') AS period,
