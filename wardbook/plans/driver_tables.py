@@ -24,7 +24,7 @@ from wardbook.operators.hierarchy import flatten_hierarchy
 from wardbook.operators.incremental import new_periods_only
 from wardbook.operators.latest import latest_by, unique_lookup
 from wardbook.operators.records import explode_records
-from wardbook.operators.resolve import resolve, unresolved
+from wardbook.operators.resolve import flag_unresolved, resolve, unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
 from wardbook.operators.trailing import HotKeySplit
 from wardbook.operators.validity import count_stages, split_valid, validity_summary, with_validity
@@ -204,6 +204,27 @@ def unresolved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unresolved(documents, _table(spark, sf_dir, "labels"), ["doc_id"])
 
 
+def unresolved_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with an unknown or missing return flag, or from an unknown supplier, found in one pass."""
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.nullif("l_returnflag", F.lit("N")).alias("flag"), "l_suppkey")
+    flags = spark.range(1).select(F.lit("R").alias("flag"))
+    suppliers = _table(spark, sf_dir, "supplier").filter("s_acctbal >= 0").select(F.col("s_suppkey").alias("l_suppkey"))
+    return flag_unresolved(lines, {"unknown_flag": (flags, ["flag"]), "unknown_supplier": (suppliers, ["l_suppkey"])})
+
+
+def flag_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late order lines, missing attributes and zeros of documents: each the rows where a flag holds."""
+    late = late_flags(spark, sf_dir).filter("is_late_reported").select(
+        F.lit("late").alias("split"), F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("string").alias("part"))
+    documents = typed_values(spark, sf_dir)
+    missing, zeros = (
+        documents.filter(flag).select(F.lit(split).alias("split"), F.col("doc_id").alias("id"), F.col("data_element_name").alias("part"))
+        for flag, split in (("is_missing_value", "missing"), ("is_explicit_zero", "zero"))
+    )
+    return late.unionByName(missing).unionByName(zeros)
+
+
 def flatten_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     region, nation = _table(spark, sf_dir, "region"), _table(spark, sf_dir, "nation")
     customer = _table(spark, sf_dir, "customer")
@@ -603,6 +624,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_flags": late_flags,
     "resolve_lookup": resolve_lookup,
     "unresolved_keys": unresolved_keys,
+    "unresolved_flags": unresolved_flags,
+    "flag_splits": flag_splits,
     "flatten_hierarchy": flatten_tree,
     "latest_by_key": latest_by_key,
     "unique_lookup": unique_parts,

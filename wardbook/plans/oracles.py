@@ -151,6 +151,26 @@ ORACLES: dict[str, str] = {
                CAST(toxic AS BIGINT) AS toxic, labels.doc_id IS NOT NULL AS matched
         FROM documents LEFT JOIN labels USING (doc_id)
     """,
+    "unresolved_flags": """
+        SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS flag, l_suppkey,
+               l_returnflag <> 'R' AS unknown_flag,
+               l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal >= 0) AS unknown_supplier
+        FROM lineitem
+    """,
+    "flag_splits": """
+        WITH d AS (SELECT documents.*, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)),
+        o AS (
+            SELECT doc_id, 'n_chars' AS part, CAST(n_chars AS VARCHAR) AS v FROM d
+            UNION ALL SELECT doc_id, 'quality', CAST(quality AS VARCHAR) FROM d
+            UNION ALL SELECT doc_id, 'toxic', CAST(toxic AS VARCHAR) FROM d
+            UNION ALL SELECT doc_id, 'lang', lang FROM d
+            UNION ALL SELECT doc_id, 'source', source FROM d)
+        SELECT 'late' AS split, l_orderkey AS id, CAST(l_linenumber AS VARCHAR) AS part
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        WHERE date_diff('day', last_day(o_orderdate), CAST(l_shipdate AS DATE)) > 60
+        UNION ALL SELECT 'missing', doc_id, part FROM o WHERE v IS NULL
+        UNION ALL SELECT 'zero', doc_id, part FROM o WHERE v = '0'
+    """,
     "unresolved_keys": """
         SELECT doc_id, source, lang FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
