@@ -77,6 +77,11 @@ def test_caps_are_filled_in_order(spark):
     assert {r.source: round(r.target, 9) for r in got} == {s: round(t, 9) for s, t in want.items()}
 
 
+def test_many_small_sources(spark):
+    rows = [(i, f"s{i % 211:03d}", "w " * (1 + i % 7)) for i in range(1500)]
+    check(copies(spark.createDataFrame(rows, "doc_id long, source string, text string"), fan_in=4).collect())
+
+
 def test_odd_rows(spark, odd):
     rows = copies(odd).collect()
     assert len(rows) == odd.count()

@@ -157,20 +157,22 @@ def copies(
         "source", "id", F.col("mass").alias("size"), "rest", F.lit(None).cast("boolean").alias("up"),
         F.xxhash64(F.lit(seed), "id", "size").alias("order"),
     )
-    decided, n, depth = [], items.count(), 0
+    decided, depth = [], 0
     while True:
-        chunks = max(1, -(-n // fan_in))
+        # Each source has chunks by its own number of items, and each level fewer by ``fan_in``.
+        chunks = work.keep(level.groupBy(F.col("source").alias("of")).agg(
+            F.ceil(F.count("*") / fan_in).alias("chunks")
+        ), f"chunks-{depth}")
         # The hash that spreads differs by level, so that each chunk gathers anew.
-        chunk = F.pmod(F.xxhash64(F.lit(seed + 1 + depth), "order"), F.lit(chunks))
-        folded = work.keep(fold_chunks(level.withColumn("chunk", chunk), seed + depth), f"level-{depth}")
+        chunk = F.pmod(F.xxhash64(F.lit(seed + 1 + depth), "order"), F.col("chunks"))
+        placed = level.join(chunks, F.col("source").eqNullSafe(F.col("of"))).withColumn("chunk", chunk)
+        folded = work.keep(fold_chunks(placed, seed + depth), f"level-{depth}")
         decided.append(folded.select("source", F.explode("decided").alias("item")))
         left = folded.filter(F.col("open").isNotNull())
-        if chunks == 1:
+        if (chunks.agg(F.max("chunks")).first()[0] or 1) == 1:
             break
         level = left.select("source", "open.*").withColumn("order", F.xxhash64(F.lit(seed), "id", "size"))
-        n, depth = left.count(), depth + 1
-        if n == 0:
-            break
+        depth += 1
     last = F.struct(
         "open.id", "open.size", "open.rest", (draw(seed, F.col("open.id"), F.col("open.size")) < F.col("open.rest")).alias("up")
     )
