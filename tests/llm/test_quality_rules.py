@@ -1,6 +1,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from wardbook.llm.divergence_rules import COMMON_WORDS, Limits, assess, js_distance, keep_good
 
 
@@ -12,9 +14,9 @@ def test_distance_is_the_jensen_shannon_distance(spark):
 
     pairs = [([1, 2, 3], [3, 2, 1]), ([1, 0], [0, 5]), ([4, 4], [1, 1]), ([0, 7, 2], [1, 0, 0])]
     df = spark.createDataFrame(pairs, "a array<long>, b array<long>")
-    for r in df.select("a", "b", js_distance(df.a, df.b).alias("d")).collect():
+    for r in df.select("a", "b", js_distance(F.col("a"), F.col("b")).alias("d")).collect():
         assert math.isclose(r.d, plain(r.a, r.b), abs_tol=1e-9)
-    assert spark.createDataFrame([([0], [1]), (None, [1])], df.schema).select(js_distance(df.a, df.b)).collect() == [(None,), (None,)]
+    assert spark.createDataFrame([([0], [1]), (None, [1])], df.schema).select(js_distance(F.col("a"), F.col("b"))).collect() == [(None,), (None,)]
 
 
 def texts(rng, n, words):
