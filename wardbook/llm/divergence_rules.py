@@ -186,5 +186,10 @@ def assess(
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects."""
-    return assess(docs, id_col, text_col, lang_col, limits).filter("kept").select("doc.*")
+    """The rows of ``docs`` that no rule rejects.
+
+    Verdicts are written first: Spark would move a filter on them below the steps that they are
+    made of, and repeat each step wherever a later one uses it.
+    """
+    verdicts = assess(docs, id_col, text_col, lang_col, limits).select("doc", "kept")
+    return workspace(docs.sparkSession).keep(verdicts, "verdicts").filter("kept").select("doc.*")
