@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from wardbook.llm import gru
-from wardbook.llm.recurrent_lm import Settings, document_scores, tokens
+from wardbook.llm.recurrent_lm import Settings, document_scores, shape_of, tokens, vocabulary
 
 SMALL = Settings(shortlist=40, classes=5, hidden=6, max_hot=60, buffer_tokens=2_000, count_words=50)
 
@@ -124,3 +124,16 @@ def test_held_out_documents_score_above_the_base(spark, sf_dir):
     check_counts(rows, [(r.doc_id, r.text) for r in docs.collect()])
     held_out = [r for r in rows if r.held_out]
     assert sum(r.score for r in held_out) > sum(r.base_score for r in held_out)
+
+
+def test_shortlist_and_classes_follow_the_vocabulary(spark):
+    def model_of(words):
+        rows = [(f"w{i}".encode(), 10 + i % 7) for i in range(words)] + [(b"rare", 1), (b"", 5)]
+        vocab = vocabulary(spark.createDataFrame(rows, "word binary, n long"), Settings(max_hot=100))
+        return vocab, shape_of(vocab, Settings())
+
+    (few, small), (many, large) = model_of(500), model_of(4_000)
+    # All words that occur often enough and the end are on the shortlist, also beyond max_hot.
+    assert (few.shortlist, many.shortlist) == (501, 4_001)
+    assert few.tail() == (1, 1) and many.tail() == (1, 1)
+    assert large.n_classes > small.n_classes and large.length() > 7 * small.length()

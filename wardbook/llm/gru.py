@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 
 FLOAT = np.float32
+#: Words whose probabilities are looked up together, so that a class of rare words has some of them.
+SCORED_AT_ONCE = 32_768
 
 
 @dataclass(frozen=True)
@@ -176,8 +178,9 @@ class Model:
                 d = np.exp(logs, out=logs)
                 d[np.arange(len(mine)), at] -= 1
                 d *= scale
-                grads["to_word"][a:b] += d.T @ h
-                grads["word_bias"][a:b] += d.sum(axis=0)
+                # A class comes once per call: what an earlier call left of it is overwritten.
+                grads["to_word"][a:b] = d.T @ h
+                grads["word_bias"][a:b] = d.sum(axis=0)
                 back[mine] += d @ p["to_word"][a:b]
         return out, back
 
@@ -210,13 +213,23 @@ class Model:
 def scores(model: Model, texts: Sequence[np.ndarray], start: int, lanes: int, steps: int) -> np.ndarray:
     """Log-probability (natural) of each text; the state is carried from window to window."""
     total = np.zeros(len(texts))
-    h = None
+    h, held, size = None, [], 0
+
+    def add() -> None:
+        states, y, owner = (np.concatenate(part) for part in zip(*held))
+        total[:] += np.bincount(owner, weights=model.log_prob(states, y)[0], minlength=len(texts))
+
     for x, y, owner, fresh in windows(texts, start, lanes, steps):
         h = np.zeros((x.shape[1], model.shape.hidden), dtype=FLOAT) if h is None else h[: x.shape[1]]
         states, h = model.run(x, fresh, h)
         real = (owner >= 0).ravel()
-        logs, _ = model.log_prob(states.reshape(-1, model.shape.hidden)[real], y.ravel()[real])
-        total += np.bincount(owner.ravel()[real], weights=logs, minlength=len(texts))
+        held.append((states.reshape(-1, model.shape.hidden)[real], y.ravel()[real], owner.ravel()[real]))
+        size += len(held[-1][1])
+        if size >= SCORED_AT_ONCE:
+            add()
+            held, size = [], 0
+    if held:
+        add()
     return total
 
 
@@ -236,17 +249,28 @@ class Trainer:
 
     def learn(self, texts: Sequence[np.ndarray], start: int, lanes: int, steps: int) -> None:
         model, h, n = self.model, None, self.model.shape.hidden
+        words = {k: np.zeros_like(model.p[k]) for k in ("to_word", "word_bias")}
         for x, y, owner, fresh in windows(texts, start, lanes, steps):
             h = np.zeros((x.shape[1], n), dtype=FLOAT) if h is None else h[: x.shape[1]]
             trace: list = []
             states, h = model.run(x, fresh, h, trace)
             real = np.flatnonzero(owner.ravel() >= 0)
-            grads = {k: np.zeros_like(v) for k, v in model.p.items() if k != "inputs"}
+            grads = {k: np.zeros_like(model.p[k]) for k in ("recur", "to_class", "class_bias")} | words
             _, d = model.log_prob(states.reshape(-1, n)[real], y.ravel()[real], grads, 16.0 / max(1, len(real)))
             above = np.zeros((x.size, n), dtype=FLOAT)
             above[real] = d
             model.back(x, fresh, trace, above.reshape(states.shape), grads)
             rows, rows_grad = grads.pop("inputs")
             self._step("inputs", rows_grad, rows)
-            for name, grad in grads.items():
-                self._step(name, grad)
+            for name in ("recur", "to_class", "class_bias"):
+                self._step(name, grads[name])
+            for a, b in self._met(y.ravel()[real]):
+                for name, grad in words.items():
+                    self._step(name, grad[a:b], slice(a, b))
+
+    def _met(self, y: np.ndarray) -> list[tuple[int, int]]:
+        """Ranges of the words whose classes occur in ``y``; only these have gradients."""
+        starts = self.model.shape.class_starts
+        met = np.bincount(self.model.class_of[y], minlength=len(starts))[:-1] > 0
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], met, [False]]).astype(np.int8)))
+        return [(starts[a], starts[b]) for a, b in zip(edges[::2], edges[1::2])]

@@ -7,8 +7,8 @@
 3. Score: each whole document runs through the model with its state carried from window to
    window, so the sum of its log-probabilities is that of the complete text.
 
-The model predicts a class of words and then the word within it. Words beyond the shortlist are
-one class, the tail; within it a word has its add-one share of the tail's counts, and the share
+The model predicts a class of words and then the word within it. The shortlist has all words that
+occur often enough, and grows with the corpus. Words beyond it are one class, the tail; within it a word has its add-one share of the tail's counts, and the share
 left over is that of unknown words. Counts of frequent words travel with the code, at most
 ``max_hot``; those of rare ones are joined, so that neither side needs the whole vocabulary.
 
@@ -18,6 +18,7 @@ on. Without training documents all words are unknown. Rows may repeat.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,8 +38,13 @@ END = b""
 
 @dataclass(frozen=True)
 class Settings:
-    shortlist: int = 768
-    classes: int = 20
+    #: Words with an id of their own; None: all that occur often enough, as ``least_count`` says.
+    shortlist: int | None = None
+    #: None: in proportion to the square root of the shortlist.
+    classes: int | None = None
+    #: Least count of a word on the shortlist, or the square root of the tokens times ``count_share`` if larger.
+    min_count: int = 8
+    count_share: float = 0.01
     hidden: int = 12
     rounds: int = 2
     rate: float = 0.06
@@ -101,8 +107,19 @@ class Vocabulary:
         return self.total - int(own.sum()), self.distinct - int((own > 0).sum())
 
 
+def least_count(total: int, settings: Settings) -> int:
+    """How often a word must occur among ``total`` tokens to be on the shortlist.
+
+    The model grows with the root of the input or so, and the share of tokens that it covers grows too.
+    """
+    return max(settings.min_count, math.ceil(math.sqrt(total) * settings.count_share))
+
+
 def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
-    """The driver gets the number of words per count, of which there are few, and the hot words."""
+    """The driver gets the number of words per count, of which there are few, and the hot words.
+
+    Words of a derived shortlist are hot, however many there are.
+    """
     sums = counts.agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
     per_count = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n"))
     least, words = None, 0
@@ -111,12 +128,16 @@ def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
         if words > settings.max_hot:
             break
         least = row["n"]
+    often = least_count(sums["total"] or 0, settings)
+    if settings.shortlist is None:
+        least = often if least is None else min(least, often)
     hot = [] if least is None else counts.filter(F.col("n") >= least).collect()
     ranked = sorted(((r["n"], bytes(r["word"])) for r in hot if r["word"] != END), key=lambda r: (-r[0], r[1]))
     end = counts.filter(F.col("word") == F.lit(END)).agg(F.sum("n").alias("n")).first()["n"] or 0
     # The end is on the shortlist however rare it is.
-    first = sorted([*ranked[: settings.shortlist - 1], (end, END)], key=lambda r: (-r[0], r[1]))
-    ranked = first + ranked[settings.shortlist - 1 :]
+    own = sum(n >= often for n, _ in ranked) if settings.shortlist is None else settings.shortlist - 1
+    first = sorted([*ranked[:own], (end, END)], key=lambda r: (-r[0], r[1]))
+    ranked = first + ranked[own:]
     return Vocabulary(
         [w for _, w in ranked], np.array([n for n, _ in ranked], dtype=np.int64), len(first),
         sums["total"] or 0, sums["distinct"],
@@ -125,7 +146,8 @@ def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
 
 def shape_of(vocab: Vocabulary, settings: Settings) -> gru.Shape:
     own = vocab.counts[: vocab.shortlist]
-    return gru.Shape(gru.equal_mass_classes(own, min(settings.classes, len(own))), settings.hidden)
+    classes = settings.classes or math.ceil(0.6 * math.sqrt(len(own)))
+    return gru.Shape(gru.equal_mass_classes(own, min(classes, len(own))), settings.hidden)
 
 
 def _lanes(size: int, settings: Settings) -> int:
@@ -162,25 +184,27 @@ def _train_rows(vocab, flat, settings: Settings):
             trainer.learn(held, index.end, _lanes(size, settings), settings.steps)
             seen += size
         if seen:
-            part = TaskContext.get().partitionId() % MEAN_GROUPS
-            yield pa.RecordBatch.from_arrays([
-                pa.array([part], pa.int32()), pa.array([seen], pa.int64()),
-                pa.array([np.concatenate([weights, squares]).astype(np.float64).tobytes()], pa.binary()),
-            ], ["part", "seen", "weights"])
+            learner, both = TaskContext.get().partitionId(), np.concatenate([weights, squares])
+            for part, low in enumerate(range(0, len(both), SLICE)):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([part], pa.int32()), pa.array([learner], pa.int32()), pa.array([seen], pa.int64()),
+                    pa.array([both[low : low + SLICE].tobytes()], pa.binary()),
+                ], ["part", "learner", "seen", "weights"])
 
     return run
 
 
-#: Weights are averaged in so many groups, and the groups' means on the driver.
-MEAN_GROUPS = 64
-WEIGHTS = "part int, seen long, weights binary"
+#: Numbers of a model that are averaged in one place; only the mean comes to the driver.
+SLICE = 65_536
+WEIGHTS = "part int, learner int, seen long, weights binary"
 
 
 def _mean(rows: pa.Table) -> pa.Table:
+    rows = rows.sort_by("learner")
     seen = rows["seen"].to_numpy()
-    total = sum(np.frombuffer(w.as_py()) * (n / seen.sum()) for w, n in zip(rows["weights"], seen))
-    return pa.table({"part": rows["part"][:1], "seen": [int(seen.sum())], "weights": [total.tobytes()]},
-                    schema=pa.schema([("part", pa.int32()), ("seen", pa.int64()), ("weights", pa.binary())]))
+    total = sum(np.frombuffer(w.as_py(), dtype=gru.FLOAT) * (n / seen.sum()) for w, n in zip(rows["weights"], seen))
+    return pa.table({"part": rows["part"][:1], "weights": [total.astype(gru.FLOAT).tobytes()]},
+                    schema=pa.schema([("part", pa.int32()), ("weights", pa.binary())]))
 
 
 def train(docs: DataFrame, vocab: Vocabulary, settings: Settings) -> np.ndarray:
@@ -194,11 +218,10 @@ def train(docs: DataFrame, vocab: Vocabulary, settings: Settings) -> np.ndarray:
         means = (
             docs.filter(F.col("round") == turn).select("text")
             .mapInArrow(_train_rows(shared, context.broadcast(flat), settings), WEIGHTS)
-            .groupBy("part").applyInArrow(_mean, WEIGHTS).collect()
+            .groupBy("part").applyInArrow(_mean, "part int, weights binary").collect()
         )
         if means:
-            total = sum(r["seen"] for r in means)
-            flat = sum(np.frombuffer(r["weights"]) * (r["seen"] / total) for r in means).astype(gru.FLOAT)
+            flat = np.concatenate([np.frombuffer(r["weights"], dtype=gru.FLOAT) for r in sorted(means, key=lambda r: r["part"])])
     return flat[: len(weights)]
 
 
