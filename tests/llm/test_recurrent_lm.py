@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from wardbook.llm import gru
-from wardbook.llm.recurrent_lm import Settings, document_scores, shape_of, tokens, vocabulary
+from wardbook.llm.recurrent_lm import Settings, document_scores, schedule, shape_of, tokens, vocabulary
 
 SMALL = Settings(shortlist=40, classes=5, hidden=6, max_hot=60, buffer_tokens=2_000, count_words=50)
 
@@ -137,3 +137,29 @@ def test_shortlist_and_classes_follow_the_vocabulary(spark):
     assert (few.shortlist, many.shortlist) == (501, 4_001)
     assert few.tail() == (1, 1) and many.tail() == (1, 1)
     assert large.n_classes > small.n_classes and large.length() > 7 * small.length()
+
+
+def test_other_partitions_give_the_same_scores(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60).localCheckpoint()
+    several = Settings(learner_tokens=5_000, lanes=8)
+
+    def scored(table):
+        return sorted((r.id, r.score) for r in document_scores(table, settings=several).collect())
+
+    one, many = scored(docs.coalesce(1)), scored(docs.repartition(9))
+    assert [i for i, _ in one] == [i for i, _ in many]
+    assert np.allclose([s for _, s in one], [s for _, s in many], rtol=1e-5, atol=1e-4)
+
+
+def test_rounds_follow_the_training_tokens():
+    plans = [schedule(n, Settings()) for n in (0, 10**6, 10**8, 10**10)]
+    assert plans[0] == plans[1] == (1, 1)
+    assert plans[1][0] < plans[2][0] < plans[3][0] and plans[1][1] < plans[2][1] < plans[3][1]
+    assert all(rounds * learners * Settings().learner_tokens >= n for (rounds, learners), n in zip(plans, (0, 10**6, 10**8, 10**10)))
+
+
+def test_training_windows_hold_every_word_once():
+    texts = [np.arange(n) for n in (1, 40, 3, 9)]
+    x, y, owner, fresh = (np.concatenate([a.T.ravel() for a in part]) for part in zip(*gru.stream(texts, 99, lanes=4, steps=100)))
+    assert y[owner >= 0].tolist() == np.concatenate(texts).tolist()
+    assert fresh.sum() == len(texts) and (x[fresh] == 99).all() and (x[(owner >= 0) & ~fresh] == y[(owner >= 0) & ~fresh] - 1).all()

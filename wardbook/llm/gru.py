@@ -111,6 +111,26 @@ def windows(texts: Sequence[np.ndarray], start: int, lanes: int, steps: int) ->
         yield x, y, owner, fresh
 
 
+def stream(texts: Sequence[np.ndarray], start: int, lanes: int, steps: int) -> Iterator[tuple]:
+    """Windows over all texts one after the other, cut into ``lanes`` of one length.
+
+    As ``windows``, but all windows are full up to the last: no few long texts make steps of their
+    own. A lane that begins within a text reads on from its last word with an empty state.
+    """
+    y = np.concatenate(texts)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
+    fresh = np.diff(owner, prepend=-1) != 0
+    x = np.where(fresh, start, np.roll(y, 1))
+    length = -(-len(y) // lanes)
+
+    def lanes_of(a: np.ndarray, rest: int) -> np.ndarray:
+        return np.append(a, np.full(lanes * length - len(a), rest, dtype=a.dtype)).reshape(lanes, length).T
+
+    x, y, owner, fresh = lanes_of(x, start), lanes_of(y, start), lanes_of(owner, -1), lanes_of(fresh, False)
+    for low in range(0, length, steps):
+        yield tuple(np.ascontiguousarray(a[low : low + steps]) for a in (x, y, owner, fresh))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -234,7 +254,7 @@ def scores(model: Model, texts: Sequence[np.ndarray], start: int, lanes: int, st
 
 
 class Trainer:
-    """Adagrad over windows of ``steps`` words; ``seen`` are its sums of squares so far."""
+    """Adagrad over windows of ``steps`` words in each lane, each word of one weight; ``seen`` are its sums of squares so far."""
 
     def __init__(self, model: Model, rate: float, seen: np.ndarray | None = None):
         self.model, self.rate = model, rate
@@ -250,13 +270,13 @@ class Trainer:
     def learn(self, texts: Sequence[np.ndarray], start: int, lanes: int, steps: int) -> None:
         model, h, n = self.model, None, self.model.shape.hidden
         words = {k: np.zeros_like(model.p[k]) for k in ("to_word", "word_bias")}
-        for x, y, owner, fresh in windows(texts, start, lanes, steps):
-            h = np.zeros((x.shape[1], n), dtype=FLOAT) if h is None else h[: x.shape[1]]
+        for x, y, owner, fresh in stream(texts, start, lanes, steps):
+            h = np.zeros((x.shape[1], n), dtype=FLOAT) if h is None else h
             trace: list = []
             states, h = model.run(x, fresh, h, trace)
             real = np.flatnonzero(owner.ravel() >= 0)
             grads = {k: np.zeros_like(model.p[k]) for k in ("recur", "to_class", "class_bias")} | words
-            _, d = model.log_prob(states.reshape(-1, n)[real], y.ravel()[real], grads, 16.0 / max(1, len(real)))
+            _, d = model.log_prob(states.reshape(-1, n)[real], y.ravel()[real], grads, 16.0 / (lanes * steps))
             above = np.zeros((x.size, n), dtype=FLOAT)
             above[real] = d
             model.back(x, fresh, trace, above.reshape(states.shape), grads)

@@ -1,9 +1,11 @@
 """Document scores from a gated recurrent language model trained on the corpus.
 
 1. Count every token of the training documents, folded per task before the shuffle.
-2. Train: in each round a task takes its training documents of that round, learns from the
-   model it was sent by truncated backpropagation, and returns its weights and the sums of
-   squares that set its step sizes; their weighted mean is what the next round starts from. Every training document is used in one round.
+2. Train: a hash deals training documents to rounds and to the learners of a round. A learner
+   starts from the model it was sent, learns by truncated backpropagation, and returns its weights
+   and the sums of squares that set its step sizes; their weighted mean is what the next round
+   starts from. Every training document is used in one round. Rounds and learners both grow with
+   the root of the training tokens. How the input is partitioned changes nothing.
 3. Score: each whole document runs through the model with its state carried from window to
    window, so the sum of its log-probabilities is that of the complete text.
 
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 
 from wardbook.llm import gru
 from wardbook.llm.common import workspace
+from wardbook.sources.tables import Workspace
 
 #: The token that ends a text; no word is empty.
 END = b""
@@ -46,11 +49,11 @@ class Settings:
     min_count: int = 8
     count_share: float = 0.01
     hidden: int = 12
-    rounds: int = 2
+    #: Tokens, about, that a learner has in a round.
+    learner_tokens: int = 4_000_000
     rate: float = 0.06
-    #: Texts read side by side: one per ``lane_tokens`` held, so that few texts still make many steps.
+    #: Texts read side by side.
     lanes: int = 128
-    lane_tokens: int = 8_000
     steps: int = 16
     seed: int = 2
     #: Most words whose counts are sent to all tasks.
@@ -150,8 +153,11 @@ def shape_of(vocab: Vocabulary, settings: Settings) -> gru.Shape:
     return gru.Shape(gru.equal_mass_classes(own, min(classes, len(own))), settings.hidden)
 
 
-def _lanes(size: int, settings: Settings) -> int:
-    return int(np.clip(size // settings.lane_tokens, 16, settings.lanes))
+def schedule(total: int, settings: Settings) -> tuple[int, int]:
+    """Rounds, and learners per round, for ``total`` training tokens."""
+    shares = max(1, math.ceil(total / settings.learner_tokens))
+    rounds = math.isqrt(shares)
+    return rounds, math.ceil(shares / rounds)
 
 
 class _Indexer:
@@ -167,21 +173,37 @@ class _Indexer:
         return np.array([get(w, rest) for w in words], dtype=np.int32)
 
 
+def _encode_rows(vocab):
+    """Texts as ids of the shortlist, which is in falling order of count, so that most are small."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, shortlist = _Indexer(vocab.value), vocab.value.shortlist
+        for batch in batches:
+            ids = [np.minimum(index(tokens(text.as_py())), shortlist).tobytes() for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("round", "learner", "key")), pa.array(ids, pa.binary())],
+                ["round", "learner", "key", "ids"],
+            )
+
+    return run
+
+
 def _train_rows(vocab, flat, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, shape = _Indexer(vocab.value), shape_of(vocab.value, settings)
-        weights, squares = np.split(flat.value.copy(), 2)
-        trainer = gru.Trainer(gru.Model(shape, weights), settings.rate, squares)
-        held, size, seen = [], 0, 0
+        held, size, seen, trainer = [], 0, 0, None
         for batch in batches:
-            for text in batch.column("text"):
-                held.append(np.minimum(index(tokens(text.as_py())), vocab.value.shortlist))
+            for ids in batch.column("ids"):
+                if trainer is None:
+                    weights, squares = np.split(flat.value.copy(), 2)
+                    trainer = gru.Trainer(gru.Model(shape_of(vocab.value, settings), weights), settings.rate, squares)
+                    end = vocab.value.words.index(END)
+                held.append(np.frombuffer(ids.as_py(), dtype=np.int32))
                 size += len(held[-1])
                 if size >= settings.buffer_tokens:
-                    trainer.learn(held, index.end, _lanes(size, settings), settings.steps)
+                    trainer.learn(held, end, settings.lanes, settings.steps)
                     held, size, seen = [], 0, seen + size
         if held:
-            trainer.learn(held, index.end, _lanes(size, settings), settings.steps)
+            trainer.learn(held, end, settings.lanes, settings.steps)
             seen += size
         if seen:
             learner, both = TaskContext.get().partitionId(), np.concatenate([weights, squares])
@@ -207,16 +229,28 @@ def _mean(rows: pa.Table) -> pa.Table:
                     schema=pa.schema([("part", pa.int32()), ("weights", pa.binary())]))
 
 
-def train(docs: DataFrame, vocab: Vocabulary, settings: Settings) -> np.ndarray:
-    """Parameters after all rounds, from training rows ``(text, round)``."""
+def train(docs: DataFrame, vocab: Vocabulary, settings: Settings, work: Workspace) -> np.ndarray:
+    """Parameters after all rounds, from training rows ``(id, text)``."""
     context = docs.sparkSession.sparkContext
     shape = shape_of(vocab, settings)
     weights = gru.initial(shape, vocab.counts[: vocab.shortlist], vocab.tail()[0], settings.seed)
     flat = np.concatenate([weights, np.full_like(weights, 0.1)])
     shared = context.broadcast(vocab)
-    for turn in range(settings.rounds):
+    rounds, learners = schedule(vocab.total, settings)
+    dealt = F.pmod("key", F.lit(rounds * learners))
+    # By id and text: copies of a text go to several learners.
+    rows = docs.withColumn("key", F.xxhash64("id", "text")).select(
+        F.floor(dealt / learners).cast("int").alias("round"), (dealt % learners).cast("int").alias("learner"), "key", "text"
+    )
+    # A round reads its own part only, however many there are.
+    dealt_rows = work.keep(
+        rows.mapInArrow(_encode_rows(shared), "round int, learner int, key long, ids binary"), "dealt", by=("round",)
+    )
+    for turn in range(rounds):
+        # One task per learner, with its rows in an order that is theirs alone.
         means = (
-            docs.filter(F.col("round") == turn).select("text")
+            dealt_rows.filter(F.col("round") == turn).repartitionById(learners, F.col("learner"))
+            .sortWithinPartitions("key", "ids").select("ids")
             .mapInArrow(_train_rows(shared, context.broadcast(flat), settings), WEIGHTS)
             .groupBy("part").applyInArrow(_mean, "part int, weights binary").collect()
         )
@@ -243,7 +277,7 @@ def _score_rows(vocab, flat, settings: Settings):
             nonlocal row
             arrays = [d[2] for d in docs]
             short = [np.minimum(a, known.shortlist) for a in arrays]
-            scored = gru.scores(model, short, index.end, _lanes(sum(map(len, short)), settings), settings.steps)
+            scored = gru.scores(model, short, index.end, settings.lanes, settings.steps)
             cold = [d[3] for d in docs]
             columns = [
                 pa.array(np.arange(row, row + len(docs))), pa.array([d[0] for d in docs], pa.int64()),
@@ -283,15 +317,13 @@ def document_scores(
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"),
     )
-    training = rows.filter(~F.col("held_out")).select(
-        "text", F.pmod(F.xxhash64("id"), F.lit(settings.rounds)).alias("round")
-    )
+    training = rows.filter(~F.col("held_out")).select("id", "text")
     counts = work.keep(
         training.select("text").mapInArrow(_count_rows(settings.count_words), "word binary, n long")
         .groupBy("word").agg(F.sum("n").alias("n")), "counts",
     )
     vocab = vocabulary(counts, settings)
-    flat = train(training, vocab, settings)
+    flat = train(training, vocab, settings, work)
     scored = work.keep(
         rows.mapInArrow(_score_rows(context.broadcast(vocab), context.broadcast(flat), settings), SCORED), "scored"
     )

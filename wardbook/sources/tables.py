@@ -88,9 +88,9 @@ class Workspace:
         root = spark.conf.get("spark.checkpoint.dir", None) or fallback
         self.folder = f"{root.rstrip('/')}/wardbook-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def delete(self) -> None:
