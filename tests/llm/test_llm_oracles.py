@@ -15,7 +15,8 @@ CONTRACT = {
     5: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     6: "vec_id n_links component_id kept", 7: "doc_id n_assign n_access n_hex base_sha256 spans",
     8: "doc_id n_lines n_dropped kept_sha256", 9: "doc_id size source_size target taken",
-    10: "doc_id n_shingles component_id",
+    10: "doc_id n_shingles component_id", 11: "lang source part item value rank",
+    12: "doc_id keep_id group_size kept text_sha256", 13: "doc_id n_features weight score rank",
 }
 
 
@@ -32,7 +33,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -134,6 +134,88 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS
 FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least l ON l.u = d.doc_id
 """
 
+LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+
+OP11 = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+    regexp_extract_all({LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+tokens AS (SELECT lang, source, doc, unnest(w) AS term FROM t),
+kept AS (SELECT lang, term, count(*) AS n FROM tokens GROUP BY ALL HAVING count(DISTINCT doc) >= 3),
+langs AS (SELECT lang, count(*) AS v, sum(n)::BIGINT AS total FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0)::BIGINT AS total
+  FROM (SELECT DISTINCT lang, source FROM t) g LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL),
+rates AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+    (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + v))::BIGINT AS p,
+    (1 + 1000000000::HUGEINT * (k.n + 1) // (l.total + v))::BIGINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM rates a JOIN rates b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM rates WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+OP12 = r"""
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM (
+  SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size
+  FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents))
+"""
+
+_BIT = "CASE WHEN {x} & 1 = 1 THEN xor({x} >> 1, 3988292384) ELSE {x} >> 1 END"
+
+
+def _crc_entry() -> str:
+    """Eight steps of the checksum's shift register, each on a list of all 256 states."""
+    states = "range(0, 256)"
+    for _ in range(8):
+        states = f"list_transform({states}, lambda x: {_BIT.replace('{x}', 'x')})"
+    return states
+
+
+OP13 = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+target AS (
+  SELECT unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+tokens AS (SELECT doc_id, unnest(w) AS word FROM words),
+crc AS (SELECT {_crc_entry()} AS steps),
+spelled AS (
+  SELECT word, list_transform(range(0, octet_length(encode(word))), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT) AS bytes
+  FROM (SELECT DISTINCT word FROM (SELECT word FROM tokens UNION ALL SELECT word FROM target))),
+buckets AS (
+  SELECT word, (4294967295 - list_reduce(list_prepend(4294967295::BIGINT, bytes),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM spelled, crc),
+source_n AS (SELECT bucket, count(*) AS s FROM tokens JOIN buckets USING (word) GROUP BY 1),
+target_n AS (SELECT bucket, count(*) AS t FROM target JOIN buckets USING (word) GROUP BY 1),
+gains AS (
+  SELECT b.bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM source_n) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM target_n) + 10000))))::BIGINT AS gain
+  FROM (SELECT unnest(range(0, 10000)) AS bucket) b LEFT JOIN source_n s ON s.bucket = b.bucket LEFT JOIN target_n t ON t.bucket = b.bucket),
+weights AS (SELECT doc_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM tokens JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY 1),
+scored AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM words d LEFT JOIN weights USING (doc_id)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () * 10 // 100 AS wanted
+  FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN place END AS rank
+FROM scored s LEFT JOIN ranked USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {"op1_sharding": OP1, "op5_quality_rules": OP5, "op8_line_dedup": OP8,
-    "op6_embedding_near_dedup": OP6, "op10_ngram_jaccard": OP10,
+    "op6_embedding_near_dedup": OP6, "op10_ngram_jaccard": OP10, "op11_source_audit": OP11, "op12_exact_dedup": OP12,
+    "op13_importance_resampling": OP13,
 }

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.llm import (
-    chunked_bpe, deobfuscation, divergence_rules, hyperplane_dedup, line_runs, ngram_tiles, recurrent_lm, secret_ledger,
-    sharding, source_mixing,
+    chunked_bpe, deobfuscation, divergence_rules, hash_index, hyperplane_dedup, importance_resampling, line_runs,
+    ngram_tiles, pointer_audit, recurrent_lm, secret_ledger, sharding, source_mixing,
 )
 from wardbook.llm.common import workspace
 
@@ -109,9 +109,28 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_tiles.near_copies(docs).withColumnRenamed("id", "doc_id")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each source of a language differs from its others, and by which terms from all of it."""
+    return pointer_audit.audit(_read(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copy that stays for every document."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return hash_index.exact_copies(docs).withColumnRenamed("id", "doc_id")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark, and the rank of those drawn."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = importance_resampling.resample(docs, _read(spark, sf_dir, "benchmark").select("text"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_lm_scoring, op3_bpe, op4_pii, op5_quality_rules, op6_embedding_near_dedup,
         op7_secret_scan, op8_line_dedup, op9_source_mixing, op10_ngram_jaccard,
+        op11_source_audit, op12_exact_dedup, op13_importance_resampling,
     )
 }
