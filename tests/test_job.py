@@ -176,6 +176,16 @@ def test_pretty_printed_and_line_exports_give_the_same_fact(spark, full_run, tmp
     assert fact_rows(spark, out) == fact_rows(spark, tmp_path / "out1") == fact_rows(spark, tmp_path / "out2")
 
 
+def test_split_documents_give_the_same_fact_and_quarantine(spark, full_run, tmp_path):
+    rows, out, data = full_run
+    pretty = write_exports(tmp_path / "pretty", rows + malformed_values(), pretty=True)
+    for folder, multi_line in ((data, False), (pretty, True)):
+        again = str(tmp_path / f"out-{multi_line}")
+        assert run(spark, folder, again, JobOptions(multi_line=multi_line, split_data_values=True))
+        assert fact_rows(spark, out) == fact_rows(spark, again)
+        assert spark.read.parquet(f"{again}/quarantine/malformed_data_values").count() == len(malformed_values())
+
+
 def test_incremental_runs_add_up_to_a_full_run(spark, full_run, tmp_path):
     rows, full_out, full_data = full_run
     out = str(tmp_path / "out")

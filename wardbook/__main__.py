@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--multi-line", action="store_true", help="exports are pretty-printed")
     parser.add_argument("--data-values-as-lines", action="store_true",
                         help="data values are one record per line")
+    parser.add_argument("--split-data-values", action="store_true",
+                        help="data-value documents are big: read each with many tasks")
     parser.add_argument("--keep-corrupt", action="store_true", help="keep the text of documents that do not parse")
     parser.add_argument("--strict-periods", action="store_true", help="a period needs a month from 01 to 12")
     parser.add_argument("--max-quarantine-rate", type=float, default=MAX_QUARANTINE_RATE)

@@ -7,7 +7,6 @@ after the aggregate, on few rows.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +28,7 @@ from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
 from wardbook.operators.trailing import HotKeySplit
 from wardbook.operators.validity import count_stages, split_valid, validity_summary, with_validity
 from wardbook.plans import export_queries, facility
-from wardbook.sources.tables import Workspace
+from wardbook.sources.tables import query_workspace
 
 # The driver tables' columns, so that no job has to look them up in file footers.
 TABLE_SCHEMAS = {
@@ -66,12 +65,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def workspace(spark: SparkSession) -> Workspace:
-    """Work tables of one query; a session without a checkpoint folder, as on one machine, gets a temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return Workspace(spark, named or tempfile.mkdtemp(prefix="wardbook-"))
-
-
 def _cents(column: str) -> Column:
     return F.floor(F.col(column) * 100 + 0.5)
 
@@ -300,7 +293,7 @@ def _day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_day_scores(events: DataFrame) -> DataFrame:
-    expected = workspace(events.sparkSession).keep(scoring.expected_counts(events, ["month"], "event_type"), "expected")
+    expected = query_workspace(events.sparkSession).keep(scoring.expected_counts(events, ["month"], "event_type"), "expected")
     reported = scoring.reported_counts(
         events, ["month", "user_id", "day"], "event_type", require_value="value")
     return scoring.completeness(reported, expected, ["month"])
@@ -317,7 +310,7 @@ def _scored_user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     Expected counts are one row per month, written so that Spark knows their size when it joins.
     """
     events = _day_events(spark, sf_dir)
-    expected = workspace(spark).keep(scoring.expected_counts(events, ["month"], "event_type"), "expected")
+    expected = query_workspace(spark).keep(scoring.expected_counts(events, ["month"], "event_type"), "expected")
     reported = scoring.reported_counts(
         events, ["month", "user_id", "day"], "event_type", require_value="value", rows="rows")
     return scoring.completeness(reported, expected, ["month"])
@@ -552,7 +545,7 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part")
     lines = _table(spark, sf_dir, "lineitem")
     area = F.substring("p_brand", 1, 7)
-    work = workspace(spark)
+    work = query_workspace(spark)
     # Used by the scores and by the fact: built once, as the job does.
     observations = work.keep((
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])

@@ -1,7 +1,7 @@
-"""The export readers as queries: documents written as JSON text from the driver tables, parsed and flattened.
+"""The export readers as queries: documents written as JSON files from the driver tables, loaded and flattened.
 
-Each document holds a handful of records. Some are empty, lack a field, have no groups, carry a
-time stamp that does not parse or a user name in mixed case.
+Most documents hold a handful of records. Some are empty, lack a field, have no groups, carry a
+time stamp that does not parse or a user name in mixed case. Big ones hold those of many orders.
 """
 
 from __future__ import annotations
@@ -10,12 +10,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.sources import exports as ex
+from wardbook.sources.tables import query_workspace
 
 
-def _parsed(records: DataFrame, document: Column, record: Column, field: str, schema: str) -> DataFrame:
-    """Documents of the records with one ``document`` key, through their text; a null record is left out."""
+def _loaded(spark: SparkSession, name: str, records: DataFrame, document: Column, record: Column, field: str) -> DataFrame:
+    """An export of the records with one ``document`` key per line, written and loaded; a null record is left out."""
     grouped = records.groupBy(document.alias("document")).agg(F.collect_list(record).alias(field))
-    return grouped.select(F.from_json(F.to_json(F.struct(field)), schema).alias("d")).select("d.*")
+    folder = query_workspace(spark).folder
+    grouped.select(F.to_json(F.struct(field))).write.text(f"{folder}/{ex.FILES[name]}")
+    return ex.load_export(spark, folder, name)
 
 
 def _stamp(column: str) -> Column:
@@ -40,10 +43,41 @@ def flatten_data_values(spark: SparkSession, read) -> DataFrame:
         _stamp("l_shipdate").alias("created"),
         F.when(F.col("l_linenumber") == 3, F.lit("soon")).otherwise(_stamp("l_shipdate")).alias("lastUpdated"),
     ))
-    documents = _parsed(lines, F.col("l_orderkey"), record, "dataValues", ex.DATA_VALUES_DOCUMENT)
+    documents = _loaded(spark, "data_values", lines, F.col("l_orderkey"), record, "dataValues")
     return _as_text(ex.flatten_data_values(documents), "created_at", "last_updated_at")
 
 
+#: Order keys whose lines share a big document.
+ORDERS_A_DOCUMENT = 20_000
+
+
+def _split_export(spark: SparkSession, read, user: Column) -> DataFrame:
+    """Order lines as observations in few big documents, a pretty-printed file each, cut into records."""
+    record = F.struct(
+        F.col("l_partkey").cast("string").alias("dataElement"), F.date_format("l_shipdate", "yyyyMM").alias("period"),
+        F.concat(F.lit("S"), "l_suppkey").alias("orgUnit"), F.col("l_quantity").cast("long").cast("string").alias("value"),
+        user.alias("storedBy"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("followup"),
+    )
+    records = read("lineitem").select(
+        F.floor(F.col("l_orderkey") / ORDERS_A_DOCUMENT).alias("document"), F.to_json(record).alias("record"))
+    documents = records.groupBy("document").agg(F.concat(
+        F.lit('{\n  "version": "2",\n  "dataValues": [\n    '), F.array_join(F.collect_list("record"), ",\n    "), F.lit("\n  ]\n}"),
+    ).alias("text"))
+    folder = query_workspace(spark).folder
+    documents.write.partitionBy("document").text(f"{folder}/{ex.FILES['data_values']}")
+    found = ex.flatten_data_values(ex.load_export(spark, folder, "data_values", split_data_values=True))
+    return _as_text(found, "created_at", "last_updated_at")
+
+
+def split_export(spark: SparkSession, read) -> DataFrame:
+    return _split_export(spark, read, F.concat(F.lit("User"), "l_returnflag"))
+
+
+def split_export_braces(spark: SparkSession, read) -> DataFrame:
+    """User names look like the border between two records, so pieces are put together again."""
+    return _split_export(spark, read, F.concat(F.lit('},{"dataElement":{'), "l_returnflag", F.lit("}]}")))
+
+
 def _metadata(spark: SparkSession, read) -> DataFrame:
     part = read("part")
     words = F.split("p_type", " ")
@@ -56,7 +90,7 @@ def _metadata(spark: SparkSession, read) -> DataFrame:
         F.when(F.col("p_size") % 5 > 0, F.transform(words, lambda w: F.struct(F.lower(w).alias("id"), w.alias("name"))))
         .otherwise(F.array().cast("array<struct<id:string,name:string>>")).alias("dataElementGroups"),
     )
-    return _parsed(part, F.floor(F.col("p_partkey") / 20), record, "dataElements", ex.METADATA_DOCUMENT)
+    return _loaded(spark, "metadata", part, F.floor(F.col("p_partkey") / 20), record, "dataElements")
 
 
 def flatten_indicators(spark: SparkSession, read) -> DataFrame:
@@ -67,7 +101,7 @@ def flatten_indicators(spark: SparkSession, read) -> DataFrame:
 def flatten_category_options(spark: SparkSession, read) -> DataFrame:
     """Suppliers as category options."""
     record = F.struct(F.concat(F.lit("S"), "s_suppkey").alias("id"), F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("name"))
-    documents = _parsed(read("supplier"), F.col("s_nationkey"), record, "categoryOptionCombos", ex.METADATA_DOCUMENT)
+    documents = _loaded(spark, "metadata", read("supplier"), F.col("s_nationkey"), record, "categoryOptionCombos")
     return ex.flatten_category_options(documents)
 
 
@@ -82,7 +116,7 @@ def flatten_org_units(spark: SparkSession, read) -> DataFrame:
         F.when(F.col("c_custkey") % 9 > 0, F.struct(parent.alias("id"))).alias("parent"),
         F.when(F.col("c_custkey") % 4 > 0, F.transform(groups, lambda g: F.struct(g.alias("name")))).alias("groups"),
     )
-    documents = _parsed(customer, F.floor(F.col("c_custkey") / 20), record, "organisationUnits", ex.ORG_UNITS_DOCUMENT)
+    documents = _loaded(spark, "org_units", customer, F.floor(F.col("c_custkey") / 20), record, "organisationUnits")
     return ex.flatten_org_units(documents)
 
 
@@ -95,7 +129,7 @@ def _programs(spark: SparkSession, read) -> DataFrame:
         F.lit("Monthly").alias("reportingFrequency"),
         F.when(F.col("p_size") == 1, F.array().cast("array<string>")).otherwise(F.col("types")).alias("dataElements"),
     )
-    return ex.flatten_programs(_parsed(programs, F.col("p_brand"), record, "programs", ex.PROGRAMS_DOCUMENT))
+    return ex.flatten_programs(_loaded(spark, "programs", programs, F.col("p_brand"), record, "programs"))
 
 
 def flatten_programs(spark: SparkSession, read) -> DataFrame:
@@ -108,7 +142,7 @@ def flatten_program_indicators(spark: SparkSession, read) -> DataFrame:
 
 QUERIES = {
     f.__name__: f for f in (
-        flatten_data_values, flatten_indicators, flatten_category_options, flatten_org_units, flatten_programs,
+        flatten_data_values, split_export, split_export_braces, flatten_indicators, flatten_category_options, flatten_org_units, flatten_programs,
         flatten_program_indicators,
     )
 }

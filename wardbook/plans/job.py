@@ -36,6 +36,7 @@ class JobOptions:
     reference_metadata: str | None = None
     multi_line: bool = False
     data_values_as_lines: bool = False
+    split_data_values: bool = False
     keep_corrupt: bool = False
     strict_periods: bool = False
     max_quarantine_rate: float = MAX_QUARANTINE_RATE
@@ -89,7 +90,8 @@ def _run(
     fact_path = f"{warehouse}/fact_service_delivery"
 
     exports = ex.load_exports(
-        spark, data_dir, options.multi_line, options.data_values_as_lines, options.keep_corrupt
+        spark, data_dir, multi_line=options.multi_line, data_values_as_lines=options.data_values_as_lines,
+        keep_corrupt=options.keep_corrupt, split_data_values=options.split_data_values,
     )
     landed = work.keep(
         facility.flag_valid(ex.flatten_data_values(exports["data_values"]), options.strict_periods),

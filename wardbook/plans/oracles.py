@@ -307,6 +307,20 @@ ORACLES: dict[str, str] = {
         SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
         FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 7 = 0)
     """,
+    "split_export": """
+        SELECT CAST(l_partkey AS VARCHAR) AS data_element_uid, strftime(l_shipdate, '%Y%m') AS period,
+               'S' || l_suppkey AS org_unit_uid, CAST(NULL AS VARCHAR) AS category_option_combo_uid,
+               CAST(NULL AS VARCHAR) AS attribute_option_combo_uid, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS raw_value,
+               lower('User' || l_returnflag) AS stored_by, CAST(NULL AS VARCHAR) AS created_at,
+               CAST(NULL AS VARCHAR) AS last_updated_at, l_orderkey || '-' || l_linenumber AS followup FROM lineitem
+    """,
+    "split_export_braces": """
+        SELECT CAST(l_partkey AS VARCHAR) AS data_element_uid, strftime(l_shipdate, '%Y%m') AS period,
+               'S' || l_suppkey AS org_unit_uid, CAST(NULL AS VARCHAR) AS category_option_combo_uid,
+               CAST(NULL AS VARCHAR) AS attribute_option_combo_uid, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS raw_value,
+               lower('},{"dataElement":{' || l_returnflag || '}]}') AS stored_by, CAST(NULL AS VARCHAR) AS created_at,
+               CAST(NULL AS VARCHAR) AS last_updated_at, l_orderkey || '-' || l_linenumber AS followup FROM lineitem
+    """,
     "flatten_indicators": """
         SELECT 'P' || p_partkey AS data_element_uid, p_name AS data_element_name,
                CASE WHEN p_size > 10 THEN 'NUMBER' END AS value_type, 'AGGREGATE' AS domain_type,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wardbook.operators.latest import unique_lookup
 from wardbook.operators.records import explode_records
+from wardbook.sources.splitting import read_split_documents
 
 # Export file names and the fields of their documents and records.
 FILES = {
@@ -83,24 +84,40 @@ def read_data_value_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.array(F.struct("*")).alias("dataValues"))
 
 
-def load_exports(
+def read_split_data_values(spark: SparkSession, path: str) -> DataFrame:
+    """Data-value documents of any size and layout, each read by many tasks."""
+    names = [field.split()[0] for field in DATA_VALUE_FIELDS.split(",")]
+    return read_split_documents(spark, path, "dataValues", names, DATA_VALUE_FIELDS)
+
+
+def load_export(
     spark: SparkSession,
     data_dir: str,
+    name: str,
     multi_line: bool = False,
     data_values_as_lines: bool = False,
     keep_corrupt: bool = False,
-) -> dict[str, DataFrame]:
-    """The four exports of a data folder by name; ``keep_corrupt`` concerns data-value documents."""
-    exports = {
-        name: read_documents(
-            spark, f"{data_dir}/{file}", DOCUMENTS[name], multi_line,
-            keep_corrupt=keep_corrupt and name == "data_values",
-        )
-        for name, file in FILES.items()
-    }
-    if data_values_as_lines:
-        exports["data_values"] = read_data_value_lines(spark, f"{data_dir}/{FILES['data_values']}")
-    return exports
+    split_data_values: bool = False,
+) -> DataFrame:
+    """One of the exports of a data folder; the options from ``data_values_as_lines`` on concern data values.
+
+    ``split_data_values`` cuts documents into records, so that many tasks read one document;
+    ``keep_corrupt`` is for documents that are read whole.
+    """
+    path = f"{data_dir}/{FILES[name]}"
+    if name == "data_values":
+        if data_values_as_lines and split_data_values:
+            raise ValueError("data values are either lines or documents to split")
+        if data_values_as_lines:
+            return read_data_value_lines(spark, path)
+        if split_data_values:
+            return read_split_data_values(spark, path)
+    return read_documents(spark, path, DOCUMENTS[name], multi_line, keep_corrupt and name == "data_values")
+
+
+def load_exports(spark: SparkSession, data_dir: str, **options: bool) -> dict[str, DataFrame]:
+    """The four exports of a data folder by name, under the options of ``load_export``."""
+    return {name: load_export(spark, data_dir, name, **options) for name in FILES}
 
 
 def flatten_data_values(documents: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -97,3 +98,28 @@ class Workspace:
         """Delete the run's tables; nothing that reads them may run after it."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_QUERY_TABLES: list[Workspace] = []
+
+
+def query_workspace(spark: SparkSession) -> Workspace:
+    """Work tables of a query whose result is still to be computed, as of all that are not the job's.
+
+    They belong to the session: who has written the results calls ``release_query_tables``. Where
+    no ``spark.checkpoint.dir`` is named, only a local session gets a temporary folder; the
+    executors of a cluster would each write to their own disk.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("work tables need spark.checkpoint.dir, a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="wardbook-")
+    _QUERY_TABLES.append(Workspace(spark, folder))
+    return _QUERY_TABLES[-1]
+
+
+def release_query_tables() -> None:
+    """Delete the work tables of all queries so far; none of their results may be read after it."""
+    while _QUERY_TABLES:
+        _QUERY_TABLES.pop().delete()
