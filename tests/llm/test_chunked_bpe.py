@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -6,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from wardbook.llm import chunked_bpe
 from wardbook.llm.chunked_bpe import Coder, assemble, chunk_bounds, decode, encode, vocabulary
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,7 +48,7 @@ def test_any_cut_is_repaired(coder):
                 reused += len(ids)
             low = high
         got = assemble(coder, [text], [parts])[0]
-        assert got == coder.encode([text])[0]
+        assert got.tolist() == coder.encode([text])[0].tolist()
         assert coder.decode(got) == text
     assert reused > 500
 
@@ -80,6 +82,48 @@ def test_queries_equal_the_library(spark, odd):
     assert encode(odd, PATH).count() == odd.count() and encode(odd.limit(0), PATH).count() == 0
 
 
+def test_texts_are_shuffled_once(spark, sf_dir, capsys):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        encoded = encode(docs, PATH)
+        encoded.write.format("noop").mode("overwrite").save()
+        encoded.collect()
+        plan = encoded._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("_pack_rows") == 1 and "ReusedExchange" in final
+
+
+def test_both_encoders_agree(coder):
+    rng = random.Random(11)
+    texts = [random_text(rng, rng.randint(0, 60)) for _ in range(400)]
+    texts += ["".join(chr(c) for c in rng.sample(range(1, 0xD800), 50)) for _ in range(200)]
+    library = Tokenizer.from_file(PATH)
+    assert coder.fast is not None
+    assert [e.tolist() for e in coder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_other_forms_are_left_to_the_library():
+    file = json.loads(vocabulary(PATH))
+    file["normalizer"] = {"type": "Lowercase"}
+    other = Coder(json.dumps(file))
+    library = Tokenizer.from_str(json.dumps(file))
+    text = "Some TEXT, in Upper case"
+    assert other.fast is None
+    assert other.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_chunk_in_most_documents(spark, monkeypatch):
+    monkeypatch.setattr(chunked_bpe, "PLACE_PARTS", 4)
+    passage = random_text(random.Random(6), 3_000)
+    docs = spark.createDataFrame([(i, passage if i % 3 else f"own {i} " + passage[: 40 * i]) for i in range(60)], "doc_id long, text string")
+    got = Counter((r.id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in encode(docs, PATH).collect())
+    assert got == Counter((r.doc_id, *plain(r.text)) for r in docs.collect())
+
+
 def test_driver_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r.id: r for r in encode(docs, PATH).collect()}

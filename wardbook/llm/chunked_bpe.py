@@ -9,7 +9,13 @@ begins exactly there, and everything between the places left is encoded anew. A
 space stands between two ASCII letters: there every tokenizer that splits words before merging
 begins a word, whatever the rest of the text.
 
-Texts move once, compressed, to meet the chunks. Only hashes are grouped, counted before they move.
+Texts move once, compressed: they meet the chunks to encode and, later, the encoded ones, on one
+shuffle. Only hashes are grouped, counted before they move. The places of a chunk that very many documents hold
+are dealt to several tasks, each with the chunk's ids.
+
+Vocabularies of the common byte-level form are applied by a library that encodes them several
+times faster than the one that defines their file format, with equal ids; others, and texts that hold
+a special token's name, by the latter.
 
 Defined results: a null or empty text has no ids. Rows may repeat.
 """
@@ -17,6 +23,8 @@ Defined results: a null or empty text has no ids. Rows may repeat.
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,6 +42,11 @@ from wardbook.llm.shingles import PIECE, POWERS, mix
 WINDOW = 24
 CHUNK_BYTES = 1024
 LEAST_CHUNK = 192
+#: Chunks that have more than one of so many parts of all places are dealt to several tasks.
+PLACE_PARTS = 1000
+
+# Fixed value: where byte-level vocabularies split texts before merging.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def vocabulary(path: str) -> str:
@@ -76,6 +89,13 @@ def _safe(data: bytes, at: int) -> bool:
     return 0 < at < len(data) - 1 and data[at] == 32 and _letter(data[at - 1]) and _letter(data[at + 1])
 
 
+def _joined(values: pa.Array, ids: np.ndarray) -> tuple[np.ndarray, memoryview]:
+    """The values of all ids in one buffer, and where each begins; the last entry is the buffer's end."""
+    taken = values.take(pa.array(ids))
+    _, offsets, data = taken.buffers()
+    return np.frombuffer(offsets, dtype=np.int32)[: len(ids) + 1], memoryview(data if data is not None else b"")
+
+
 class Coder:
     """A byte-level BPE tokenizer and the bytes of its tokens."""
 
@@ -92,21 +112,57 @@ class Coder:
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.bytes = [
-            bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in tokens
-        ]
-        self.lengths = np.array([len(b) for b in self.bytes], dtype=np.int64)
-        self.names = [str(i) for i in range(size)]
+        own = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in tokens]
+        self.bytes = pa.array(own, pa.binary())
+        self.lengths = np.array([len(b) for b in own], dtype=np.int64)
+        self.names = pa.array([f"{i}," for i in range(size)], pa.string())
         #: How ids travel.
         self.kind = np.uint16 if size <= 1 << 16 else np.int32
+        self.fast, self.special = self._plain_form(json.loads(text), byte_of)
+
+    @staticmethod
+    def _plain_form(file: dict, byte_of: dict[str, int]) -> tuple[object | None, list[str]]:
+        """An equal, faster encoder for vocabularies whose ids follow the order of merges, and special tokens."""
+        model, before = file.get("model") or {}, file.get("pre_tokenizer") or {}
+        vocab, special = model.get("vocab") or {}, [t["content"] for t in file.get("added_tokens") or []]
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model.get("merges") or []]
+        ids = [vocab.get(m, -1) for m in merged]
+        plain = (
+            model.get("type") == "BPE" and not file.get("normalizer") and not file.get("post_processor")
+            and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            and ids == sorted(set(ids)) and ids[:1] > [255] and set(byte_of) <= set(vocab) and max(vocab[c] for c in byte_of) < 256
+        )
+        if not plain:
+            return None, special
+        import tiktoken
+
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
+        return tiktoken.Encoding("from-file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}), special
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        slow = [self.fast is None or any(name in t for name in self.special) for t in texts]
+        found = iter(self.tokenizer.encode_batch_fast([t for t, s in zip(texts, slow) if s], add_special_tokens=False))
+        return [
+            np.array(next(found).ids, dtype=self.kind) if s
+            else self.fast.encode_to_numpy(t, disallowed_special=()).astype(self.kind)
+            for t, s in zip(texts, slow)
+        ]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def decode(self, ids: np.ndarray) -> str:
+        return bytes(_joined(self.bytes, np.asarray(ids, dtype=self.kind))[1]).decode("utf-8", "replace")
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
+    def digests(self, found: list[np.ndarray]) -> tuple[list[str], list[str]]:
+        """Per text the hash of its ids in decimal, joined by commas, and of what they decode to."""
+        flat = np.concatenate([*found, np.zeros(0, dtype=self.kind)])
+        ends = np.cumsum([0] + [len(ids) for ids in found])
+        at, names = _joined(self.names, flat)
+        lists = [hashlib.sha256(names[at[a] : max(at[a], at[b] - 1)]).hexdigest() for a, b in zip(ends, ends[1:])]
+        at, data = _joined(self.bytes, flat)
+        decoded = [bytes(data[at[a] : at[b]]).decode("utf-8", "replace").encode() for a, b in zip(ends, ends[1:])]
+        return lists, [hashlib.sha256(d).hexdigest() for d in decoded]
 
-    def core(self, chunk: bytes, ids: list[int]) -> tuple[int, int, np.ndarray]:
+    def core(self, chunk: bytes, ids: np.ndarray) -> tuple[int, int, np.ndarray]:
         """The part of a chunk whose ids hold in any text, as byte offsets, and these ids."""
         begins = np.concatenate([[0], np.cumsum(self.lengths[ids])])
         if begins[-1] != len(chunk):
@@ -120,7 +176,7 @@ class Coder:
         if low >= high:
             return 0, 0, np.zeros(0, dtype=self.kind)
         i, j = np.searchsorted(begins, [low, high])
-        return low, high, np.array(ids[i:j], dtype=self.kind)
+        return low, high, ids[i:j]
 
 
 @lru_cache(maxsize=2)
@@ -184,7 +240,7 @@ def _core_rows(vocabulary_text):
     return run
 
 
-def assemble(coder: Coder, texts: list[str], parts: list[list[dict]]) -> list[list[int]]:
+def assemble(coder: Coder, texts: list[str], parts: list[list[dict]]) -> list[np.ndarray]:
     """Ids of each text: its chunks' cores, and what lies between them encoded here, as one batch."""
     plans, gaps = [], []
     for text, cores in zip(texts, parts):
@@ -203,8 +259,9 @@ def assemble(coder: Coder, texts: list[str], parts: list[list[dict]]) -> list[li
             gaps.append(data[done:].decode())
         plans.append(plan)
     encoded = coder.encode(gaps)
+    none = np.zeros(0, dtype=coder.kind)
     return [
-        [i for step in plan for i in (encoded[step] if isinstance(step, int) else np.frombuffer(step, dtype=coder.kind).tolist())]
+        np.concatenate([none, *(encoded[step] if isinstance(step, int) else np.frombuffer(step, dtype=coder.kind) for step in plan)])
         for plan in plans
     ]
 
@@ -219,16 +276,15 @@ def _encoded_rows(vocabulary_text, emit_ids: bool, batch_chars: int = 1 << 20):
             parts = [p or [] for p in batch.column("parts").to_pylist()]
             for part in slices(texts, batch_chars):
                 found = assemble(coder, texts[part], parts[part])
-                names = [",".join([coder.names[i] for i in ids]) for ids in found]
+                lists, decoded = coder.digests(found)
                 columns = [
                     batch.column("id").slice(part.start, len(found)),
                     pa.array([len(ids) for ids in found], pa.int64()),
-                    pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names], pa.string()),
-                    pa.array([hashlib.sha256(coder.decode(ids).encode()).hexdigest() for ids in found], pa.string()),
+                    pa.array(lists, pa.string()), pa.array(decoded, pa.string()),
                 ]
                 labels = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if emit_ids:
-                    columns.append(pa.array(found, pa.list_(pa.int32())))
+                    columns.append(pa.array([ids.astype(np.int32) for ids in found], pa.list_(pa.int32())))
                     labels.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, labels)
 
@@ -246,7 +302,8 @@ def encode(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
         F.xxhash64(F.lit(1), id_col, text_col).alias("r1"), F.xxhash64(F.lit(2), text_col, id_col).alias("r2"),
     )
-    packed = rows.mapInArrow(_pack_rows, "id long, r1 long, r2 long, packed binary")
+    # Both joins below see the same rows: without the filter only one of them would drop null keys.
+    packed = rows.mapInArrow(_pack_rows, "id long, r1 long, r2 long, packed binary").filter("r1 IS NOT NULL AND r2 IS NOT NULL")
     chunks = work.keep(rows.select("r1", "r2", "text").mapInArrow(_chunk_rows, CHUNKS), "chunks")
     place = F.struct("r1", "r2", "at", "size")
     shared = work.keep(
@@ -260,9 +317,17 @@ def encode(
         packed.join(firsts.hint("shuffle_hash"), ["r1", "r2"]).mapInArrow(_core_rows(text), CORES)
         .dropDuplicates(["h"]).filter("high > low")
     )
-    # A chunk's places move, not its text; a chunk in very many documents is a skewed join's hot key.
+    # A chunk's places move, not its text. Of the chunks whose places are dealt to several tasks there are few.
+    share = math.ceil(chunks.count() / PLACE_PARTS)
+    common = F.broadcast(shared.filter(F.col("n") > share).select("h", F.ceil(F.col("n") / share).cast("int").alias("tasks")))
+    tasks = F.coalesce("tasks", F.lit(1))
+    places = chunks.join(common, "h", "left").select(
+        "r1", "r2", "at", "h", F.pmod(F.xxhash64("r1", "at"), tasks).cast("int").alias("task"))
+    dealt = cores.join(common, "h", "left").select(
+        "h", "low", "high", "ids", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("task"))
     parts = (
-        chunks.join(cores, "h").groupBy("r1", "r2").agg(F.collect_list(F.struct("at", "low", "high", "ids")).alias("parts"))
+        places.join(dealt, ["h", "task"]).groupBy("r1", "r2")
+        .agg(F.collect_list(F.struct("at", "low", "high", "ids")).alias("parts"))
     )
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return (
@@ -278,7 +343,7 @@ def decode(encoded: DataFrame, vocabulary_path: str, id_col: str = "id", ids_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(text.value)
         for batch in batches:
-            found = [None if ids is None else coder.decode(ids) for ids in batch.column("ids").to_pylist()]
+            found = [None if ids is None else coder.decode(np.array(ids, dtype=np.int64)) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.string())], ["id", "text"])
 
     return encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, "id long, text string")
