@@ -72,19 +72,36 @@ def mean_score(
     unit: Sequence[str] | None = None,
     weight: str | None = None,
     ordered: bool = True,
+    counts: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Mean score per group, sorted by it if ``ordered``.
 
     By default each row weighs the same, so units with many rows weigh more; ``weight`` names
     a column of row counts where rows were counted before. Naming the ``unit`` columns lets
-    each unit weigh the same instead.
+    each unit weigh the same instead. ``counts`` names the reported and the expected count that
+    the score is a quotient of: sums are then of whole numbers, divided once per expected count,
+    and the mean is the same to the last bit in whatever order rows come.
     """
+    carried = [score, *(counts or ())]
     if unit is not None:
-        df = df.groupBy(*dict.fromkeys([*by, *unit])).agg(F.max(score).alias(score))
-    if weight is None:
-        average = F.avg(score)
+        best = F.max(F.struct(*carried)).alias("__best")
+        df = df.groupBy(*dict.fromkeys([*by, *unit])).agg(best).select(*by, "__best.*")
+    if counts is not None:
+        means = _exact_means(df, by, score, mean, weight if unit is None else None, *counts)
+    elif weight is None or unit is not None:
+        means = df.groupBy(*by).agg(F.avg(score).alias(mean))
     else:
         weights = F.sum(F.when(F.col(score).isNotNull(), F.col(weight)))
-        average = F.sum(F.col(score) * F.col(weight)) / F.nullif(weights, F.lit(0))
-    means = df.groupBy(*by).agg(average.alias(mean))
+        means = df.groupBy(*by).agg((F.sum(F.col(score) * F.col(weight)) / F.nullif(weights, F.lit(0))).alias(mean))
     return means.orderBy(*by) if ordered else means
+
+
+def _exact_means(
+    df: DataFrame, by: Sequence[str], score: str, mean: str, weight: str | None, reported: str, expected: str
+) -> DataFrame:
+    rows, scored = F.lit(1) if weight is None else F.col(weight), F.col(score).isNotNull()
+    sums = df.groupBy(*by, expected).agg(
+        F.sum(F.when(scored, F.col(reported) * rows)).alias("__sum"), F.sum(F.when(scored, rows)).alias("__rows"))
+    parts = F.collect_list(F.when(F.col("__sum").isNotNull(), F.struct(expected, "__sum")))
+    total = F.aggregate(F.sort_array(parts), F.lit(0.0), lambda a, p: a + p["__sum"].cast("double") / p[expected])
+    return sums.groupBy(*by).agg((total / F.nullif(F.sum("__rows"), F.lit(0))).alias(mean))

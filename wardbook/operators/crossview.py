@@ -36,9 +36,9 @@ def distinct_values(df: DataFrame, column: str) -> list:
     return sorted((r[0] for r in rows), key=lambda v: (v is not None, v))
 
 
-def coverage_pairs(df: DataFrame, row: str, column: str) -> DataFrame:
+def coverage_pairs(df: DataFrame, row: str, column: str, *more: str) -> DataFrame:
     """The pairs that occur, one row each: the matrix's ones in a form that any number of columns fits."""
-    return df.select(row, column).distinct()
+    return df.select(row, column, *more).distinct()
 
 
 def coverage_matrix(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:

@@ -76,6 +76,7 @@ def top_underreporting(
         .filter(F.col("rank") <= top)
         .drop("__units")
     )
+    # A handful of rows per area, found by counts: far smaller than the units they are met with.
     return join_null_safe(per_unit, ranks, [area, "zero_data_periods"]).select(
         area, *unit, "zero_data_periods", "rank"
     )

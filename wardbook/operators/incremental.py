@@ -10,6 +10,30 @@ from pyspark.sql import functions as F
 from wardbook.functions.columns import join_null_safe
 
 
+def period_digests(df: DataFrame, columns: Sequence[str], period: str = "period") -> DataFrame:
+    """``(period, rows, digest, check)`` per period: equal for equal sets of rows, in whatever order they come.
+
+    Rows are compared in ``columns`` only. They fold before the shuffle to one row per period and task.
+    """
+    of_row = [F.lit(1), *[F.col(c) for c in columns]]
+    return df.groupBy(period).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.xxhash64(*of_row).cast("decimal(20,0)")).cast("string").alias("digest"),
+        F.bit_xor(F.xxhash64(F.lit(2), *[F.col(c) for c in reversed(columns)])).alias("check"),
+    )
+
+
+def differing_periods(offered: DataFrame, held: DataFrame, period: str = "period") -> DataFrame:
+    """``(period, is_loaded)`` of the offered periods that are not held, or held with another digest."""
+    known = held.select(
+        period, F.lit(True).alias("is_loaded"), *[F.col(c).alias(f"__{c}") for c in ("rows", "digest", "check")])
+    same = (F.col("rows") == F.col("__rows")) & (F.col("digest") == F.col("__digest")) & (F.col("check") == F.col("__check"))
+    return (
+        offered.filter(F.col(period).isNotNull()).join(known, period, "left").filter(~F.coalesce(same, F.lit(False)))
+        .select(period, F.coalesce("is_loaded", F.lit(False)).alias("is_loaded"))
+    )
+
+
 def new_periods_only(
     df: DataFrame,
     loaded: DataFrame,

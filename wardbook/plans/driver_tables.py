@@ -47,9 +47,6 @@ TABLE_SCHEMAS = {
     "embeddings": "vec_id long, embedding array<float>, label int",
     "labels": "doc_id long, quality int, toxic int",
 }
-# The mean of 128 fifths can end in a five at the seventh digit, where the order of a sum of
-# doubles would decide the rounding; no mean of these tables ends that way at the tenth.
-MEAN_DIGITS = 9
 SNAPSHOT_DATE = "1998-07-01"
 LOW_DAY_SCORE = 0.5
 DOCUMENT_CONTRACT = [
@@ -317,13 +314,13 @@ def _scored_user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mean_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = scoring.mean_score(_scored_user_days(spark, sf_dir), ["day"], weight="rows")
-    return _rounded(means, "avg_completeness_score", digits=MEAN_DIGITS).withColumn("day", F.col("day").cast("string"))
+    means = scoring.mean_score(_scored_user_days(spark, sf_dir), ["day"], weight="rows", counts=facility.SCORE_COUNTS)
+    return means.withColumn("day", F.col("day").cast("string"))
 
 
 def mean_score_by_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = scoring.mean_score(_scored_user_days(spark, sf_dir), ["day"], unit=["user_id"])
-    return _rounded(means, "avg_completeness_score", digits=MEAN_DIGITS).withColumn("day", F.col("day").cast("string"))
+    means = scoring.mean_score(_scored_user_days(spark, sf_dir), ["day"], unit=["user_id"], counts=facility.SCORE_COUNTS)
+    return means.withColumn("day", F.col("day").cast("string"))
 
 
 def low_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:

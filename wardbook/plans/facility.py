@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,16 +17,17 @@ from wardbook.operators.latest import latest_by
 from wardbook.operators.resolve import resolve
 from wardbook.operators.star import project_fact, restore_unknown
 from wardbook.operators.validity import with_validity
-from wardbook.sources.tables import read_typed
+from wardbook.sources.versions import Version, VersionedTable
 
 # Levels of the organisation tree, the key of an observation, the aggregation
-# type of values that add up, the fact's columns with their contract types, and the output
-# columns of the anomaly table.
+# type of values that add up, the counts a score is the quotient of, the fact's columns with
+# their contract types, and the output columns of the anomaly table.
 LEAF_LEVEL = 4
 LEVEL_NAMES = {1: "country_name", 2: "region_name", 3: "district_name"}
 OBSERVATION_KEY = ["data_element_uid", "period", "org_unit_uid", "category_option_combo_uid"]
 ADDITIVE_TYPE = "SUM"
 FACT_PARTITIONS = ["health_area", "year_month"]
+SCORE_COUNTS = ("reported_indicator_count", "expected_indicator_count")
 FACT_CONTRACT = [
     ColumnSpec("data_element_uid", "string", nullable=False),
     ColumnSpec("data_element_name", "string"),
@@ -159,10 +162,73 @@ def fact_service_delivery(enriched: DataFrame) -> DataFrame:
     return project_fact(enriched, FACT_COLUMNS)
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The fact as it was before writing: contract types and order, unknown areas null again."""
-    schema = ", ".join(f"{c.name} {TYPE_ALIASES.get(c.type, c.type)}" for c in FACT_CONTRACT)
-    return restore_unknown(read_typed(spark, path, schema, FACT_COLUMNS), "health_area")
+FACT_SCHEMA = ", ".join(f"{c.name} {TYPE_ALIASES.get(c.type, c.type)}" for c in FACT_CONTRACT)
+
+
+def fact_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, FACT_PARTITIONS)
+
+
+def read_fact(
+    spark: SparkSession, path: str, version: Version | None = None, months: Sequence[str] | None = None
+) -> DataFrame:
+    """The fact as it was before writing, contract types and order, unknown areas null again.
+
+    By default the published version, else the one given; ``months`` limits it to some months.
+    """
+    table = fact_table(spark, path)
+    rows = table.read(version or table.current(), FACT_SCHEMA, months=months).select(*FACT_COLUMNS)
+    return restore_unknown(rows, "health_area")
+
+
+def _folded(fact: DataFrame, keys: Sequence[str], **measures) -> DataFrame:
+    return fact.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
+
+
+#: The fact by month, folded to what one analytic needs of it, under the fact's column names: the
+#: analytics below give the same from a fold as from the fact. A fold of a month depends on
+#: that month only, so folds of all months side by side are the fold of the whole fact.
+FOLDS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "district_values": (
+        "health_area string, district_name string, data_element_name string, year_month string, numeric_value double",
+        lambda fact: _folded(
+            fact, ["health_area", "district_name", "data_element_name", "year_month"], numeric_value=F.sum("numeric_value")),
+    ),
+    "facility_values": (
+        "country_name string, facility_name string, org_unit_uid string, data_element_name string, year_month string,"
+        " numeric_value double",
+        lambda fact: _folded(
+            fact, ["country_name", "facility_name", "org_unit_uid", "data_element_name", "year_month"],
+            numeric_value=F.sum("numeric_value")),
+    ),
+    "presence": (
+        "country_name string, org_unit_uid string, period string, year_month string, raw_value string",
+        lambda fact: _folded(fact, ["country_name", "org_unit_uid", "period", "year_month"], raw_value=F.max("raw_value")),
+    ),
+    "area_values": (
+        "health_area string, country_name string, facility_name string, org_unit_uid string, period string,"
+        " year_month string, numeric_value double",
+        lambda fact: _folded(
+            fact, ["health_area", "country_name", "facility_name", "org_unit_uid", "period", "year_month"],
+            numeric_value=F.sum(F.coalesce("numeric_value", F.lit(0.0)))),
+    ),
+    "volumes": (
+        "health_area string, quarter string, data_element_uid string, year_month string, numeric_value double",
+        lambda fact: _folded(
+            fact, ["health_area", "quarter", "data_element_uid", "year_month"], numeric_value=F.sum("numeric_value")),
+    ),
+    "scores": (
+        "country_name string, health_area string, org_unit_uid string, period string, year_month string,"
+        " reported_indicator_count bigint, expected_indicator_count bigint, completeness_score double, rows bigint",
+        lambda fact: _folded(
+            fact, ["country_name", "health_area", "org_unit_uid", "period", "year_month", "reported_indicator_count",
+                   "expected_indicator_count", "completeness_score"], rows=F.count(F.lit(1))),
+    ),
+    "coverage": (
+        "data_element_name string, country_name string, year_month string",
+        lambda fact: crossview.coverage_pairs(fact, "data_element_name", "country_name", "year_month"),
+    ),
+}
 
 
 def month_over_month_change(fact: DataFrame, calendar: bool = False) -> DataFrame:
@@ -209,10 +275,13 @@ def global_volumes_by_quarter(fact: DataFrame, indicators: DataFrame | None = No
     )
 
 
-def completeness_comparison(fact: DataFrame, equal_facilities: bool = False, ordered: bool = True) -> DataFrame:
+def completeness_comparison(
+    fact: DataFrame, equal_facilities: bool = False, ordered: bool = True, weight: str | None = None
+) -> DataFrame:
+    """Mean scores by rows of the fact, or by facilities; ``weight`` names the column of row counts of a fold."""
     return scoring.mean_score(
         fact, ["country_name", "health_area", "period"],
-        unit=["org_unit_uid"] if equal_facilities else None, ordered=ordered,
+        unit=["org_unit_uid"] if equal_facilities else None, weight=weight, ordered=ordered, counts=SCORE_COUNTS,
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,7 +13,7 @@ from wardbook.errors import EmptyFact
 from wardbook.functions.periods import period_dimension
 from wardbook.operators.contract import ColumnSpec, enforce_contract
 from wardbook.operators.drift import drift_totals, snapshot_drift
-from wardbook.operators.incremental import new_periods_only
+from wardbook.operators.incremental import differing_periods, new_periods_only, period_digests
 from wardbook.operators.latest import unique_lookup
 from wardbook.operators.resolve import flag_unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown
@@ -21,8 +21,9 @@ from wardbook.operators.validity import MAX_QUARANTINE_RATE, enforce_rate, split
 from wardbook.plans import facility
 from wardbook.sources import exports as ex
 from wardbook.sources.tables import (
-    Workspace, drop_partitions, exists, side_by_side, write_csv, write_json, write_parquet, write_partitioned,
+    Workspace, exists, side_by_side, write_csv, write_json, write_parquet, write_partitioned,
 )
+from wardbook.sources.versions import Version, VersionedTable, new_load
 
 log = logging.getLogger(__name__)
 
@@ -63,7 +64,7 @@ def run(spark: SparkSession, data_dir: str, out_dir: str, options: JobOptions =
     """Run the job; False means that an incremental run found nothing to load.
 
     Raises an error of ``wardbook.errors`` when a gate fails; the summary then holds the counts up
-    to that gate. Intermediate tables are written once and read back, so each export is parsed
+    to that gate. Readers of the fact see the new months once everything else is written. Intermediate tables are written once and read back, so each export is parsed
     once and every later step prunes columns. They are deleted when a run ends well, and left
     for inspection when it does not.
     """
@@ -87,7 +88,8 @@ def _run(
         log.info("%s: %d rows", stage, rows)
 
     warehouse, dq = f"{out_dir}/warehouse", f"{out_dir}/dq"
-    fact_path = f"{warehouse}/fact_service_delivery"
+    table = facility.fact_table(spark, f"{warehouse}/fact_service_delivery")
+    version, load = table.current(), new_load()
 
     exports = ex.load_exports(
         spark, data_dir, multi_line=options.multi_line, data_values_as_lines=options.data_values_as_lines,
@@ -100,16 +102,13 @@ def _run(
     valid, malformed = split_valid(landed)
     valid = valid.drop(ex.CORRUPT)
 
-    extends = options.incremental and exists(spark, fact_path)
+    extends = options.incremental and version.number > 0
+    digests = work.keep(period_digests(valid, DIGESTED), "digests")
     if extends:
-        valid = new_periods_only(
-            valid, facility.read_fact(spark, fact_path).drop("period"),
-            reprocess_corrected=options.reprocess_corrected,
-            key=[c for c in facility.OBSERVATION_KEY if c != "period"],
-        )
-        valid = work.keep(valid, "new_observations")
-        if valid.isEmpty():
+        months = _months_to_load(table, version, valid, digests, options.reprocess_corrected)
+        if not months:
             return False
+        valid, digests = (rows.filter(F.col("period").isin(months)) for rows in (valid, digests))
 
     write_parquet(malformed, f"{out_dir}/quarantine/malformed_data_values")
     landing = validity_summary(landed).first()
@@ -152,42 +151,60 @@ def _run(
         raise EmptyFact("The fact has no rows")
     enforce_contract(fact, options.contract)
 
-    def write_fact() -> None:
-        write_partitioned(
-            fill_unknown(fact, "health_area"), fact_path, facility.FACT_PARTITIONS,
-            replace_only_written=extends,
-        )
-
-    if extends:
-        _drop_emptied_partitions(spark, fact, fact_path)
-        write_fact()
-        whole_fact, fact_writes = facility.read_fact(spark, fact_path), []
-    else:
-        whole_fact, fact_writes = fact, [write_fact]
+    following = version.after(load, [r["period"] for r in digests.select("period").collect()], keep=extends)
+    side_by_side(
+        spark,
+        lambda: write_partitioned(fill_unknown(fact, "health_area"), table.folder(load), facility.FACT_PARTITIONS),
+        lambda: write_parquet(digests.withColumn("year_month", F.col("period")), table.folder(load, "digests")),
+        *[
+            lambda name=name, fold=fold: write_parquet(fold(fact), table.folder(load, name))
+            for name, (_, fold) in facility.FOLDS.items()
+        ],
+    )
+    whole_fact = facility.read_fact(spark, table.path, following)
+    folds = {name: table.read(following, schema, name) for name, (schema, _) in facility.FOLDS.items()}
     side_by_side(
         spark,
-        *fact_writes,
-        *_dimensions(whole_fact, lookups, warehouse),
-        *_analytics(whole_fact, lookups, options, f"{out_dir}/analytics"),
-        *_cross_country(work, whole_fact, lookups, options, f"{out_dir}/cross_country"),
+        *_dimensions(folds["presence"], lookups, warehouse),
+        *_analytics(whole_fact, folds, lookups, options, f"{out_dir}/analytics"),
+        *_cross_country(work, folds, lookups, options, f"{out_dir}/cross_country"),
         lambda: write_parquet(lookups.indicators, snapshot),
     )
+    table.publish(following)
+    table.sweep()
     count("fact_service_delivery", whole_fact.count() if extends else counts["enriched_data_values"])
     return True
 
 
-def _drop_emptied_partitions(spark: SparkSession, fact: DataFrame, fact_path: str) -> None:
-    """Delete the partitions of reloaded months that get no rows now, as where an area has changed.
+#: What a month's digest is of: the key of an observation and its time stamp.
+DIGESTED = [*(c for c in facility.OBSERVATION_KEY if c != "period"), "last_updated_at"]
+DIGESTS = "period string, rows bigint, digest string, check bigint, year_month string"
 
-    The others are replaced when the fact is written. This comes first: if a run is cut off in
-    between, rows are missing, which the next run sees and loads, and never there twice. The
-    list has an entry per area and reloaded month at most.
+
+def _months_to_load(
+    table: VersionedTable, version: Version, valid: DataFrame, digests: DataFrame, reprocess_corrected: bool
+) -> list[str]:
+    """Months of the export that are not loaded and, if asked for, those with new or corrected keys.
+
+    Only months whose digest differs from the one kept at their last load are compared, so the fact's
+    other partitions are not opened. There are as many entries on the driver as months.
     """
-    new = fill_unknown(fact, "health_area").select(*facility.FACT_PARTITIONS).distinct()
-    held = fill_unknown(facility.read_fact(spark, fact_path), "health_area").select(*facility.FACT_PARTITIONS).distinct()
-    emptied = held.join(new.select("year_month").distinct(), "year_month", "left_semi").select(
-        *facility.FACT_PARTITIONS).exceptAll(new)
-    drop_partitions(spark, fact_path, facility.FACT_PARTITIONS, emptied.collect())
+    differing = differing_periods(digests, table.read(version, DIGESTS, "digests")).collect()
+    months = {r["period"] for r in differing if r["period"] not in version.months}
+    suspects = [r["period"] for r in differing if r["period"] in version.months]
+    if reprocess_corrected and suspects:
+        rows, held = compared_rows(table, version, valid, suspects)
+        corrected = new_periods_only(rows, held, reprocess_corrected=True, key=[c for c in DIGESTED if c != "last_updated_at"])
+        months |= {r["period"] for r in corrected.select("period").distinct().collect()}
+    return sorted(months)
+
+
+def compared_rows(
+    table: VersionedTable, version: Version, valid: DataFrame, months: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The offered and the loaded rows of some months."""
+    held = facility.read_fact(table.spark, table.path, version, months).drop("period")
+    return valid.filter(F.col("period").isin(list(months))), held
 
 
 def _lookups(work: Workspace, exports: dict[str, DataFrame]) -> Lookups:
@@ -244,44 +261,48 @@ def _unresolved_reports(work: Workspace, valid: DataFrame, lookups: Lookups, dq:
         write_parquet(rows, f"{dq}/{report}")
 
 
-def _dimensions(fact: DataFrame, lookups: Lookups, folder: str) -> list[Callable[[], None]]:
+def _dimensions(months: DataFrame, lookups: Lookups, folder: str) -> list[Callable[[], None]]:
     """Indicators and facilities are unique already; a program may come more than once."""
     return [
         lambda: write_parquet(lookups.indicators, f"{folder}/dim_data_element"),
         lambda: write_parquet(lookups.hierarchy, f"{folder}/dim_org_unit"),
-        lambda: write_parquet(period_dimension(fact, "year_month"), f"{folder}/dim_period"),
+        lambda: write_parquet(period_dimension(months, "year_month"), f"{folder}/dim_period"),
         lambda: write_parquet(unique_lookup(lookups.programs, ["program_uid"]), f"{folder}/dim_program"),
     ]
 
 
-def _analytics(fact: DataFrame, lookups: Lookups, options: JobOptions, folder: str) -> list[Callable[[], None]]:
+def _analytics(
+    fact: DataFrame, folds: dict[str, DataFrame], lookups: Lookups, options: JobOptions, folder: str
+) -> list[Callable[[], None]]:
+    """Only the anomalies read the fact itself: a value is judged by the ones before it."""
     register = lookups.hierarchy.select("country_name", "org_unit_uid") if options.facility_register else None
     return [
         lambda: write_csv(
-            facility.month_over_month_change(fact, options.calendar), f"{folder}/month_over_month_change"
+            facility.month_over_month_change(folds["district_values"], options.calendar),
+            f"{folder}/month_over_month_change",
         ),
         lambda: write_csv(
-            facility.rolling_three_month_average(fact, options.min_periods, options.calendar),
+            facility.rolling_three_month_average(folds["facility_values"], options.min_periods, options.calendar),
             f"{folder}/rolling_3_month_average",
         ),
         lambda: write_csv(
             facility.country_reporting_rate(
-                fact, expected_units=register, keep_null_group=options.keep_null_country
+                folds["presence"], expected_units=register, keep_null_group=options.keep_null_country
             ),
             f"{folder}/country_reporting_rate",
         ),
         lambda: write_csv(
-            facility.top_underreporting_facilities(fact), f"{folder}/top_underreporting_facilities"
+            facility.top_underreporting_facilities(folds["area_values"]), f"{folder}/top_underreporting_facilities"
         ),
         lambda: write_csv(facility.anomalies(fact, options.exclude_current), f"{folder}/anomalies"),
     ]
 
 
 def _cross_country(
-    work: Workspace, fact: DataFrame, lookups: Lookups, options: JobOptions, folder: str
+    work: Workspace, folds: dict[str, DataFrame], lookups: Lookups, options: JobOptions, folder: str
 ) -> list[Callable[[], None]]:
     def write_scores() -> None:
-        means = facility.completeness_comparison(fact, options.equal_facilities, ordered=False)
+        means = facility.completeness_comparison(folds["scores"], options.equal_facilities, ordered=False, weight="rows")
         scores = work.keep(means, "mean_scores")
         write_csv(
             scores.orderBy("country_name", "health_area", "period"), f"{folder}/completeness_comparison"
@@ -290,11 +311,14 @@ def _cross_country(
 
     return [
         lambda: write_csv(
-            facility.global_volumes_by_quarter(fact, lookups.indicators if options.additive_volumes else None),
+            facility.global_volumes_by_quarter(folds["volumes"], lookups.indicators if options.additive_volumes else None),
             f"{folder}/global_volumes_by_quarter",
         ),
         lambda: write_csv(
-            facility.data_element_coverage_matrix(fact), f"{folder}/data_element_coverage_matrix"
+            facility.data_element_coverage_matrix(folds["coverage"]), f"{folder}/data_element_coverage_matrix"
+        ),
+        lambda: write_parquet(
+            folds["coverage"].select("data_element_name", "country_name").distinct(), f"{folder}/data_element_coverage_pairs"
         ),
         write_scores,
     ]

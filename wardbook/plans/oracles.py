@@ -217,13 +217,23 @@ ORACLES: dict[str, str] = {
     """,
     "mean_score": f"""
         {USER_DAYS}
-        SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(completeness_score), 9) AS avg_completeness_score
-        FROM e LEFT JOIN scores USING (user_id, day) GROUP BY day ORDER BY day
+        , sums AS (
+            SELECT day, expected_indicator_count AS n, sum(reported_indicator_count)::DOUBLE AS s, count(completeness_score) AS c
+            FROM e LEFT JOIN scores USING (user_id, day) GROUP BY day, n)
+        SELECT strftime(day, '%Y-%m-%d') AS day,
+               list_reduce(list_prepend(0::DOUBLE, list(s / n ORDER BY n) FILTER (s IS NOT NULL)), lambda a, b: a + b)
+                 / nullif(sum(c), 0) AS avg_completeness_score
+        FROM sums GROUP BY day ORDER BY day
     """,
     "mean_score_by_unit": f"""
         {USER_DAYS}
-        SELECT strftime(day, '%Y-%m-%d') AS day, round(avg(completeness_score), 9) AS avg_completeness_score
-        FROM scores GROUP BY day ORDER BY day
+        , sums AS (
+            SELECT day, expected_indicator_count AS n, sum(reported_indicator_count)::DOUBLE AS s, count(completeness_score) AS c
+            FROM scores GROUP BY day, n)
+        SELECT strftime(day, '%Y-%m-%d') AS day,
+               list_reduce(list_prepend(0::DOUBLE, list(s / n ORDER BY n) FILTER (s IS NOT NULL)), lambda a, b: a + b)
+                 / nullif(sum(c), 0) AS avg_completeness_score
+        FROM sums GROUP BY day ORDER BY day
     """,
     "low_streaks": f"""
         {USER_DAYS},

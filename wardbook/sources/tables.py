@@ -17,20 +17,13 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(
-    df: DataFrame, path: str, by: Sequence[str], replace_only_written: bool = False
-) -> None:
-    """Overwrite a partitioned table, or only the partitions that ``df`` has rows for.
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Overwrite a partitioned table.
 
     Rows are first rebalanced by partition: Spark gathers small partitions into few files
     and splits a partition that holds much of the data over several tasks.
     """
-    mode = "dynamic" if replace_only_written else "static"
-    (
-        df.hint("rebalance", *[F.col(c) for c in by])
-        .write.mode("overwrite").option("partitionOverwriteMode", mode)
-        .partitionBy(*by).parquet(path)
-    )
+    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -41,11 +34,6 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_typed(spark: SparkSession, path: str, schema: str, columns: Sequence[str]) -> DataFrame:
-    """A partitioned table under its written types and column order, instead of inferred ones."""
-    return spark.read.schema(schema).parquet(path).select(*columns)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a Parquet table at ``path``. One that cannot be opened is an error."""
     try:
@@ -57,16 +45,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def drop_partitions(spark: SparkSession, path: str, by: Sequence[str], values: Sequence[Sequence[str]]) -> None:
-    """Delete the folders of the given partitions of a table that ``write_partitioned`` wrote."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for partition in values:
-        name = "/".join(f"{escape(c)}={escape(v)}" for c, v in zip(by, partition))
-        folder = jvm.org.apache.hadoop.fs.Path(path, name)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def side_by_side(spark: SparkSession, *steps: Callable, at_once: int = 8) -> list:
     """Results of independent steps whose Spark jobs may overlap; the first failure is raised.
 
