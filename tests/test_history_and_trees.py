@@ -1,0 +1,85 @@
+"""Histories of attributes, and trees given by parent links."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardbook.operators.hierarchy import flatten_hierarchy, paths_from_parents
+from wardbook.operators.history import attach_as_of, changes, drift_between, register_at, validity
+from wardbook.sources.tables import query_workspace
+
+LOG = "id string, attribute string, value string, is_present boolean, changed_at int"
+
+
+def test_the_log_ends_with_every_snapshot(spark):
+    draw, log, snapshots = random.Random(4), [], []
+    for run in range(1, 7):
+        register = [(f"d{i}", draw.choice(["A", "B", None]), draw.choice(["X", "Y"])) for i in range(8) if draw.random() < 0.7]
+        register.append((None, "nobody", "Z"))
+        new = changes(
+            spark.createDataFrame(log, LOG), spark.createDataFrame(register, "uid string, name string, kind string"),
+            "uid", ["name", "kind"], F.lit(run)).collect()
+        log += [tuple(r) for r in new]
+        snapshots.append({r[0]: r[1:] for r in register if r[0]})
+    assert len(log) < sum(2 * len(s) for s in snapshots)
+    intervals = validity(spark.createDataFrame(log, LOG).repartition(3))
+    for run, snapshot in enumerate(snapshots, 1):
+        got = {r["id"]: (r["name"], r["kind"]) for r in register_at(intervals, F.lit(run), ["name", "kind"]).collect()}
+        assert got == snapshot
+    for a, b in ((1, 6), (2, 3), (5, 5), (6, 1)):
+        old, new = snapshots[a - 1], snapshots[b - 1]
+        want = set()
+        for i in old.keys() | new.keys():
+            for n, attribute in enumerate(("name", "kind")):
+                x, y = old.get(i, (None, None))[n], new.get(i, (None, None))[n]
+                change = "added" if i not in old else "removed" if i not in new else "changed" if x != y else None
+                if change:
+                    want.add((i, attribute, change, x, y))
+        assert {tuple(r) for r in drift_between(intervals, F.lit(a), F.lit(b)).collect()} == want
+
+
+def test_as_of_join_keeps_every_row_once(spark):
+    log = [("a", "name", "one", True, 2), ("a", "name", "one", True, 3), ("a", "name", "two", True, 5), ("a", "name", None, False, 8),
+           ("a", "kind", "K", True, 1), ("b", "name", None, True, 1)]
+    intervals = validity(spark.createDataFrame(log, LOG))
+    assert intervals.filter("id = 'a' AND attribute = 'name'").count() == 2
+    rows = spark.createDataFrame([("a", t) for t in range(1, 10)] + [("b", 4), ("c", 4), (None, 4), ("a", None)], "id string, t int")
+    got = [tuple(r) for r in attach_as_of(rows, intervals, ["id"], "t", "name", attribute="name").collect()]
+    want = [("a", t, None if t < 2 or t > 7 else "one" if t < 5 else "two") for t in range(1, 10)]
+    assert sorted(got, key=str) == sorted(want + [("b", 4, None), ("c", 4, None), (None, 4, None), ("a", None, None)], key=str)
+
+
+def brute_paths(nodes):
+    parents = dict(nodes)
+    out = {}
+    for node in parents:
+        path, at = [], node
+        while at is not None and at in parents and at not in path:
+            path.append(at)
+            at = parents[at]
+        out[node] = (None, None, True) if at in path else ("/" + "/".join(reversed(path)), len(path), False)
+    return out
+
+
+@pytest.mark.parametrize("case", ["random", "chain", "circles", "empty"])
+def test_paths_from_parent_links(spark, case):
+    draw = random.Random(8)
+    nodes = {
+        "random": [(f"n{i}", draw.choice([None, "gone", f"n{draw.randrange(60)}"]) if i else None) for i in range(60)],
+        "chain": [(f"n{i}", f"n{i - 1}" if i else None) for i in range(70)],
+        "circles": [("a", "a"), ("b", "c"), ("c", "b"), ("d", "c"), ("e", "d"), ("f", "e"), ("g", None), ("h", "g"),
+                    *[(f"r{i}", f"r{(i + 1) % 7}") for i in range(7)], *[(f"t{i}", f"t{i + 1}" if i < 5 else "r3") for i in range(6)]],
+        "empty": [],
+    }[case]
+    df = spark.createDataFrame(nodes, "id string, parent string")
+    found = paths_from_parents(df, query_workspace(spark))
+    assert found.columns == ["id", "parent", "path", "depth", "is_cyclic"]
+    assert {r["id"]: (r["path"], r["depth"], r["is_cyclic"]) for r in found.collect()} == brute_paths(nodes)
+
+
+def test_paths_serve_the_flattening(spark):
+    rows = [("w", "World", None), ("n", "North", "w"), ("c", "Clinic", "n"), ("s", "South", "w"), ("d", "Depot", "s")]
+    tree = paths_from_parents(spark.createDataFrame(rows, "id string, name string, parent string"), query_workspace(spark))
+    flat = flatten_hierarchy(tree, 3, {1: "world", 2: "part"}, level="depth").collect()
+    assert sorted(map(tuple, flat)) == [("c", "Clinic", 3, "World", "North"), ("d", "Depot", 3, "World", "South")]

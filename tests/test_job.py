@@ -267,6 +267,45 @@ def test_drift_against_last_run_and_against_a_given_export(spark, tmp_path):
     assert {tuple(r) for r in spark.read.json(f"{out}/dq/metadata_drift").select(columns).collect()} == want
 
 
+def test_metadata_history_over_three_runs(spark, tmp_path):
+    rows, out = data_values(MONTHS[:1]), str(tmp_path / "out")
+    registers = [
+        INDICATORS, [{**INDICATORS[0], "name": "All cases"}, *INDICATORS[2:]],
+        [{**INDICATORS[0], "valueType": "TEXT"}, *INDICATORS[1:]],
+    ]
+    for day, indicators in enumerate(registers, 1):
+        data = write_exports(tmp_path / str(day), rows, indicators=indicators)
+        assert run(spark, data, out, JobOptions(run_time=f"2024-01-0{day} 00:00:00", drift_since="2024-01-01 12:00:00"))
+    changed = {(r["id"], r["attribute"], r["change"], r["old_value"], r["new_value"])
+               for r in spark.read.parquet(f"{out}/dq/metadata_drift_since").collect()}
+    assert changed == {("deCases", "value_type", "changed", INDICATORS[0]["valueType"], "TEXT")}
+    last = {(r["id"], r["attribute"]) for r in spark.read.parquet(f"{out}/dq/metadata_changes").collect()}
+    assert {("deCases", "data_element_name"), ("deCases", "value_type"), ("dePosit", "data_element_name")} <= last
+    assert not any(i in ("deStock", "deOther") for i, _ in last)
+
+
+def test_tree_from_parent_links_gives_the_same_fact(spark, tmp_path):
+    """Where every ancestor is there; without paths in the export."""
+    rows = data_values(MONTHS[:1])
+    data = write_exports(tmp_path / "data", rows)
+    units = json.loads((tmp_path / "data" / "org_units.json").read_text())
+    known = {u["id"] for u in units["organisationUnits"]}
+    for u in units["organisationUnits"]:
+        above = [p for p in u["path"].strip("/").split("/")[:-1] if p in known]
+        u["path"] = "/" + "/".join([*above, u["id"]])
+        u["parent"], u["level"] = {"id": above[-1]} if above else None, len(above) + 1
+    (tmp_path / "data" / "org_units.json").write_text(json.dumps(units))
+    assert run(spark, data, str(tmp_path / "by_path"))
+    for u in units["organisationUnits"]:
+        u["path"], u["level"] = None, None
+    units["organisationUnits"] += [{"id": "x", "parent": {"id": "y"}}, {"id": "y", "parent": {"id": "x"}}]
+    (tmp_path / "data" / "org_units.json").write_text(json.dumps(units))
+    assert run(spark, data, str(tmp_path / "by_parent"), JobOptions(tree_from_parents=True))
+    assert fact_rows(spark, tmp_path / "by_parent") == fact_rows(spark, tmp_path / "by_path")
+    cycles = spark.read.parquet(f"{tmp_path}/by_parent/dq/org_unit_cycles")
+    assert {r["org_unit_uid"] for r in cycles.collect()} == {"x", "y"}
+
+
 def test_gates(spark, tmp_path):
     row = data_values(MONTHS[:1])[0]
     bad = {**row, "period": "x"}

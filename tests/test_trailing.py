@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wardbook.operators.trailing import HotKeySplit, over_trailing_rows
+from wardbook.operators.trailing import HotKeyRanges, HotKeySplit, over_trailing_rows
 from wardbook.operators.trends import rolling_mean
 
 
@@ -31,12 +31,13 @@ def test_chunks_change_nothing(spark, size, width, start, end):
             data.append((key, rng.choice([3, rng.randrange(60), rng.randrange(60)]), n, rng.choice([None, n, 2 * n])))
             n += 1
     df = spark.createDataFrame(data, "k string, at int, i int, v int").repartition(3)
-    split = HotKeySplit(F.expr(f"at div {width}"), rows_per_chunk=size)
-    got = over_trailing_rows(df, ["k"], ["at", "i"], start, end, {"n": F.count("v"), "s": F.sum("v")}, split)
-    assert got.columns == ["k", "at", "i", "v", "n", "s"]
-    collected = got.collect()
-    assert len(collected) == len(data)
-    assert {r["i"]: (r["n"], r["s"]) for r in collected} == brute(data, start, end)
+    bins = F.expr(f"at div {width}")
+    for split in (HotKeySplit(bins, size), HotKeyRanges(bins, size), HotKeyRanges(bins, size, keys_at_most=1)):
+        got = over_trailing_rows(df, ["k"], ["at", "i"], start, end, {"n": F.count("v"), "s": F.sum("v")}, split)
+        assert got.columns == ["k", "at", "i", "v", "n", "s"]
+        collected = got.collect()
+        assert len(collected) == len(data)
+        assert {r["i"]: (r["n"], r["s"]) for r in collected} == brute(data, start, end)
 
 
 def test_plain_window_agrees_with_brute_force(spark):
@@ -49,9 +50,9 @@ def test_plain_window_agrees_with_brute_force(spark):
 def test_rows_without_an_order_value_come_first(spark):
     data = [("a", None, 1.0), ("a", 1, 2.0), ("a", 2, 3.0), ("a", None, 4.0)]
     df = spark.createDataFrame(data, "k string, at int, v double")
-    split = HotKeySplit(F.col("at"), rows_per_chunk=2)
-    got = over_trailing_rows(df, ["k"], ["at", "v"], -1, 0, {"s": F.sum("v")}, split)
-    assert sorted(r["s"] for r in got.collect()) == [1.0, 5.0, 5.0, 6.0]
+    for split in (HotKeySplit(F.col("at"), rows_per_chunk=2), HotKeyRanges(F.col("at"), rows_per_range=2)):
+        got = over_trailing_rows(df, ["k"], ["at", "v"], -1, 0, {"s": F.sum("v")}, split)
+        assert sorted(r["s"] for r in got.collect()) == [1.0, 5.0, 5.0, 6.0]
 
 
 def test_bins_may_be_structs(spark):
@@ -68,3 +69,13 @@ def test_rolling_mean_of_a_split_key(spark):
     plain = rolling_mean(totals, ["k"], "at", min_periods=3).select(columns).collect()
     split = rolling_mean(totals, ["k"], "at", min_periods=3, split=HotKeySplit(F.expr("at div 3"), 20))
     assert sorted(split.select(columns).collect(), key=str) == sorted(plain, key=str)
+
+
+def test_ranges_of_one_key_are_of_like_size_however_its_rows_lie(spark):
+    from wardbook.operators.trailing import _ranges_of_hot_keys
+
+    df = spark.range(40_000).selectExpr(
+        "'k' k", "case when id % 2 = 0 then id else 39000 + id / 40 end at", "id i")
+    ranges = _ranges_of_hot_keys(df, ["k"], HotKeyRanges(F.col("at"), rows_per_range=200))
+    sizes = [r["count"] for r in ranges.groupBy("__range").count().collect()]
+    assert 150 <= len(sizes) <= 260 and max(sizes) < 1000

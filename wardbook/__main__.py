@@ -37,6 +37,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--keep-null-country", action="store_true", help="give the null country a reporting rate")
     parser.add_argument("--facility-register", action="store_true", help="expect all facilities of the tree to report")
     parser.add_argument("--additive-volumes", action="store_true", help="sum indicators that add up only")
+    parser.add_argument("--tree-from-parents", action="store_true", help="take the tree from parent links, not from paths")
+    parser.add_argument("--run-time", help="time of this run in the metadata history, now by default")
+    parser.add_argument("--drift-since", help="also report metadata changes since this time")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("wardbook").getOrCreate()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardbook.functions.columns import join_null_safe, ratio
-from wardbook.operators.trailing import HotKeySplit, over_trailing_rows
+from wardbook.operators.trailing import HotKeyRanges, HotKeySplit, over_trailing_rows
 
 
 def reporting_rate(
@@ -90,7 +90,7 @@ def rolling_anomalies(
     rows: int = 12,
     deviations: float = 3,
     exclude_current: bool = False,
-    split: HotKeySplit | None = None,
+    split: HotKeySplit | HotKeyRanges | None = None,
 ) -> DataFrame:
     """Rows more than ``deviations`` sample standard deviations off their trailing mean.
 

@@ -1,12 +1,15 @@
-"""Flattening a tree with materialised paths to one row per leaf."""
+"""Trees: one row per leaf with its ancestors' names, from paths or from parent links of any depth."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardbook.sources.tables import Workspace
+
 
 def flatten_hierarchy(
     nodes: DataFrame,
@@ -54,3 +57,47 @@ def flatten_hierarchy(
         .filter("__keep")
         .drop("__keep")
     )
+
+
+def paths_from_parents(
+    nodes: DataFrame, work: Workspace, id: str = "id", parent: str = "parent", path: str = "path", depth: str = "depth",
+    cyclic: str = "is_cyclic",
+) -> DataFrame:
+    """``nodes`` with the path from the root, its number of nodes, and whether the links run in a circle.
+
+    A path reads ``/root/.../node``. A node without a parent, or with one that is not there, is a
+    root. Nodes in a circle, and those that lead into one, have neither path nor depth.
+
+    Every node points at an ancestor and holds the ids up to it. A round lets each take over where
+    its ancestor points, so paths double: a tree of depth 1000 takes ten rounds and a last one. A
+    pointer that is on its own path has come round, and is not followed. Rounds are written,
+    so that a lost executor costs a re-read; only their counts of open pointers reach the driver.
+    """
+    known = nodes.select(F.col(id).alias("__parent")).filter(F.col("__parent").isNotNull()).distinct()
+    links = nodes.filter(F.col(id).isNotNull()).select(F.col(id).alias("node"), F.col(parent).alias("__parent"))
+    state = work.keep(
+        links.join(known.withColumn("__known", F.lit(True)), "__parent", "left").select(
+            "node", F.when(F.col("__known"), F.col("__parent")).alias("up"), F.array("node").alias("ids"),
+            F.lit(False).alias("circle"),
+        ).dropDuplicates(["node"]),
+        "paths-0",
+    )
+    for turn in count(1):
+        if state.filter(F.col("up").isNotNull()).isEmpty():
+            break
+        above = state.select(
+            F.col("node").alias("up"), F.col("up").alias("next"), F.col("ids").alias("more"), F.col("circle").alias("above"))
+        ids = F.concat(F.coalesce("more", F.array().cast(state.schema["ids"].dataType)), "ids")
+        joined = state.join(above, "up", "left").select("node", "next", ids.alias("ids"), (
+            F.col("circle") | F.coalesce("above", F.lit(False))).alias("circle"))
+        round_again = F.col("next").isNotNull() & F.array_contains("ids", F.col("next"))
+        state = work.keep(joined.select(
+            "node", F.when(~round_again & ~F.col("circle"), F.col("next")).alias("up"),
+            F.when(~round_again & ~F.col("circle"), F.col("ids")).otherwise(F.array("node")).alias("ids"),
+            (F.col("circle") | F.coalesce(round_again, F.lit(False))).alias("circle"),
+        ), f"paths-{turn}")
+    found = state.select(
+        F.col("node").alias(id), F.when(~F.col("circle"), F.concat(F.lit("/"), F.array_join("ids", "/"))).alias(path),
+        F.when(~F.col("circle"), F.size("ids")).alias(depth), F.col("circle").alias(cyclic),
+    )
+    return nodes.join(found, id, "left")

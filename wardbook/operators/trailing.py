@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,25 @@ class HotKeySplit:
     rows_per_chunk: int = 1_000_000
 
 
+@dataclass(frozen=True)
+class HotKeyRanges:
+    """How to cut big keys into ranges of their order, and shuffle every row once.
+
+    ``position`` is a number that never falls as the window order rises, such as the seconds of the
+    ordering timestamp; rows that share one stay together. Keys of more than ``rows_per_range``
+    rows are cut, of these the ``keys_at_most`` biggest, so that the table of borders has a
+    bounded size; a key beyond has less than that part of all rows.
+    """
+
+    position: Column
+    rows_per_range: int = 1_000_000
+    keys_at_most: int = 10_000
+
+
+#: Quantiles of a hot key's positions; what lies between two of them is cut evenly if still too big.
+QUANTILES = 64
+
+
 def over_trailing_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -33,7 +53,7 @@ def over_trailing_rows(
     start: int,
     end: int,
     measures: Mapping[str, Column],
-    split: HotKeySplit | None = None,
+    split: HotKeySplit | HotKeyRanges | None = None,
 ) -> DataFrame:
     """Add each aggregate in ``measures`` over rows ``start`` to ``end`` relative to the row.
 
@@ -41,11 +61,14 @@ def over_trailing_rows(
     for repeatable results. Without ``split`` a key is one window partition, right where rows
     per key are bounded (one per month, say). With it a key is cut into chunks that are
     computed side by side; each chunk also receives the ``-start`` rows before it, so the
-    result is the same to the last row.
+    result is the same to the last row. ``HotKeyRanges`` finds these rows after the shuffle, at the
+    end of each range, instead of sending bins to all chunks they lead into.
     """
     if split is None:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(start, end)
         return df.withColumns({name: agg.over(window) for name, agg in measures.items()})
+    if isinstance(split, HotKeyRanges):
+        return _over_ranges(df, keys, order, start, end, measures, split)
 
     columns = df.columns
     binned = df.withColumn("__bin", split.bin)
@@ -98,3 +121,58 @@ def _chunks_per_bin(binned: DataFrame, keys: Sequence[str], size: int, carry: in
             ).alias("__chunks"),
         )
     )
+
+
+def _ranges_of_hot_keys(df: DataFrame, keys: Sequence[str], split: HotKeyRanges) -> DataFrame:
+    """``df`` with ``__range``: a number that rises with the position, null for keys that are not cut.
+
+    One pass over keys and positions finds the quantiles, as a range partitioning would by a sample.
+    """
+    at = df.withColumn("__at", split.position.cast("double"))
+    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
+    hot = (
+        at.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__at", shares, 1000).alias("__borders"))
+        .filter(F.col("__n") > split.rows_per_range).orderBy(F.desc("__n")).limit(split.keys_at_most)
+    )
+    joined = join_null_safe(at, F.broadcast(hot), keys, "left")
+    position, ranges = F.col("__at"), F.ceil(F.col("__n") / split.rows_per_range)
+    quantile = reduce(
+        lambda a, b: a + b, [(position >= F.get("__borders", F.lit(i))).cast("int") for i in range(1, QUANTILES)])
+    low, high = F.get("__borders", F.col("__q")), F.get("__borders", F.col("__q") + 1)
+    # Few ranges take several quantiles each; many cut each quantile into even steps.
+    together = F.floor(F.col("__q") * F.least(ranges, F.lit(QUANTILES)) / QUANTILES)
+    steps = F.ceil(ranges / QUANTILES)
+    step = F.when((steps > 1) & (high > low), F.floor((position - low) / (high - low) * steps)).otherwise(0)
+    within = F.greatest(F.lit(0), F.least(step, steps - 1))
+    number = together * F.lit(1 << 31) + within
+    return joined.withColumn("__q", quantile).withColumn(
+        "__range", F.when(F.col("__n").isNotNull(), F.coalesce(number.cast("long"), F.lit(-1)))
+    ).select(*df.columns, "__range")
+
+
+def _over_ranges(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], start: int, end: int, measures: Mapping[str, Column],
+    split: HotKeyRanges,
+) -> DataFrame:
+    columns, of_range = df.columns, [*keys, "__range"]
+    rows = _ranges_of_hot_keys(df, keys, split).repartition(*of_range)
+    from_end = Window.partitionBy(*of_range).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    tails = (
+        rows.filter(F.col("__range").isNotNull()).withColumn("__from_end", F.row_number().over(from_end))
+        .filter(F.col("__from_end") <= -start)
+        .groupBy(*of_range).agg(F.collect_list(F.struct(*[F.col(c) for c in columns])).alias("__tail"))
+    )
+    # A range of fewer rows than the window looks back on hands on those of the ranges before it.
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(start, -1)
+    lead_in = (
+        tails.withColumn("__rows", F.flatten(F.collect_list("__tail").over(before)))
+        .select(F.col("__range"), F.explode("__rows").alias("__row")).select("__row.*", "__range")
+        .repartition(*of_range)
+    )
+    # Both sides are dealt alike, so the union needs no further shuffle.
+    both = rows.withColumn("__lead_in", F.lit(False)).unionByName(lead_in.withColumn("__lead_in", F.lit(True)))
+    window = Window.partitionBy(*of_range).orderBy(*order).rowsBetween(start, end)
+    return (
+        both.withColumns({name: agg.over(window) for name, agg in measures.items()})
+        .filter(~F.col("__lead_in")).drop("__range", "__lead_in")
+    )

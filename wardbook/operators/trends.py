@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardbook.functions.columns import month_index, ratio
-from wardbook.operators.trailing import HotKeySplit, over_trailing_rows
+from wardbook.operators.trailing import HotKeyRanges, HotKeySplit, over_trailing_rows
 
 
 def period_totals(
@@ -57,7 +57,7 @@ def rolling_mean(
     periods: int = 3,
     min_periods: int = 1,
     calendar: bool = False,
-    split: HotKeySplit | None = None,
+    split: HotKeySplit | HotKeyRanges | None = None,
 ) -> DataFrame:
     """Mean of the row and the ``periods - 1`` rows before it.
 

@@ -19,13 +19,14 @@ from wardbook.operators import completeness as scoring
 from wardbook.operators import crossview, facilities, trends
 from wardbook.operators.contract import ColumnSpec, contract_report
 from wardbook.operators.drift import drift_totals, snapshot_drift
-from wardbook.operators.hierarchy import flatten_hierarchy
-from wardbook.operators.incremental import new_periods_only
+from wardbook.operators.hierarchy import flatten_hierarchy, paths_from_parents
+from wardbook.operators.history import attach_as_of, drift_between, validity
+from wardbook.operators.incremental import differing_periods, new_periods_only, period_digests
 from wardbook.operators.latest import latest_by, unique_lookup
 from wardbook.operators.records import explode_records
 from wardbook.operators.resolve import flag_unresolved, resolve, unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
-from wardbook.operators.trailing import HotKeySplit
+from wardbook.operators.trailing import HotKeyRanges, HotKeySplit
 from wardbook.operators.validity import count_stages, split_valid, validity_summary, with_validity
 from wardbook.plans import export_queries, facility
 from wardbook.sources.tables import query_workspace
@@ -235,6 +236,29 @@ def flatten_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_hierarchy(nodes, 3, {1: "region_name", 2: "nation_name"})
 
 
+def hierarchy_from_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as ``flatten_hierarchy``, from a tree that has parents instead of paths."""
+    region, nation = _table(spark, sf_dir, "region"), _table(spark, sf_dir, "nation")
+    nodes = (
+        region.select(F.concat(F.lit("R"), "r_regionkey").alias("id"), F.col("r_name").alias("name"), F.lit(None).cast("string").alias("parent"))
+        .unionByName(nation.select(
+            F.concat(F.lit("N"), "n_nationkey").alias("id"), F.col("n_name").alias("name"), F.concat(F.lit("R"), "n_regionkey").alias("parent")))
+        .unionByName(_table(spark, sf_dir, "customer").select(
+            F.concat(F.lit("C"), "c_custkey").alias("id"), F.col("c_name").alias("name"), F.concat(F.lit("N"), "c_nationkey").alias("parent")))
+    )
+    tree = paths_from_parents(nodes, query_workspace(spark))
+    return flatten_hierarchy(tree, 3, {1: "region_name", 2: "nation_name"}, level="depth").withColumnRenamed("depth", "level")
+
+
+def tree_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a deep tree: each under the one of half its key, some under one of theirs, in a circle."""
+    key = F.col("c_custkey")
+    nodes = _table(spark, sf_dir, "customer").select(
+        key.alias("id"), F.when(key % 50 == 7, key * 2).otherwise(F.floor(key / 2)).alias("parent"))
+    found = paths_from_parents(nodes, query_workspace(spark))
+    return found.withColumn("depth", F.col("depth").cast("long"))
+
+
 def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")
@@ -399,14 +423,15 @@ def top_underreporting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_anomalies(
-    spark: SparkSession, sf_dir: str, exclude_current: bool, split: HotKeySplit | None = None
+    spark: SparkSession, sf_dir: str, exclude_current: bool, split: HotKeySplit | HotKeyRanges | None = None
 ) -> DataFrame:
-    """Five event types share all events, so each type is cut into chunks, by default of whole minutes."""
+    """Five event types share all events, so each type is cut, by default into ranges of whole seconds."""
     events = _table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
-    minute = (F.unix_date(F.col("ts").cast("date")).cast("long") * 24 + F.hour("ts")) * 60 + F.minute("ts")
+    day = F.unix_date(F.col("ts").cast("date")).cast("long")
+    second = ((day * 24 + F.hour("ts")) * 60 + F.minute("ts")) * 60 + F.second("ts")
     found = facilities.rolling_anomalies(
         events, ["event_type"], ["ts", "event_id"], "value",
-        exclude_current=exclude_current, split=split or HotKeySplit(minute))
+        exclude_current=exclude_current, split=split or HotKeyRanges(second))
     return _rounded(found.drop("ts"), "rolling_mean", "rolling_stddev", "z_score")
 
 
@@ -418,6 +443,13 @@ def rolling_anomalies_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_anomalies(spark, sf_dir, exclude_current=True)
 
 
+def rolling_anomalies_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in many small ranges of the order, each with the rows at the end of those before it."""
+    day = F.unix_date(F.col("ts").cast("date")).cast("long")
+    minute = (day * 24 + F.hour("ts")) * 60 + F.minute("ts")
+    return _event_anomalies(spark, sf_dir, exclude_current=False, split=HotKeyRanges(minute, rows_per_range=20))
+
+
 def rolling_anomalies_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same in many small chunks, whose bins go on below the minute: no minute has to fit a chunk."""
     day = F.unix_date(F.col("ts").cast("date")).cast("long")
@@ -474,6 +506,33 @@ def priority_drift_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_totals(_priority_drift(spark, sf_dir))
 
 
+def _priority_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's priority with every order, until an order that is pending: then it has none."""
+    return _table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.lit("priority").alias("attribute"), F.col("o_orderpriority").alias("value"),
+        (F.col("o_orderstatus") != "P").alias("is_present"), F.col("o_orderdate").cast("date").alias("changed_at"))
+
+
+def attribute_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    intervals = validity(_priority_log(spark, sf_dir))
+    return intervals.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
+
+
+def drift_between_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    since, until = (F.lit(d).cast("date") for d in ("1996-01-01", "1997-06-15"))
+    return drift_between(validity(_priority_log(spark, sf_dir)), since, until)
+
+
+def as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the priority that their customer had on the day of shipping."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("id"))
+    lines = _table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("shipped"))
+    rows = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select("l_orderkey", "l_linenumber", "id", "shipped")
+    return attach_as_of(rows, validity(_priority_log(spark, sf_dir)), ["id"], "shipped", "priority", attribute="priority").select(
+        "l_orderkey", "l_linenumber", "priority")
+
+
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").cast("date").cast("string").alias("day"))
@@ -500,13 +559,33 @@ def new_or_corrected_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Loaded are finished orders. An order's priority is missing where it is not specified.
     """
+    orders, loaded = _grouped_orders(spark, sf_dir)
+    return new_periods_only(
+        orders, loaded, period="day", loaded_period="day", updated="o_orderkey", reprocess_corrected=True,
+        key=["customer_group", "priority"])
+
+
+def _grouped_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("priority"),
         (F.col("o_custkey") % 100).alias("customer_group"), F.col("o_orderdate").cast("date").cast("string").alias("day"))
-    loaded = orders.filter((F.col("o_orderstatus") == "F") | (F.col("o_orderkey") % 3 > 0))
+    return orders, orders.filter((F.col("o_orderstatus") == "F") | (F.col("o_orderkey") % 3 > 0))
+
+
+def differing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days whose offered orders are not the loaded ones, found by digests."""
+    orders, loaded = _grouped_orders(spark, sf_dir)
+    columns = ["o_orderkey", "customer_group", "priority"]
+    return differing_periods(period_digests(orders, columns, "day"), period_digests(loaded, columns, "day"), "day")
+
+
+def new_or_corrected_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``new_or_corrected_keys``, with only those days compared key by key whose digests differ."""
+    orders, loaded = _grouped_orders(spark, sf_dir)
+    days = query_workspace(spark).keep(differing_days(spark, sf_dir).select("day"), "days")
     return new_periods_only(
-        orders, loaded, period="day", loaded_period="day", updated="o_orderkey", reprocess_corrected=True,
-        key=["customer_group", "priority"])
+        orders.join(days, "day", "left_semi"), loaded.join(days, "day", "left_semi"), period="day", loaded_period="day",
+        updated="o_orderkey", reprocess_corrected=True, key=["customer_group", "priority"])
 
 
 def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -617,6 +696,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unresolved_flags": unresolved_flags,
     "flag_splits": flag_splits,
     "flatten_hierarchy": flatten_tree,
+    "hierarchy_from_parents": hierarchy_from_parents,
+    "tree_paths": tree_paths,
     "latest_by_key": latest_by_key,
     "unique_lookup": unique_parts,
     "program_bridge": program_bridge,
@@ -637,6 +718,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rolling_anomalies": rolling_anomalies,
     "rolling_anomalies_prior": rolling_anomalies_prior,
     "rolling_anomalies_chunks": rolling_anomalies_chunks,
+    "rolling_anomalies_ranges": rolling_anomalies_ranges,
     "coverage_matrix": coverage_matrix,
     "contract_report": document_contract,
     "snapshot_drift": priority_drift,
@@ -644,6 +726,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_periods_only": new_days_only,
     "new_or_corrected_periods": new_or_corrected_days,
     "new_or_corrected_keys": new_or_corrected_keys,
+    "new_or_corrected_by_digest": new_or_corrected_by_digest,
+    "differing_periods": differing_days,
+    "attribute_validity": attribute_validity,
+    "drift_between_runs": drift_between_runs,
+    "as_of_join": as_of_join,
     "star_fact": star_fact,
     "service_fact": service_fact,
 }

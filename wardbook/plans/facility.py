@@ -12,11 +12,12 @@ from wardbook.functions.values import with_quality_flags, with_typed_values
 from wardbook.operators import completeness as scoring
 from wardbook.operators import crossview, facilities, trends
 from wardbook.operators.contract import TYPE_ALIASES, ColumnSpec
-from wardbook.operators.hierarchy import flatten_hierarchy
+from wardbook.operators.hierarchy import flatten_hierarchy, paths_from_parents
 from wardbook.operators.latest import latest_by
 from wardbook.operators.resolve import resolve
 from wardbook.operators.star import project_fact, restore_unknown
 from wardbook.operators.validity import with_validity
+from wardbook.sources.tables import Workspace
 from wardbook.sources.versions import Version, VersionedTable
 
 # Levels of the organisation tree, the key of an observation, the aggregation
@@ -71,6 +72,13 @@ def flag_valid(observations: DataFrame, strict: bool = False) -> DataFrame:
     return with_validity(observations, ["data_element_uid", "org_unit_uid"], "period", strict)
 
 
+def tree_from_parents(org_units: DataFrame, work: Workspace) -> DataFrame:
+    """``org_units`` with paths and levels that follow from the parent links, and ``is_cyclic``."""
+    found = paths_from_parents(
+        org_units, work, "org_unit_uid", "parent_org_unit_uid", path="__path", depth="__depth", cyclic="is_cyclic")
+    return found.withColumns({"org_unit_path": F.col("__path"), "org_unit_level": F.col("__depth")}).drop("__path", "__depth")
+
+
 def facility_hierarchy(org_units: DataFrame) -> DataFrame:
     """One row per facility with the names of its district, region and country."""
     return flatten_hierarchy(
@@ -92,9 +100,8 @@ def latest_observations(observations: DataFrame) -> DataFrame:
 
 
 def resolve_metadata(df: DataFrame, indicators: DataFrame, category_options: DataFrame) -> DataFrame:
-    return resolve(
-        resolve(df, indicators, ["data_element_uid"]), category_options, ["category_option_combo_uid"]
-    )
+    named = resolve(df, indicators, ["data_element_uid"], spread=OBSERVATION_KEY)
+    return resolve(named, category_options, ["category_option_combo_uid"], spread=OBSERVATION_KEY)
 
 
 def enrich(
@@ -112,7 +119,7 @@ def enrich(
     multiply rows.
     """
     latest = resolve(resolve_metadata(latest_observations(observations), indicators, category_options),
-                     hierarchy, ["org_unit_uid"])
+                     hierarchy, ["org_unit_uid"], spread=OBSERVATION_KEY)
     named = attach_completeness(latest, scores)
     typed = with_quality_flags(with_typed_values(with_period_columns(named)))
     programs = bridge.select(
@@ -121,7 +128,7 @@ def enrich(
         F.col("program_health_area").alias("health_area"),
         "program_uid", "program_name", "program_country", "program_health_area",
     )
-    return resolve(typed, programs, ["data_element_uid", "country_name", "health_area"])
+    return resolve(typed, programs, ["data_element_uid", "country_name", "health_area"], spread=OBSERVATION_KEY)
 
 
 def name_reports(observations: DataFrame, indicators: DataFrame, hierarchy: DataFrame) -> DataFrame:
@@ -130,12 +137,12 @@ def name_reports(observations: DataFrame, indicators: DataFrame, hierarchy: Data
     Duplicates may stay: they do not change which indicators a facility reported. So scores
     come straight from a few columns of the observations.
     """
+    reported = ["data_element_uid", "org_unit_uid", "period"]
     named = resolve(
-        observations.select("data_element_uid", "org_unit_uid", "period"),
-        indicators.select("data_element_uid", "data_element_name", "health_area"),
-        ["data_element_uid"],
+        observations.select(*reported), indicators.select("data_element_uid", "data_element_name", "health_area"),
+        ["data_element_uid"], spread=reported,
     )
-    return resolve(named, hierarchy.select("org_unit_uid", "country_name"), ["org_unit_uid"])
+    return resolve(named, hierarchy.select("org_unit_uid", "country_name"), ["org_unit_uid"], spread=reported)
 
 
 def completeness(named: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from wardbook.errors import EmptyFact
 from wardbook.functions.periods import period_dimension
 from wardbook.operators.contract import ColumnSpec, enforce_contract
 from wardbook.operators.drift import drift_totals, snapshot_drift
+from wardbook.operators.history import changes, drift_between, validity
 from wardbook.operators.incremental import differing_periods, new_periods_only, period_digests
 from wardbook.operators.latest import unique_lookup
 from wardbook.operators.resolve import flag_unresolved
@@ -48,6 +50,9 @@ class JobOptions:
     keep_null_country: bool = False
     facility_register: bool = False
     additive_volumes: bool = False
+    tree_from_parents: bool = False
+    run_time: str | None = None
+    drift_since: str | None = None
     contract: tuple[ColumnSpec, ...] = tuple(facility.FACT_CONTRACT)
 
 
@@ -117,7 +122,7 @@ def _run(
     count("processed_data_values", valid.count() if extends else landing["valid_rows"])
     enforce_rate(landing, options.max_quarantine_rate)
 
-    lookups = _lookups(work, exports)
+    lookups = _lookups(work, exports, dq, options)
     scores = work.keep(
         facility.completeness(
             facility.name_reports(valid, lookups.indicators, lookups.hierarchy), lookups.bridge
@@ -169,6 +174,7 @@ def _run(
         *_analytics(whole_fact, folds, lookups, options, f"{out_dir}/analytics"),
         *_cross_country(work, folds, lookups, options, f"{out_dir}/cross_country"),
         lambda: write_parquet(lookups.indicators, snapshot),
+        lambda: _record_history(work, lookups.indicators, f"{warehouse}/metadata_history", dq, options),
     )
     table.publish(following)
     table.sweep()
@@ -207,10 +213,14 @@ def compared_rows(
     return valid.filter(F.col("period").isin(list(months))), held
 
 
-def _lookups(work: Workspace, exports: dict[str, DataFrame]) -> Lookups:
+def _lookups(work: Workspace, exports: dict[str, DataFrame], dq: str, options: JobOptions) -> Lookups:
     """Lookups with one row per key, written so that Spark knows their size when it plans joins."""
     programs = ex.flatten_programs(exports["programs"]).filter(F.col("program_uid").isNotNull())
     org_units = ex.known(ex.flatten_org_units(exports["org_units"]), "org_unit_uid")
+    if options.tree_from_parents:
+        tree = work.keep(facility.tree_from_parents(org_units, work), "tree")
+        write_parquet(tree.filter("is_cyclic").select("org_unit_uid", "parent_org_unit_uid"), f"{dq}/org_unit_cycles")
+        org_units = tree.select(*org_units.columns)
     return Lookups(*side_by_side(
         work.spark,
         lambda: work.keep(
@@ -244,6 +254,24 @@ def _report_drift(
     write_json(drift_totals(drift), f"{dq}/metadata_drift_totals")
 
 
+def _record_history(work: Workspace, indicators: DataFrame, path: str, dq: str, options: JobOptions) -> None:
+    """Append what has changed in any attribute since the last run; report it, and all that has since a given time."""
+    spark = work.spark
+    at = F.lit(options.run_time).cast("timestamp") if options.run_time else F.lit(datetime.now(timezone.utc))
+    spark.createDataFrame([], HISTORY).write.mode("ignore").parquet(path)
+    log = spark.read.schema(HISTORY).parquet(path)
+    attributes = [c for c in indicators.columns if c != "data_element_uid"]
+    new = work.keep(changes(log, indicators, "data_element_uid", attributes, at), "metadata_changes")
+    write_parquet(new, f"{dq}/metadata_changes")
+    if options.drift_since:
+        drift = drift_between(validity(log.unionByName(new)), F.lit(options.drift_since).cast("timestamp"), at)
+        write_parquet(drift, f"{dq}/metadata_drift_since")
+    new.write.mode("append").parquet(path)
+
+
+HISTORY = "id string, attribute string, value string, is_present boolean, changed_at timestamp"
+
+
 def _unresolved_reports(work: Workspace, valid: DataFrame, lookups: Lookups, dq: str) -> None:
     """One pass over all rows finds those with any unknown key; the reports then split these few."""
     checks = {
@@ -252,7 +280,7 @@ def _unresolved_reports(work: Workspace, valid: DataFrame, lookups: Lookups, dq:
         "unresolved_org_units": (lookups.hierarchy, ["org_unit_uid"]),
     }
     suspects = work.keep(
-        flag_unresolved(valid, checks).filter(" or ".join(checks)), "unresolved"
+        flag_unresolved(valid, checks, spread=facility.OBSERVATION_KEY).filter(" or ".join(checks)), "unresolved"
     )
     for report in checks:
         rows = suspects.filter(report).drop(*checks)

@@ -27,6 +27,27 @@ USER_DAYS = """
         FROM e JOIN expected USING (month) WHERE value IS NOT NULL GROUP BY user_id, day)
 """
 
+#: Intervals in which a customer's last priority held, until a day whose greatest row is a pending order.
+VALIDITY = """
+    WITH log AS (
+        SELECT o_custkey AS id, CAST(o_orderdate AS DATE) AS changed, o_orderstatus <> 'P' AS present,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS value
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderstatus <> 'P' DESC, o_orderpriority DESC) AS n
+              FROM orders) WHERE n = 1),
+    turns AS (
+        SELECT * FROM (SELECT *, lag(present) OVER w AS was, lag(value) OVER w AS before FROM log WINDOW w AS (PARTITION BY id ORDER BY changed))
+        WHERE was IS NULL OR was <> present OR value IS DISTINCT FROM before),
+    intervals AS (
+        SELECT * FROM (SELECT id, value, present, changed AS valid_from, lead(changed) OVER (PARTITION BY id ORDER BY changed) AS valid_to FROM turns)
+        WHERE present)
+"""
+
+
+def _holds(at: str) -> str:
+    return f"valid_from <= {at} AND (valid_to IS NULL OR {at} < valid_to)"
+
+
 SEGMENT_MONTHS = f"""
     WITH m AS (
         SELECT c_nationkey, c_mktsegment, strftime(o_orderdate, '%Y%m') AS period,
@@ -180,6 +201,19 @@ ORACLES: dict[str, str] = {
                n_name AS nation_name
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     """,
+    "hierarchy_from_parents": """
+        SELECT 'C' || c_custkey AS id, c_name AS name, 3 AS level, r_name AS region_name, n_name AS nation_name
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    """,
+    "tree_paths": """
+        WITH RECURSIVE links AS (
+            SELECT c_custkey AS id, CASE WHEN c_custkey % 50 = 7 THEN c_custkey * 2 ELSE c_custkey // 2 END AS parent FROM customer),
+        reached AS (
+            SELECT id, '/' || id AS path, 1::BIGINT AS depth FROM links l WHERE parent IS NULL OR parent NOT IN (SELECT id FROM links)
+            UNION ALL
+            SELECT l.id, r.path || '/' || l.id, r.depth + 1 FROM reached r JOIN links l ON l.parent = r.id)
+        SELECT id, parent, path, depth, path IS NULL AS is_cyclic FROM links LEFT JOIN reached USING (id)
+    """,
     "latest_by_key": """
         SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate, l_partkey, l_suppkey
         FROM (SELECT *, row_number() OVER (
@@ -305,6 +339,7 @@ ORACLES: dict[str, str] = {
     "rolling_anomalies": _anomalies("11 PRECEDING AND CURRENT ROW"),
     "rolling_anomalies_prior": _anomalies("12 PRECEDING AND 1 PRECEDING"),
     "rolling_anomalies_chunks": _anomalies("11 PRECEDING AND CURRENT ROW"),
+    "rolling_anomalies_ranges": _anomalies("11 PRECEDING AND CURRENT ROW"),
     "flatten_data_values": """
         WITH r AS (SELECT * FROM lineitem WHERE l_orderkey % 7 > 0)
         SELECT CAST(l_partkey AS VARCHAR) AS data_element_uid, strftime(l_shipdate, '%Y%m') AS period,
@@ -428,6 +463,35 @@ ORACLES: dict[str, str] = {
               FROM o GROUP BY ALL)
         SELECT * FROM o WHERE day IN (SELECT day FROM k WHERE held IS NULL OR offered > held)
     """,
+    "new_or_corrected_by_digest": """
+        WITH o AS (SELECT o_orderkey, o_orderstatus, nullif(o_orderpriority, '4-NOT SPECIFIED') AS priority,
+                          o_custkey % 100 AS customer_group, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders),
+        k AS (SELECT day, customer_group, priority, max(o_orderkey) AS offered,
+                     max(CASE WHEN o_orderstatus = 'F' OR o_orderkey % 3 > 0 THEN o_orderkey END) AS held
+              FROM o GROUP BY ALL)
+        SELECT * FROM o WHERE day IN (SELECT day FROM k WHERE held IS NULL OR offered > held)
+    """,
+    "differing_periods": """
+        WITH o AS (SELECT o_orderkey, o_orderstatus = 'F' OR o_orderkey % 3 > 0 AS held, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+        SELECT day, bool_or(held) AS is_loaded FROM o GROUP BY day HAVING NOT bool_and(held)
+    """,
+    "attribute_validity": f"{VALIDITY} SELECT id, 'priority' AS attribute, value, strftime(valid_from, '%Y-%m-%d') AS valid_from,"
+        " strftime(valid_to, '%Y-%m-%d') AS valid_to FROM intervals",
+    "drift_between_runs": f"""
+        {VALIDITY}, held AS (
+            SELECT id, max(CASE WHEN {_holds("DATE '1996-01-01'")} THEN value END) AS old_value,
+                   max(CASE WHEN {_holds("DATE '1997-06-15'")} THEN value END) AS new_value
+            FROM intervals GROUP BY id)
+        SELECT id, 'priority' AS attribute, CASE WHEN old_value IS NULL THEN 'added' WHEN new_value IS NULL THEN 'removed' ELSE 'changed' END AS change,
+               old_value, new_value
+        FROM held WHERE old_value IS DISTINCT FROM new_value
+    """,
+    "as_of_join": f"""
+        {VALIDITY}
+        SELECT l_orderkey, l_linenumber, value AS priority
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        LEFT JOIN intervals i ON i.id = o_custkey AND {_holds("CAST(l_shipdate AS DATE)")}
+    """,
     "star_fact": f"""
         SELECT o_orderkey, c_custkey AS org_unit_uid, c_name AS facility_name, n_name AS country_name,
                r_name AS region_name,
