@@ -28,7 +28,7 @@ from wardbook.operators.resolve import flag_unresolved, resolve, unresolved
 from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
 from wardbook.operators.trailing import HotKeyRanges, HotKeySplit
 from wardbook.operators.validity import count_stages, split_valid, validity_summary, with_validity
-from wardbook.plans import export_queries, facility
+from wardbook.plans import export_queries, facility, fact_queries
 from wardbook.sources.tables import query_workspace
 
 # The driver tables' columns, so that no job has to look them up in file footers.
@@ -679,7 +679,7 @@ def _over_tables(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    **{name: _over_tables(query) for name, query in export_queries.QUERIES.items()},
+    **{name: _over_tables(query) for name, query in {**export_queries.QUERIES, **fact_queries.QUERIES}.items()},
     "volumes_by_quarter": volumes_by_quarter,
     "volumes_additive_only": volumes_additive_only,
     "explode_records": explode_embeddings,

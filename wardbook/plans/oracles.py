@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from wardbook.plans import fact_queries
+
 ORDERS_OF_CUSTOMERS = "orders JOIN customer ON o_custkey = c_custkey"
 
 UNPADDED = """
@@ -546,4 +548,5 @@ ORACLES: dict[str, str] = {
              LEFT JOIN expected e ON e.r_name = u.r_name AND e.area = substr(l.de, 1, 7)
              LEFT JOIN reported r ON r.ou = l.ou AND r.period = l.period AND r.area = substr(l.de, 1, 7)
     """,
+    **fact_queries.ORACLES,
 }
