@@ -27,7 +27,7 @@ import json
 import math
 import os
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -100,25 +100,33 @@ class Coder:
     """A byte-level BPE tokenizer and the bytes of its tokens."""
 
     def __init__(self, text: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(text)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        file = json.loads(text)
         # Byte-level alphabets write printable bytes as themselves and the others from 256 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        own = [bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in tokens]
+        ids = {**((file.get("model") or {}).get("vocab") or {}), **{t["content"]: t["id"] for t in file.get("added_tokens") or []}}
+        own = [b""] * (max(ids.values(), default=-1) + 1)
+        for token, i in ids.items():
+            own[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         self.bytes = pa.array(own, pa.binary())
         self.lengths = np.array([len(b) for b in own], dtype=np.int64)
-        self.names = pa.array([f"{i}," for i in range(size)], pa.string())
+        self.names = pa.array([f"{i}," for i in range(len(own))], pa.string())
         #: How ids travel.
-        self.kind = np.uint16 if size <= 1 << 16 else np.int32
-        self.fast, self.special = self._plain_form(json.loads(text), byte_of)
+        self.kind = np.uint16 if len(own) <= 1 << 16 else np.int32
+        self.fast, self.special = self._plain_form(file, byte_of)
+        self._text = text
+
+    @cached_property
+    def tokenizer(self):
+        """The library that defines the file format; loaded when a text needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(self._text)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
 
     @staticmethod
     def _plain_form(file: dict, byte_of: dict[str, int]) -> tuple[object | None, list[str]]:
@@ -142,7 +150,8 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         slow = [self.fast is None or any(name in t for name in self.special) for t in texts]
-        found = iter(self.tokenizer.encode_batch_fast([t for t, s in zip(texts, slow) if s], add_special_tokens=False))
+        left = [t for t, s in zip(texts, slow) if s]
+        found = iter(self.tokenizer.encode_batch_fast(left, add_special_tokens=False) if left else [])
         return [
             np.array(next(found).ids, dtype=self.kind) if s
             else self.fast.encode_to_numpy(t, disallowed_special=()).astype(self.kind)
