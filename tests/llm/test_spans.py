@@ -69,6 +69,11 @@ def test_base_spans_of_random_texts(seed):
     ("call +1 (５５５) 123-４567 today", "phone", "+1 (５５５) 123-４567"),
     ("host ten: one nine two dot one six eight dot zero dot one up", "ip", "one nine two dot one six eight dot zero dot one"),
     ("card four one one one one one one one one one one one one one one one ok", "card", "four one one one one one one one one one one one one one one one"),
+    ("call +1 five five five 123 4567 today", "phone", "+1 five five five 123 4567"),
+    ("call +49 (three zero) 12 vier 45 678 today", "phone", "+49 (three zero) 12 vier 45 678"),
+    ("host 192 dot 168 dot 0 dot 1 is up", "ip", "192 dot 168 dot 0 dot 1"),
+    ("write to jane at example.org now", "email", "jane at example.org"),
+    ("write to j.doe at mail.example.co.uk now", "email", "j.doe at mail.example.co.uk"),
     ("ip 10​.0.0.1 hidden", "ip", "10​.0.0.1"),
 ])
 def test_disguises(text, kind, hidden):
@@ -81,7 +86,8 @@ def test_disguises(text, kind, hidden):
 
 @pytest.mark.parametrize("text", [
     "We met at noon, at the dot on the map.", "one two three four five six seven eight nine ten eleven",
-    "Plus de vin, un deux trois.", "look at this and that dot", "Ça été naïve, São Paulo, Straße.", "",
+    "Plus de vin, un deux trois.", "More is available at example.org, look at www.example.com/a for 10 dot 5.", "Visit us at example.org",
+    "+1 for one or two of them", "version 1 dot 2 dot 3", "a score of 3 point 14 and 10 point 2", "look at this and that dot", "Ça été naïve, São Paulo, Straße.", "",
 ])
 def test_clean_texts_stay_clean(text):
     assert deobfuscation.find(text) == ([], [])

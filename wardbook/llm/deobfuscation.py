@@ -2,7 +2,8 @@
 
 Three transducers rewrite a text and keep, for each character they write, the source range it
 stands for: look-alike characters become ASCII and invisible ones go; spelled digits become
-digits; "(at)" and "dot" become signs. The detectors then run on the rewritten text as they do on
+digits, also single ones within a number that starts with a plus sign; "(at)", "dot" and, between a name and a host,
+"at" become signs. The detectors then run on the rewritten text as they do on
 the source, and what they find in rewritten places maps back to source characters. Spans found
 in the source itself always stay; a mapped one is added if it meets no such span of its kind.
 
@@ -59,8 +60,23 @@ WORDED = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>\s+at\s+|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?P<dots>(?:\s+dot\s+[A-Za-z0-9-]+)+)",
     re.I,
 )
-DOT_WORD = re.compile(r"\s+dot\s+", re.I)
-DISGUISED = re.compile(r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\sdot\s", re.I)
+DOT_WORD = re.compile(r"\s+(?:dot|point|punkt|punto)\s+", re.I)
+#: Four numerals with a worded dot between each.
+WORDED_IP = re.compile(r"(?<![\w.])[0-9]{1,3}(?:\s+(?:dot|point|punkt|punto)\s+[0-9]{1,3}){3}(?!\w)", re.I)
+#: "name at host.org", the host with its own dots.
+WORDED_AT = re.compile(
+    r"(?<![A-Za-z0-9._%+-])(?P<name>[A-Za-z0-9._%+-]+)(?P<at>\s+at\s+)(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,6}(?![A-Za-z0-9-]|\.[A-Za-z0-9])", re.I)
+#: A number that starts with a plus sign and has some of its digits spelled.
+MIXED = re.compile(rf"\+[0-9](?:[\x20().-]*(?:[0-9]|(?<![^\W\d_])(?:{_WORDS})(?![^\W\d_])))+", re.I)
+DIGIT_WORD = re.compile(rf"(?<![^\W\d_])(?:{_WORDS})(?![^\W\d_])", re.I)
+DISGUISED = re.compile(
+    r"[\[({<]\s*(?:at|@|dot|\.)\s*[\])}>]|\s(?:dot|point|punkt|punto)\s|\sat\s+(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2}", re.I)
+# Words that stand before "at" and a host in plain prose, so that they are no names.
+BEFORE_AT = frozenset(
+    "a access and are available be been by find for found here him host hosted i in info is it join live located look"
+    " looked looking me meet met more on online or out page post posted published read register see seen she sign site"
+    " start stay stored that the them there this up us visit was we website were work works you".split()
+)
 
 
 def luhn(digits: str) -> bool:
@@ -146,6 +162,24 @@ def _spelled_edits(text: str) -> Iterator[tuple[int, int, str]]:
             yield m.start(), m.end(), new
 
 
+def _mixed_edits(text: str) -> Iterator[tuple[int, int, str]]:
+    for run in MIXED.finditer(text):
+        for m in DIGIT_WORD.finditer(text, run.start(), run.end()):
+            yield *m.span(), DIGIT_WORDS[m[0].lower()]
+
+
+def _dot_edits(text: str) -> Iterator[tuple[int, int, str]]:
+    for run in WORDED_IP.finditer(text):
+        for m in DOT_WORD.finditer(text, run.start(), run.end()):
+            yield *m.span(), "."
+
+
+def _at_edits(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in WORDED_AT.finditer(text):
+        if m["name"].lower() not in BEFORE_AT:
+            yield *m.span("at"), "@"
+
+
 def _sign_edits(text: str) -> Iterator[tuple[int, int, str]]:
     for m in WORDED.finditer(text):
         if m["at"] != "@":
@@ -161,14 +195,14 @@ def _bracket_edits(text: str) -> list[tuple[int, int, str]]:
 def rewrite(text: str) -> Rewritten | None:
     """The text without disguises, or None if it has none."""
     odd = set() if text.isascii() else {c for c in set(text) if plain(c) is not None}
-    if not odd and not DISGUISED.search(text) and not SPELLED.search(text):
+    mixed = "+" in text and MIXED.search(text)
+    if not odd and not mixed and not DISGUISED.search(text) and not SPELLED.search(text):
         return None
     out = Rewritten(text)
     if odd:
         out.apply((m.start(), m.end(), plain(m[0])) for m in re.finditer("[" + re.escape("".join(odd)) + "]", text))
-    out.apply(_spelled_edits(out.text))
-    out.apply(_bracket_edits(out.text))
-    out.apply(_sign_edits(out.text))
+    for edits in (_spelled_edits, _mixed_edits, _bracket_edits, _dot_edits, _sign_edits, _at_edits):
+        out.apply(edits(out.text))
     return out
 
 
@@ -194,15 +228,18 @@ def _find_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([
             batch.column("id"), *counts, pa.array([digest(base) for base, _ in found], pa.string()),
             pa.array([joined(every) for _, every in found], pa.string()),
-        ], ["id", *[f"n_{kind}" for kind in KINDS], "base_sha256", "spans"])
+            *[pa.array([sum(s.kind == kind for s in every) for _, every in found], pa.int64()) for kind in KINDS],
+        ], ["id", *[f"n_{kind}" for kind in KINDS], "base_sha256", "spans", *[f"all_{kind}" for kind in KINDS]])
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row ``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans)``; no shuffle.
+    """Per row ``(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, all_email, ..., all_phone)``; no shuffle.
 
-    The counts and the digest are of base spans; ``spans`` has all as ``kind:start:end``.
+    The counts ``n_`` and the digest are of base spans; ``spans`` has all as ``kind:start:end``, and
+    the counts ``all_`` are of these.
     """
-    schema = "id long, " + ", ".join(f"n_{kind} long" for kind in KINDS) + ", base_sha256 string, spans string"
+    schema = ", ".join([
+        "id long", *[f"n_{kind} long" for kind in KINDS], "base_sha256 string", "spans string", *[f"all_{kind} long" for kind in KINDS]])
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_find_rows, schema)
 
 
