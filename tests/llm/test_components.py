@@ -1,12 +1,13 @@
 import random
 
 import numpy as np
+import pytest
 
 from wardbook.llm.common import workspace
 from wardbook.llm.components import components
 from wardbook.llm.hyperplane_dedup import Settings, near_vectors
 from wardbook.llm.ngram_tiles import Settings as TileSettings
-from wardbook.llm.ngram_tiles import bitmaps, keep_first, linked_roots, near_copies
+from wardbook.llm.ngram_tiles import bitmaps, keep_first, link_counts, linked_roots, near_copies, near_pairs
 from wardbook.llm.shingles import shingle_sets, word_hashes
 
 
@@ -99,6 +100,35 @@ def test_copies_in_few_and_in_many_tiles(spark):
     assert {r.doc_id for r in keep_first(docs).collect()} == set(want.values())
 
 
+@pytest.mark.parametrize("block_weight", [2_000_000, 4_000])
+def test_every_link_and_its_count(spark, block_weight):
+    draw = random.Random(12)
+    base = [[f"w{draw.randrange(900)}" for _ in range(60)] for _ in range(4)]
+    texts = []
+    for i in range(90):
+        words = list(draw.choice(base))
+        for _ in range(draw.choice([0, 0, 1, 2, 3])):
+            words[draw.randrange(60)] = f"x{draw.randrange(50)}"
+        texts.append((i, " ".join(words[: draw.choice([60, 60, 55])])))
+    texts += [(100, None), (101, ""), (102, "alone")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    shingles = {i: {tuple((t or "").split()[k : k + 5]) for k in range(max(0, len((t or "").split()) - 4))} for i, t in texts}
+    shingles[102] = {("alone",)}
+
+    def linked(a, b):
+        return a and b and 100 * len(a & b) >= 80 * len(a | b)
+
+    settings = TileSettings(block_weight=block_weight)
+    pairs, classes = near_pairs(docs, settings=settings)
+    node = dict(map(tuple, classes.collect()))
+    assert node == {i: min(j for j in shingles if shingles[j] == s) for i, s in shingles.items() if s}
+    firsts = sorted(set(node.values()))
+    want = {(a, b) for a in firsts for b in firsts if a < b and linked(shingles[a], shingles[b])}
+    assert sorted(map(tuple, pairs.collect())) == sorted(want) and len(want) > 20
+    counts = dict(map(tuple, link_counts(docs, settings=settings).collect()))
+    assert counts == {i: sum(bool(linked(shingles[i], shingles[j])) for j in shingles if j != i) for i in node}
+
+
 def test_odd_texts(spark, odd):
     rows = odd.filter("doc_id NOT IN (4, 5, 10) OR doc_id IS NULL")  # words here are split at spaces only
     want = check_copies(rows, TileSettings())
