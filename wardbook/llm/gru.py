@@ -15,6 +15,8 @@ import numpy as np
 FLOAT = np.float32
 #: Words whose probabilities are looked up together, so that a class of rare words has some of them.
 SCORED_AT_ONCE = 32_768
+#: Logits whose powers can be summed as they are.
+LARGEST = 80.0
 
 
 @dataclass(frozen=True)
@@ -135,15 +137,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    """In place. Rows are shifted only where some logit is too large for a plain sum."""
-    with np.errstate(over="ignore"):
-        total = np.exp(x).sum(axis=1, keepdims=True)
-    if not (np.isfinite(total).all() and total.all()):
-        x -= x.max(axis=1, keepdims=True)
-        total = np.exp(x).sum(axis=1, keepdims=True)
-    x -= np.log(total)
-    return x
+def _choices(logits: np.ndarray, at: np.ndarray, scale: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probability of choice ``at`` in each row. ``logits`` become ``scale`` times their gradient, if it is given.
+
+    One pass of exponentials serves both. Rows are shifted only where some logit is too large for a plain sum.
+    """
+    rows, top = np.arange(len(at)), logits.max(axis=1)
+    if len(top) and (top.max() > LARGEST or top.min() < -LARGEST):
+        logits -= top[:, None]
+    chosen = logits[rows, at]
+    powers = np.exp(logits, out=logits)
+    total = powers.sum(axis=1)
+    if scale is not None:
+        powers *= (scale / total)[:, None].astype(FLOAT)
+        powers[rows, at] -= scale
+    return chosen - np.log(total), powers
 
 
 class Model:
@@ -173,36 +181,42 @@ class Model:
         return states, h
 
     def log_prob(self, states: np.ndarray, y: np.ndarray, grads: dict | None = None, scale: float = 1.0) -> tuple[np.ndarray, np.ndarray | None]:
-        """Natural log-probability of each ``y`` (tail: of its class), and the states' gradient."""
-        p, c = self.p, self.class_of[y]
-        rows = np.arange(len(y))
-        logs = _log_softmax(states @ p["to_class"] + p["class_bias"])
-        out, back = logs[rows, c], None
+        """Natural log-probability of each ``y`` (tail: of its class), and the states' gradient.
+
+        Targets are put in order of their classes, so that each class has its states side by side.
+        """
+        p = self.p
+        order = np.argsort(y, kind="stable")
+        h, words = states[order], y[order]
+        c, wanted = self.class_of[words], scale if grads is not None else None
+        found, d = _choices(h @ p["to_class"] + p["class_bias"], c, wanted)
+        back = None
         if grads is not None:
-            d = np.exp(logs, out=logs)
-            d[rows, c] -= 1
-            d *= scale
-            grads["to_class"] += states.T @ d
+            grads["to_class"] += h.T @ d
             grads["class_bias"] += d.sum(axis=0)
             back = d @ p["to_class"].T
-        order = np.argsort(c, kind="stable")
-        cuts = np.searchsorted(c[order], np.arange(self.shape.n_classes))
-        for k, (a, b) in enumerate(zip(self.shape.class_starts, self.shape.class_starts[1:])):
-            mine = order[cuts[k] : cuts[k + 1]]
-            if not len(mine) or b - a == 1:
+        cuts = np.searchsorted(words, self.shape.class_starts).tolist()
+        starts = self.shape.class_starts
+        for low, high, a, b in zip(cuts, cuts[1:], starts, starts[1:]):
+            if low == high or b - a == 1:
                 continue
-            h, at = states[mine], y[mine] - a
-            logs = _log_softmax(h @ p["to_word"][a:b].T + p["word_bias"][a:b])
-            out[mine] += logs[np.arange(len(mine)), at]
+            mine, weights = h[low:high], p["to_word"][a:b]
+            logits = mine @ weights.T
+            logits += p["word_bias"][a:b]
+            chosen, d = _choices(logits, words[low:high] - a, wanted)
+            found[low:high] += chosen
             if grads is not None:
-                d = np.exp(logs, out=logs)
-                d[np.arange(len(mine)), at] -= 1
-                d *= scale
                 # A class comes once per call: what an earlier call left of it is overwritten.
-                grads["to_word"][a:b] = d.T @ h
-                grads["word_bias"][a:b] = d.sum(axis=0)
-                back[mine] += d @ p["to_word"][a:b]
-        return out, back
+                np.matmul(d.T, mine, out=grads["to_word"][a:b])
+                d.sum(axis=0, out=grads["word_bias"][a:b])
+                back[low:high] += d @ weights
+        out = np.empty_like(found)
+        out[order] = found
+        if back is None:
+            return out, None
+        unsorted = np.empty_like(back)
+        unsorted[order] = back
+        return out, unsorted
 
     def back(self, x: np.ndarray, fresh: np.ndarray, trace: list, above: np.ndarray, grads: dict) -> None:
         """Truncated backpropagation through one window."""
