@@ -26,11 +26,11 @@ ODD_TEXTS = [
 def odd(spark):
     """Rows with the columns of ``documents`` and names that the operators use themselves."""
     rows = [
-        (i, text, None if i == 3 else "en", None if i in (None, 8) else f"s{i % 3}", 1, "x", "y", 0.5, True, "z")
+        (i, text, None if i == 3 else "en", None if i in (None, 8) else f"s{i % 3}", 1, "x", "y", 0.5, True, "z", 1, 2, "w", "d")
         for i, text in ODD_TEXTS
     ]
     schema = (
         "doc_id long, text string, lang string, source string, n_chars long, id string, row string, rate double,"
-        " kept boolean, __doc string"
+        " kept boolean, __doc string, __shard int, __later int, w0 string, `a.b` string"
     )
     return spark.createDataFrame(rows, schema)

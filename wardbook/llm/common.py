@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wardbook.sources.tables import Workspace
+from wardbook.sources.tables import query_workspace as workspace  # noqa: F401
 
 # White space that separates words, the pattern of a word, A-Z and its lower case.
 SPACES = " \t\n\x0b\x0c\r"
@@ -38,15 +37,6 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.lit("text"), text)
 
 
-def workspace(spark: SparkSession) -> Workspace:
-    """A new folder of work tables under ``spark.checkpoint.dir``.
-
-    Only a session without that setting, as on one machine, gets a temporary folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return Workspace(spark, configured or tempfile.mkdtemp(prefix="wardbook-"))
-
-
 def unused_name(columns: Iterable[str], wanted: str) -> str:
     """``wanted``, lengthened until no column has this name in any case."""
     taken = {c.lower() for c in columns}

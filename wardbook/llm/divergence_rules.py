@@ -55,7 +55,8 @@ def _windows(found: Column, width: int) -> Column:
 
 
 def with_counts(docs: DataFrame, text: str, lang: str, width: int = 5) -> DataFrame:
-    """``docs`` with a struct ``m`` of counts and histograms. Other columns stay.
+    """``docs`` with a struct ``m`` of counts and histograms. Other columns stay, but for those named like a step
+    below (``w0`` to ``at``): ``assess`` passes rows that have none of these names.
 
     Each step is a column of its own, used more than once by the next, so that Spark computes
     it once per row. The sort that finds repeated windows runs for texts that have some.

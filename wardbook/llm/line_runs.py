@@ -143,7 +143,7 @@ def without_lines(docs: DataFrame, drops: DataFrame, id_col: str, text_col: str)
         F.col(drop).isNull(), F.col(text_col)
     ).otherwise(F.array_join(F.transform(F.col(keep), lambda i: F.get(F.col(cut), i)), "\n"))
     return kept.select(
-        *[shorter.alias(c) if c == text_col else F.col(c) for c in others],
+        *[shorter.alias(c) if c == text_col else F.col(f"`{c}`") for c in others],
         F.size(cut).cast("long").alias("n_lines"),
         F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -80,13 +80,13 @@ def assign_shards(
     The table has ``table_size`` rows, at most ``MAX_TABLE_SIZE``: that bounds the broadcast.
     Columns of the two names are replaced.
     """
-    slot = unused_name(df.columns, "__slot")
-    table = lookup_table(df.sparkSession, shards, table_size).toDF(slot, "__shard")
+    slot, shard = unused_name(df.columns, "__slot"), unused_name(df.columns, "__shard")
+    table = lookup_table(df.sparkSession, shards, table_size).toDF(slot, shard)
     kept = df.drop("slot", shard_col)
     return (
-        kept.withColumn(slot, key_hash(df[key]) % table_size)
+        kept.withColumn(slot, key_hash(F.col(f"`{key}`")) % table_size)
         .join(F.broadcast(table), slot)
-        .select(*[F.col(f"`{c}`") for c in kept.columns], F.col(slot).alias("slot"), F.col("__shard").alias(shard_col))
+        .select(*[F.col(f"`{c}`") for c in kept.columns], F.col(slot).alias("slot"), F.col(shard).alias(shard_col))
     )
 
 

@@ -204,4 +204,4 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     mixed = docs.withColumn(size, word_count(F.col(text_col))).join(
         taken, F.col(id_col).eqNullSafe(F.col(i)) & F.col(source_col).eqNullSafe(F.col(s)) & (F.col(size) == F.col(z))
     )
-    return mixed.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
+    return mixed.withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[F.col(f"`{c}`") for c in docs.columns])
