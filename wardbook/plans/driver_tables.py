@@ -29,7 +29,7 @@ from wardbook.operators.star import ambiguous_keys, fill_unknown, project_fact
 from wardbook.operators.trailing import HotKeyRanges, HotKeySplit
 from wardbook.operators.validity import count_stages, split_valid, validity_summary, with_validity
 from wardbook.plans import export_queries, facility, fact_queries
-from wardbook.sources.tables import query_workspace
+from wardbook.sources.tables import query_workspace, side_by_side
 
 # The driver tables' columns, so that no job has to look them up in file footers.
 TABLE_SCHEMAS = {
@@ -208,12 +208,10 @@ def flag_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late order lines, missing attributes and zeros of documents: each the rows where a flag holds."""
     late = late_flags(spark, sf_dir).filter("is_late_reported").select(
         F.lit("late").alias("split"), F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("string").alias("part"))
-    documents = typed_values(spark, sf_dir)
-    missing, zeros = (
-        documents.filter(flag).select(F.lit(split).alias("split"), F.col("doc_id").alias("id"), F.col("data_element_name").alias("part"))
-        for flag, split in (("is_missing_value", "missing"), ("is_explicit_zero", "zero"))
-    )
-    return late.unionByName(missing).unionByName(zeros)
+    flags = F.array(F.when(F.col("is_missing_value"), "missing"), F.when(F.col("is_explicit_zero"), "zero"))
+    documents = typed_values(spark, sf_dir).select(
+        F.explode(F.array_compact(flags)).alias("split"), F.col("doc_id").alias("id"), F.col("data_element_name").alias("part"))
+    return late.unionByName(documents)
 
 
 def flatten_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -622,8 +620,7 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     area = F.substring("p_brand", 1, 7)
     work = query_workspace(spark)
-    # Used by the scores and by the fact: built once, as the job does.
-    observations = work.keep((
+    observations = (
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
         .join(part, lines["l_partkey"] == part["p_partkey"])
         .select(
@@ -638,7 +635,7 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_shipdate").alias("last_updated_at"),
             F.col("o_orderstatus").alias("followup"),
         )
-    ), "observations")
+    )
     indicators = part.select(
         F.col("p_brand").alias("data_element_uid"), F.lower("p_brand").alias("data_element_name"),
         F.lit("INTEGER").alias("value_type"), area.alias("health_area"),
@@ -656,7 +653,7 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _table(spark, sf_dir, "region")
     # Pairs first: they are as many as parts and suppliers meet, not as many as lines.
     pairs = lines.join(part, lines["l_partkey"] == part["p_partkey"]).select("p_brand", "l_suppkey").distinct()
-    bridge = work.keep((
+    bridge = (
         pairs.join(supplier, pairs["l_suppkey"] == supplier["s_suppkey"])
         .join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
         .join(region, nation["n_regionkey"] == region["r_regionkey"])
@@ -665,8 +662,11 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             area.alias("program_health_area"), F.col("r_name").alias("program_country"),
             F.col("p_brand").alias("data_element_uid"),
         ).distinct()
-    ), "bridge")
-    indicators, hierarchy = work.keep(indicators, "indicators"), work.keep(hierarchy, "hierarchy")
+    )
+    # Used by the scores and by the fact: built once and side by side, as the job does.
+    built = {"observations": observations, "bridge": bridge, "indicators": indicators, "hierarchy": hierarchy}
+    observations, bridge, indicators, hierarchy = side_by_side(
+        spark, *[lambda name=name, df=df: work.keep(df, name) for name, df in built.items()])
     scores = facility.completeness(facility.name_reports(observations, indicators, hierarchy), bridge)
     enriched = facility.enrich(observations, indicators, flags, hierarchy, bridge, scores)
     return facility.fact_service_delivery(enriched).withColumns({
