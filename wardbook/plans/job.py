@@ -14,7 +14,7 @@ from wardbook.errors import EmptyFact
 from wardbook.functions.periods import period_dimension
 from wardbook.operators.contract import ColumnSpec, enforce_contract
 from wardbook.operators.drift import drift_totals, snapshot_drift
-from wardbook.operators.history import changes, drift_between, validity
+from wardbook.operators.history import changes, drift_between, register_at, validity
 from wardbook.operators.incremental import differing_periods, new_periods_only, period_digests
 from wardbook.operators.latest import unique_lookup
 from wardbook.operators.resolve import flag_unresolved
@@ -23,7 +23,7 @@ from wardbook.operators.validity import MAX_QUARANTINE_RATE, enforce_rate, split
 from wardbook.plans import facility
 from wardbook.sources import exports as ex
 from wardbook.sources.tables import (
-    Workspace, exists, side_by_side, write_csv, write_json, write_parquet, write_partitioned,
+    Workspace, side_by_side, write_csv, write_json, write_parquet, write_partitioned,
 )
 from wardbook.sources.versions import Version, VersionedTable, new_load
 
@@ -137,10 +137,9 @@ def _run(
         "clean",
     )
     count("enriched_data_values", cleaned.get["rows"])
-    snapshot = f"{warehouse}/metadata_snapshot"
     side_by_side(
         spark,
-        lambda: _report_drift(spark, lookups.indicators, snapshot, dq, options),
+        lambda: _report_drift(spark, lookups.indicators, f"{warehouse}/metadata_history", dq, options),
         lambda: _unresolved_reports(work, valid, lookups, dq),
         lambda: write_parquet(
             ambiguous_keys(lookups.bridge, ["data_element_uid", "program_country", "program_health_area"]),
@@ -173,7 +172,7 @@ def _run(
         *_dimensions(folds["presence"], lookups, warehouse),
         *_analytics(whole_fact, folds, lookups, options, f"{out_dir}/analytics"),
         *_cross_country(work, folds, lookups, options, f"{out_dir}/cross_country"),
-        lambda: write_parquet(lookups.indicators, snapshot),
+        lambda: write_parquet(lookups.indicators, f"{warehouse}/metadata_snapshot"),
         lambda: _record_history(work, lookups.indicators, f"{warehouse}/metadata_history", dq, options),
     )
     table.publish(following)
@@ -237,29 +236,39 @@ def _lookups(work: Workspace, exports: dict[str, DataFrame], dq: str, options: J
 
 
 def _report_drift(
-    spark: SparkSession, indicators: DataFrame, snapshot: str, dq: str, options: JobOptions
+    spark: SparkSession, indicators: DataFrame, history: str, dq: str, options: JobOptions
 ) -> None:
-    """Compare with the given reference export, else with the last run's snapshot, if there is one."""
+    """Compare with the given reference export, else with the register of the last run, if there was one.
+
+    That is taken from the history, which runs only append to, and not from the snapshot, which they replace.
+    """
     if options.reference_metadata:
         documents = ex.read_documents(
             spark, options.reference_metadata, ex.METADATA_DOCUMENT, options.multi_line
         )
         reference = ex.known(ex.flatten_indicators(documents), "data_element_uid")
-    elif exists(spark, snapshot):
-        reference = spark.read.schema(indicators.schema).parquet(snapshot)
     else:
-        return
+        log = _history(spark, history)
+        if log.isEmpty():
+            return
+        reference = register_at(validity(log), F.current_timestamp() + F.expr("INTERVAL 1 DAY"), ["data_element_name"])
+        reference = reference.withColumnRenamed("id", "data_element_uid")
     drift = snapshot_drift(indicators, reference, "data_element_uid", "data_element_name")
     write_json(drift.orderBy("change", "id"), f"{dq}/metadata_drift")
     write_json(drift_totals(drift), f"{dq}/metadata_drift_totals")
 
 
+def _history(spark: SparkSession, path: str) -> DataFrame:
+    """The log of changes; an empty one where none has been written."""
+    spark.createDataFrame([], HISTORY).write.mode("ignore").parquet(path)
+    return spark.read.schema(HISTORY).parquet(path)
+
+
 def _record_history(work: Workspace, indicators: DataFrame, path: str, dq: str, options: JobOptions) -> None:
     """Append what has changed in any attribute since the last run; report it, and all that has since a given time."""
     spark = work.spark
     at = F.lit(options.run_time).cast("timestamp") if options.run_time else F.lit(datetime.now(timezone.utc))
-    spark.createDataFrame([], HISTORY).write.mode("ignore").parquet(path)
-    log = spark.read.schema(HISTORY).parquet(path)
+    log = _history(spark, path)
     attributes = [c for c in indicators.columns if c != "data_element_uid"]
     new = work.keep(changes(log, indicators, "data_element_uid", attributes, at), "metadata_changes")
     write_parquet(new, f"{dq}/metadata_changes")
