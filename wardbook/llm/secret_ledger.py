@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardbook.llm.spans import Span, ordered
+from wardbook.operators.resolve import HeavyKeys, resolve
 
 # The base kinds and patterns, with their least lengths.
 BASE_KINDS = ("assign", "access", "hex")
@@ -37,6 +38,9 @@ EXTRA = {
 }
 KINDS = (*BASE_KINDS, *EXTRA)
 
+#: Blobs that have more than one of so many parts of all rows count as heavy; there are fewer than so many.
+PATH_PARTS = 500
+
 #: Changes with the rules, so that blobs scanned under older ones are scanned again.
 RULE_VERSION = 1
 
@@ -109,8 +113,11 @@ class BlobLedger:
         scanned.select("blob", F.lit(rule_version).alias("rule_version"), "findings").write.mode("append").parquet(self.path)
 
     def findings(self, versions: DataFrame, path_col: str, text_col: str, rule_version: int = RULE_VERSION) -> DataFrame:
-        """``(path, findings)`` per row of ``versions``; null findings for blobs never scanned."""
+        """``(path, findings)`` per row of ``versions``; null findings for blobs never scanned.
+
+        Paths of a blob that holds over a part in ``PATH_PARTS`` of all rows are dealt to several tasks.
+        """
         once = self.known(rule_version).groupBy("blob").agg(F.min("findings").alias("findings"))
-        return versions.select(F.col(path_col).alias("path"), blob_of(F.col(text_col)).alias("blob")).join(
-            once, "blob", "left"
-        ).select("path", "findings")
+        rows = versions.select(F.col(path_col).alias("path"), blob_of(F.col(text_col)).alias("blob"))
+        heavy = HeavyKeys(max(1, versions.count() // PATH_PARTS), PATH_PARTS)
+        return resolve(rows, once, ["blob"], spread=["path"], heavy=heavy).select("path", "findings")
