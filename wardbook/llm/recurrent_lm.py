@@ -11,7 +11,8 @@
 
 The model predicts a class of words and then the word within it. The shortlist has all words that
 occur often enough, and grows with the corpus. Words beyond it are one class, the tail; within it a word has its add-one share of the tail's counts, and the share
-left over is that of unknown words. Counts of frequent words travel with the code, at most
+left over is that of unknown words, given in full to each of them: scores are not normalised over
+unseen words. Counts of frequent words travel with the code, at most
 ``max_hot``; those of rare ones are joined, so that neither side needs the whole vocabulary.
 
 Defined results: a null text is an empty one and consists of its end. An id of null is trained
@@ -48,12 +49,12 @@ class Settings:
     #: Least count of a word on the shortlist, or the square root of the tokens times ``count_share`` if larger.
     min_count: int = 8
     count_share: float = 0.01
-    hidden: int = 12
+    hidden: int = 16
     #: Tokens, about, that a learner has in a round.
     learner_tokens: int = 4_000_000
-    rate: float = 0.06
+    rate: float = 0.12
     #: Texts read side by side.
-    lanes: int = 128
+    lanes: int = 512
     steps: int = 16
     seed: int = 2
     #: Most words whose counts are sent to all tasks.
