@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,8 +135,9 @@ def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
     often = least_count(sums["total"] or 0, settings)
     if settings.shortlist is None:
         least = often if least is None else min(least, often)
-    hot = [] if least is None else counts.filter(F.col("n") >= least).collect()
-    ranked = sorted(((r["n"], bytes(r["word"])) for r in hot if r["word"] != END), key=lambda r: (-r[0], r[1]))
+    hot = None if least is None else counts.filter(F.col("n") >= least).select("n", "word").toArrow()
+    pairs = zip(hot["n"].to_pylist(), hot["word"].to_pylist()) if hot is not None else ()
+    ranked = sorted(((n, word) for n, word in pairs if word != END), key=lambda r: (-r[0], r[1]))
     end = counts.filter(F.col("word") == F.lit(END)).agg(F.sum("n").alias("n")).first()["n"] or 0
     # The end is on the shortlist however rare it is.
     own = sum(n >= often for n, _ in ranked) if settings.shortlist is None else settings.shortlist - 1
@@ -230,13 +231,15 @@ def _mean(rows: pa.Table) -> pa.Table:
                     schema=pa.schema([("part", pa.int32()), ("weights", pa.binary())]))
 
 
-def train(docs: DataFrame, vocab: Vocabulary, settings: Settings, work: Workspace) -> np.ndarray:
-    """Parameters after all rounds, from training rows ``(id, text)``."""
+def train(docs: DataFrame, vocab: Vocabulary, shared: Broadcast, settings: Settings, work: Workspace) -> np.ndarray:
+    """Parameters after all rounds, from training rows ``(id, text)``; ``shared`` is the vocabulary at all tasks.
+
+    What a round starts from is sent anew and given up after it.
+    """
     context = docs.sparkSession.sparkContext
     shape = shape_of(vocab, settings)
     weights = gru.initial(shape, vocab.counts[: vocab.shortlist], vocab.tail()[0], settings.seed)
     flat = np.concatenate([weights, np.full_like(weights, 0.1)])
-    shared = context.broadcast(vocab)
     rounds, learners = schedule(vocab.total, settings)
     dealt = F.pmod("key", F.lit(rounds * learners))
     # By id and text: copies of a text go to several learners.
@@ -248,15 +251,17 @@ def train(docs: DataFrame, vocab: Vocabulary, settings: Settings, work: Workspac
         rows.mapInArrow(_encode_rows(shared), "round int, learner int, key long, ids binary"), "dealt", by=("round",)
     )
     for turn in range(rounds):
+        sent = context.broadcast(flat)
         # One task per learner, with its rows in an order that is theirs alone.
         means = (
             dealt_rows.filter(F.col("round") == turn).repartitionById(learners, F.col("learner"))
             .sortWithinPartitions("key", "ids").select("ids")
-            .mapInArrow(_train_rows(shared, context.broadcast(flat), settings), WEIGHTS)
+            .mapInArrow(_train_rows(shared, sent, settings), WEIGHTS)
             .groupBy("part").applyInArrow(_mean, "part int, weights binary").collect()
         )
         if means:
             flat = np.concatenate([np.frombuffer(r["weights"], dtype=gru.FLOAT) for r in sorted(means, key=lambda r: r["part"])])
+        sent.destroy()
     return flat[: len(weights)]
 
 
@@ -324,10 +329,11 @@ def document_scores(
         .groupBy("word").agg(F.sum("n").alias("n")), "counts",
     )
     vocab = vocabulary(counts, settings)
-    flat = train(training, vocab, settings, work)
-    scored = work.keep(
-        rows.mapInArrow(_score_rows(context.broadcast(vocab), context.broadcast(flat), settings), SCORED), "scored"
-    )
+    shared = context.broadcast(vocab)
+    sent = context.broadcast(train(training, vocab, shared, settings, work))
+    scored = work.keep(rows.mapInArrow(_score_rows(shared, sent, settings), SCORED), "scored")
+    sent.destroy()
+    shared.destroy()
     cold = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "row", F.col("w.words").alias("word"), F.col("w.times").alias("times")
     )
