@@ -49,7 +49,7 @@ class Settings:
     #: Least count of a word on the shortlist, or the square root of the tokens times ``count_share`` if larger.
     min_count: int = 8
     count_share: float = 0.01
-    hidden: int = 16
+    hidden: int = 12
     #: Tokens, about, that a learner has in a round.
     learner_tokens: int = 4_000_000
     rate: float = 0.12
@@ -257,10 +257,11 @@ def train(docs: DataFrame, vocab: Vocabulary, shared: Broadcast, settings: Setti
             dealt_rows.filter(F.col("round") == turn).repartitionById(learners, F.col("learner"))
             .sortWithinPartitions("key", "ids").select("ids")
             .mapInArrow(_train_rows(shared, sent, settings), WEIGHTS)
-            .groupBy("part").applyInArrow(_mean, "part int, weights binary").collect()
+            .groupBy("part").applyInArrow(_mean, "part int, weights binary").toArrow().sort_by("part")
         )
-        if means:
-            flat = np.concatenate([np.frombuffer(r["weights"], dtype=gru.FLOAT) for r in sorted(means, key=lambda r: r["part"])])
+        if len(means):
+            flat = np.concatenate([np.frombuffer(w.as_buffer(), dtype=gru.FLOAT) for w in means["weights"]])
+        del means
         sent.destroy()
     return flat[: len(weights)]
 
