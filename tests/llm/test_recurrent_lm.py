@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from wardbook.llm import gru
+from wardbook.llm.common import workspace
 from wardbook.llm.recurrent_lm import Settings, document_scores, schedule, shape_of, tokens, vocabulary
 
 SMALL = Settings(shortlist=40, classes=5, hidden=6, max_hot=60, buffer_tokens=2_000, count_words=50)
@@ -140,7 +141,8 @@ def test_shortlist_and_classes_follow_the_vocabulary(spark):
 
 
 def test_other_partitions_give_the_same_scores(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60).localCheckpoint()
+    some = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60)
+    docs = workspace(spark).keep(some, "documents")
     several = Settings(learner_tokens=5_000, lanes=8)
 
     def scored(table):
