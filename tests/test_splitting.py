@@ -95,6 +95,25 @@ def test_one_plain_document_is_read_by_many_tasks_without_a_shuffle(spark, small
     assert splitting._is_plain(splitting._pieces(spark, str(path)), "dataValues", ["dataElement"])
 
 
+def test_pieces_are_read_and_moved_once(spark, small_splits, tmp_path):
+    path = tmp_path / "data_values.json"
+    path.write_text(json.dumps(envelope([record(i, value=BRACES[i % len(BRACES)]) for i in range(500)])))
+    documents = ex.read_split_data_values(spark, str(path))
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" text") == 0 and plan.count("piece#") > 0
+    assert plan.count("Relation [file") == 4  # the pieces, and the counts of the records by block and document
+    assert plan.count("Window [") <= 8
+
+
+def test_records_longer_than_a_block(spark, small_splits, tmp_path):
+    long = '},{"dataElement":{"]}{' * 150
+    records = [record(i, value=long[: i % 4 * 1100]) for i in range(30)]
+    path = tmp_path / "data_values.json"
+    path.write_text(json.dumps(envelope(records, notes=[{"value": long}], after={"a": [{"b": long}]}), indent=1))
+    whole = ex.read_documents(spark, str(path), ex.DATA_VALUES_DOCUMENT, multi_line=True)
+    assert found(ex.read_split_data_values(spark, str(path))) == found(whole)
+
+
 def test_a_document_that_breaks_off_gives_its_whole_records(spark, tmp_path):
     path = tmp_path / "data_values.json"
     path.write_text(json.dumps(envelope([record(i) for i in range(10)]))[:-40])

@@ -63,9 +63,9 @@ def _split_export(spark: SparkSession, read, user: Column) -> DataFrame:
     documents = records.groupBy("document").agg(F.concat(
         F.lit('{\n  "version": "2",\n  "dataValues": [\n    '), F.array_join(F.collect_list("record"), ",\n    "), F.lit("\n  ]\n}"),
     ).alias("text"))
-    folder = query_workspace(spark).folder
-    documents.write.partitionBy("document").text(f"{folder}/{ex.FILES['data_values']}")
-    found = ex.flatten_data_values(ex.load_export(spark, folder, "data_values", split_data_values=True))
+    work = query_workspace(spark)
+    documents.write.partitionBy("document").text(f"{work.folder}/{ex.FILES['data_values']}")
+    found = ex.flatten_data_values(ex.load_export(spark, work.folder, "data_values", split_data_values=True, work=work))
     return _as_text(found, "created_at", "last_updated_at")
 
 

@@ -98,7 +98,7 @@ def _run(
 
     exports = ex.load_exports(
         spark, data_dir, multi_line=options.multi_line, data_values_as_lines=options.data_values_as_lines,
-        keep_corrupt=options.keep_corrupt, split_data_values=options.split_data_values,
+        keep_corrupt=options.keep_corrupt, split_data_values=options.split_data_values, work=work,
     )
     landed = work.keep(
         facility.flag_valid(ex.flatten_data_values(exports["data_values"]), options.strict_periods),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardbook.operators.latest import unique_lookup
 from wardbook.operators.records import explode_records
 from wardbook.sources.splitting import read_split_documents
+from wardbook.sources.tables import Workspace
 
 # Export file names and the fields of their documents and records.
 FILES = {
@@ -84,10 +85,10 @@ def read_data_value_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.array(F.struct("*")).alias("dataValues"))
 
 
-def read_split_data_values(spark: SparkSession, path: str) -> DataFrame:
+def read_split_data_values(spark: SparkSession, path: str, work: Workspace | None = None) -> DataFrame:
     """Data-value documents of any size and layout, each read by many tasks."""
     names = [field.split()[0] for field in DATA_VALUE_FIELDS.split(",")]
-    return read_split_documents(spark, path, "dataValues", names, DATA_VALUE_FIELDS)
+    return read_split_documents(spark, path, "dataValues", names, DATA_VALUE_FIELDS, work)
 
 
 def load_export(
@@ -98,11 +99,12 @@ def load_export(
     data_values_as_lines: bool = False,
     keep_corrupt: bool = False,
     split_data_values: bool = False,
+    work: Workspace | None = None,
 ) -> DataFrame:
     """One of the exports of a data folder; the options from ``data_values_as_lines`` on concern data values.
 
-    ``split_data_values`` cuts documents into records, so that many tasks read one document;
-    ``keep_corrupt`` is for documents that are read whole.
+    ``split_data_values`` cuts documents into records, so that many tasks read one document,
+    and ``work`` holds its pieces where they are not records; ``keep_corrupt`` is for documents that are read whole.
     """
     path = f"{data_dir}/{FILES[name]}"
     if name == "data_values":
@@ -111,11 +113,11 @@ def load_export(
         if data_values_as_lines:
             return read_data_value_lines(spark, path)
         if split_data_values:
-            return read_split_data_values(spark, path)
+            return read_split_data_values(spark, path, work)
     return read_documents(spark, path, DOCUMENTS[name], multi_line, keep_corrupt and name == "data_values")
 
 
-def load_exports(spark: SparkSession, data_dir: str, **options: bool) -> dict[str, DataFrame]:
+def load_exports(spark: SparkSession, data_dir: str, **options: bool | Workspace) -> dict[str, DataFrame]:
     """The four exports of a data folder by name, under the options of ``load_export``."""
     return {name: load_export(spark, data_dir, name, **options) for name in FILES}
 

@@ -10,6 +10,8 @@ Otherwise, as when strings hold braces, records hold objects, or a file holds se
 pieces are put together again. Whether a piece begins in a string, how deep it is nested, and which
 array it is in are running sums over the file; they run within each block of the file, side by
 side, and every block starts from a sum over the blocks before it, of which there is one row each.
+Pieces are written once with what each says by itself. Two passes over these numbers, without the
+text, find the first record of every block; the text then moves once, to where its record begins.
 
 Results equal those of the document reader for valid documents, except that null elements of the
 array are left out. A document without records gives one row without any. Of a document that breaks off the whole
@@ -18,11 +20,14 @@ records are read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardbook.sources.tables import Workspace, query_workspace
+
 BLOCK = ["file", "block"]
 
 
@@ -64,86 +69,142 @@ def _is_plain(pieces: DataFrame, field: str, names: Sequence[str]) -> bool:
     return files.filter(~F.coalesce(plain, F.lit(False))).isEmpty()
 
 
-def _before(blocks: DataFrame, **sums: Column) -> DataFrame:
-    """Per block what holds at its start, from one row per block."""
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select(*BLOCK, *[c.over(earlier).alias(name) for name, c in sums.items()])
+def _marks(pieces: DataFrame, field: str) -> DataFrame:
+    """``pieces`` with what each says by itself: whether its quotes change sides, how many brackets it opens less
+    brackets and braces it closes if it begins outside a string (``out``) or inside (``ins``), and whether it ends
+    in the opening of the field's array (true) or of another (false)."""
+    text = F.col("piece")
+    bare = F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"\\.", "")).otherwise(text)
 
+    def count(of: Column, mark: str) -> Column:
+        return F.char_length(of) - F.char_length(F.replace(of, F.lit(mark), F.lit("")))
 
-def _reassembled(pieces: DataFrame, field: str) -> tuple[DataFrame, DataFrame]:
-    """Texts of the records, and the documents and files that have none."""
-    first = Window.partitionBy(*BLOCK).orderBy("n")
-    through = first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    segments = F.split(F.regexp_replace("piece", r"\\.", ""), '"')
-
-    def outside(text: Column, marks: str) -> Column:
-        return F.char_length(text) - F.char_length(F.translate(text, marks, ""))
-
-    def steps(inside: int) -> Column:
-        """Brackets opened less brackets and braces closed by a piece that begins inside a string, or not."""
-        return F.aggregate(segments, F.struct(F.lit(inside).alias("s"), F.lit(0).alias("d")), lambda a, t: F.struct(
-            (1 - a["s"]).alias("s"),
-            (a["d"] + F.when(a["s"] == 0, outside(t, "[") - outside(t, "]}")).otherwise(0)).alias("d"),
-        ))["d"]
-
-    opener = F.when(_opens(field), F.lit(True)).when(F.col("piece").rlike(r"\[\s*$"), F.lit(False))
-    marked = pieces.select(
-        *BLOCK, "n", "piece", ((F.size(segments) - 1) % 2).alias("quotes"), steps(0).alias("out"), steps(1).alias("ins"),
-        opener.alias("opener"),
-        ((F.col("block") == 0) & (F.row_number().over(first) == 1)).alias("head"),
-    )
-    by_block = marked.groupBy(*BLOCK).agg(F.sum("quotes").alias("q"))
-    starts = _before(by_block, q0=F.sum("q"))
-    quoted = (
-        marked.join(starts, BLOCK)
-        .withColumn("inside", (F.coalesce("q0", F.lit(0)) + F.sum("quotes").over(through) - F.col("quotes")) % 2)
-        .withColumn("opened", ((F.col("inside") == 0) & ~F.col("head")).cast("int"))
-        .withColumn("step", F.col("opened") + F.when(F.col("inside") == 0, F.col("out")).otherwise(F.col("ins")))
+    def step(outside: Column) -> Column:
+        return count(outside, "[") - count(outside, "]") - count(outside, "}")
+
+    string = '"[^"]*"?'
+    opener = F.when(text.rlike(r"\[\s*$"), _opens(field))
+    return (
+        pieces.withColumn("bare", bare)
+        .withColumns({"o": F.regexp_replace("bare", string, ""),
+                      "i": F.regexp_replace(F.concat(F.lit('"'), "bare"), string, "")})
+        .select(*BLOCK, "n", "piece", (count(F.col("bare"), '"') % 2).alias("quotes"), step(F.col("o")).alias("out"),
+                step(F.col("i")).alias("ins"), opener.alias("opener"))
     )
-    starts = _before(quoted.groupBy(*BLOCK).agg(F.sum("step").alias("d")), d0=F.sum("d"))
-    nested = (
-        quoted.join(starts, BLOCK)
-        .withColumn("after", F.coalesce("d0", F.lit(0)) + F.sum("step").over(through))
+
+
+def _step(inside: Column) -> Column:
+    return F.when(inside == 0, F.col("opened") + F.col("out")).otherwise(F.col("ins"))
+
+
+def _running(rows: DataFrame, group: Sequence[str], order: Sequence[str], inside: Column, depth: Column, opened: Column) -> DataFrame:
+    """``rows`` with ``opened``, ``depth``, ``array`` and ``after``, from what holds at the start of each group.
+
+    ``opened``: the piece begins an object. ``depth``: how deep that object is. ``array``: whether
+    the last array opened at depth 2 before it is the field's, null if the group has opened none.
+    """
+    at = Window.partitionBy(*group).orderBy(*order)
+    through = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    listed = F.when((F.col("after") == 2) & ((F.col("inside") + F.col("quotes")) % 2 == 0), F.col("opener"))
+    return (
+        rows.withColumn("inside", (inside + F.sum("quotes").over(through) - F.col("quotes")) % 2)
+        .withColumn("opened", ((F.col("inside") == 0) & opened).cast("int"))
+        .withColumn("step", _step(F.col("inside")))
+        .withColumn("after", depth + F.sum("step").over(through))
         .withColumn("depth", F.col("after") - F.col("step"))
-        .withColumn("list", F.when(
-            (F.col("after") == 2) & ((F.col("inside") + F.col("quotes")) % 2 == 0), F.col("opener")))
-        .withColumn("document", F.col("opened") * (F.col("depth") == 0).cast("int"))
+        .withColumn("list", listed)
+        .withColumn("array", F.last("list", ignorenulls=True).over(at.rowsBetween(Window.unboundedPreceding, -1)))
     )
-    # The array that an object at depth 2 is in was opened by an earlier piece.
-    last = F.last("list", ignorenulls=True)
-    starts = _before(nested.groupBy(*BLOCK).agg(F.max_by("list", F.when(F.col("list").isNotNull(), F.col("n"))).alias("list")), l0=last)
-    listed = (
-        nested.join(starts, BLOCK)
-        .withColumn("array", F.coalesce(last.over(first.rowsBetween(Window.unboundedPreceding, -1)), "l0", F.lit(False)))
-        .withColumn("begins", F.col("opened") * ((F.col("depth") == 2) & F.col("array")).cast("int"))
+
+
+def _earlier() -> Window:
+    return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _block_starts(marks: DataFrame) -> DataFrame:
+    """Per block whether it starts in a string (``q0``) and how deep (``d0``), from sums for either case."""
+    at = Window.partitionBy(*BLOCK).orderBy("n")
+    before = F.sum("quotes").over(at.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("quotes")
+    sides = marks.withColumns({"side": before % 2, "head": (F.col("block") == 0) & (F.row_number().over(at) == 1)})
+
+    def steps(start: int) -> Column:
+        inside = (F.col("side") + start) % 2
+        return F.sum(F.when(inside == 0, F.col("out") + F.when(F.col("head"), 0).otherwise(1)).otherwise(F.col("ins")))
+
+    sums = sides.groupBy(*BLOCK).agg(F.sum("quotes").alias("q"), steps(0).alias("outside"), steps(1).alias("within"))
+    begun = sums.withColumn("q0", F.coalesce(F.sum("q").over(_earlier()), F.lit(0)) % 2)
+    taken = F.when(F.col("q0") == 0, F.col("outside")).otherwise(F.col("within"))
+    return begun.withColumn("d0", F.coalesce(F.sum(taken).over(_earlier()), F.lit(0))).select(*BLOCK, "q0", "d0")
+
+
+def _counted(marks: DataFrame) -> DataFrame:
+    """Records per file, block and document, and the first of each block.
+
+    A block may start in an array that an earlier one opened. What would begin a record if that is
+    the field's is counted apart, and taken or not once the blocks before are known.
+    """
+    at = Window.partitionBy(*BLOCK).orderBy("n")
+    through = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = marks.withColumn("head", (F.col("block") == 0) & (F.row_number().over(at) == 1))
+    rows = _running(
+        marked.join(F.broadcast(_block_starts(marks)), BLOCK), BLOCK, ["n"], F.col("q0"), F.col("d0"), ~F.col("head"))
+    candidate = (F.col("opened") == 1) & (F.col("depth") == 2)
+    sure, unsure = candidate & F.coalesce("array", F.lit(False)), candidate & F.col("array").isNull()
+    counts = rows.withColumn("doc", F.sum(F.col("opened") * (F.col("depth") == 0).cast("int")).over(through)).groupBy(*BLOCK, "doc").agg(
+        F.count_if(sure).alias("sure"), F.count_if(unsure).alias("unsure"),
+        F.min(F.when(sure, F.col("n"))).alias("first_sure"), F.min(F.when(unsure, F.col("n"))).alias("first_unsure"),
+        F.max(F.when(F.col("list").isNotNull(), F.struct("n", "list"))).alias("last"),
     )
-    starts = _before(
-        listed.groupBy(*BLOCK).agg(F.sum("begins").alias("r"), F.sum("document").alias("d")), r0=F.sum("r"), doc0=F.sum("d")
+    blocks = (
+        counts.groupBy(*BLOCK).agg(F.max("doc").alias("docs"), F.max("last")["list"].alias("list"))
+        .withColumns({"l0": F.coalesce(F.last("list", ignorenulls=True).over(_earlier()), F.lit(False)),
+                      "doc0": F.coalesce(F.sum("docs").over(_earlier()), F.lit(0))})
     )
-    numbered = listed.join(starts, BLOCK).select(
-        *BLOCK, "n", "piece", "begins",
-        (F.coalesce("r0", F.lit(0)) + F.sum("begins").over(through)).alias("record"),
-        (F.coalesce("doc0", F.lit(0)) + F.sum("document").over(through)).alias("doc"),
+    return counts.join(blocks.select(*BLOCK, "l0", "doc0"), BLOCK).select(
+        *BLOCK, (F.col("doc0") + F.col("doc")).alias("doc"),
+        (F.col("sure") + F.when(F.col("l0"), F.col("unsure")).otherwise(0)).alias("records"),
+        F.least("first_sure", F.when(F.col("l0"), F.col("first_unsure"))).alias("first"),
     )
+
+
+def _reassembled(pieces: DataFrame, field: str, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Texts of the records, and the documents and files that have none."""
+    marks = work.keep(_marks(pieces, field), f"marks-{uuid.uuid4().hex}")
+    counted = work.keep(_counted(marks.drop("piece")), f"records-{uuid.uuid4().hex}")
+
+    # Pieces before the first record of a block belong to the last one before. Where a record begins, what holds is known.
+    blocks = counted.groupBy(*BLOCK).agg(F.min("first").alias("first"))
+    held = F.last(F.when(F.col("first").isNotNull(), F.col("block")), ignorenulls=True).over(_earlier())
+    homes = F.broadcast(blocks.withColumn("held", held))
+    home = F.when(F.col("n") >= F.col("first"), F.col("block")).otherwise(F.col("held"))
+    grouped = marks.join(homes, BLOCK).withColumn("home", home).filter("home IS NOT NULL").drop("first", "held")
+    rows = _running(grouped, ["file", "home"], BLOCK[1:] + ["n"], F.lit(0), F.lit(2), F.lit(True))
+    begins = F.col("opened") * ((F.col("depth") == 2) & F.coalesce("array", F.lit(True))).cast("int")
+    through = Window.partitionBy("file", "home").orderBy("block", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     texts = (
-        numbered.filter("record > 0").groupBy("file", "record")
+        rows.withColumn("record", F.sum(begins).over(through)).groupBy("file", "home", "record")
         .agg(F.sort_array(F.collect_list(F.struct("block", "n", "piece"))).alias("parts"))
         .select(F.array_join("parts.piece", "{").alias("piece"))
     )
-    documents = numbered.groupBy("file", "doc").agg(F.sum("begins").alias("records"))
+    documents = counted.groupBy("file", "doc").agg(F.sum("records").alias("records"))
     files = documents.groupBy("file").agg(F.max("doc").alias("docs"))
     bare = documents.join(files, "file").filter("records = 0 AND (doc > 0 OR docs = 0)").select("file")
     return texts, bare
 
 
-def read_split_documents(spark: SparkSession, path: str, field: str, names: Sequence[str], record_schema: str) -> DataFrame:
-    """Rows with ``field`` as an array of one record each, so that flattening is that of documents."""
+def read_split_documents(
+    spark: SparkSession, path: str, field: str, names: Sequence[str], record_schema: str, work: Workspace | None = None
+) -> DataFrame:
+    """Rows with ``field`` as an array of one record each, so that flattening is that of documents.
+
+    ``work`` holds the pieces of files that are not in the plain layout; by default it is the session's.
+    """
     pieces = _pieces(spark, path)
     if _is_plain(pieces, field, names):
         texts = pieces.filter(~_opens(field) & ~F.col("piece").rlike(r"^\s*$")).select("piece")
         bare = None
     else:
-        texts, bare = _reassembled(pieces, field)
+        texts, bare = _reassembled(pieces, field, work or query_workspace(spark))
     record = F.from_json(F.concat(F.lit("{"), "piece"), record_schema)
     found = texts.select(F.array(record).alias(field))
     if bare is None:
