@@ -228,3 +228,37 @@ def test_partitioned_writes_split_a_partition_that_holds_most_rows(spark, tmp_pa
     files = lambda area: len(list((tmp_path / "t" / f"area={area}" / "month=202401").glob("*.parquet")))
     assert files("hot") > 1 and files("cold") <= 2
     assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
+
+
+def test_scores_of_the_fact_need_no_second_pass(spark):
+    """Scores counted within the rows equal those that are computed apart and joined; observations are read once."""
+    seen = [
+        (de, f"2024{month:02d}", f"u{unit}", combo, str(month + unit), "2024-02-01", "2024-02-02")
+        for de in ("a", "b", "c", "unknown") for month in (1, 2) for unit in range(4) for combo in ("x", None)
+        if (month + unit + ord(de[0])) % 3
+    ]
+    seen += seen[:5] + [("a", None, "u1", "x", "5", None, None), ("b", "202401", None, "x", "5", None, None)]
+    observations = spark.createDataFrame(
+        seen, "data_element_uid string, period string, org_unit_uid string, category_option_combo_uid string, raw_value string,"
+        " created_at string, last_updated_at string").withColumn("attribute_option_combo_uid", F.lit("z"))
+    observations = observations.withColumns({c: F.to_timestamp(c) for c in ("created_at", "last_updated_at")}).withColumn("stored_by", F.lit("s"))
+    indicators = spark.createDataFrame(
+        [("a", "A", "INTEGER", "one"), ("b", "B", "INTEGER", "one"), ("c", "C", "NUMBER", None)],
+        "data_element_uid string, data_element_name string, value_type string, health_area string")
+    combos = spark.createDataFrame([("x", "X")], "category_option_combo_uid string, category_option_combo_name string")
+    hierarchy = spark.createDataFrame(
+        [("u0", "U0", "d", "r", "Alpha"), ("u1", "U1", "d", "r", "Alpha"), ("u2", "U2", "d", "r", None)],
+        "org_unit_uid string, facility_name string, district_name string, region_name string, country_name string")
+    bridge = spark.createDataFrame(
+        [("p", "P", "one", "Alpha", "a"), ("p", "P", "one", "Alpha", "b")],
+        "program_uid string, program_name string, program_health_area string, program_country string, data_element_uid string")
+    tables = (observations, indicators, combos, hierarchy, bridge)
+    scores = facility.completeness(facility.name_reports(observations, indicators, hierarchy), bridge)
+    columns = facility.FACT_COLUMNS
+    joined = facility.enrich(*tables, scores).select(*columns)
+    within = facility.enrich(*tables).select(*columns)
+    assert sorted(map(repr, within.collect())) == sorted(map(repr, joined.collect()))
+    assert within.filter("completeness_score = 1").count() and within.filter("completeness_score IS NULL").count()
+    text = driver_tables.service_fact(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [l_orderkey") <= 2  # observations and flags
+    assert "collect_set" in text

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardbook.functions.columns import ratio
@@ -64,6 +64,29 @@ def attach(df: DataFrame, scores: DataFrame, unit: Sequence[str]) -> DataFrame:
     return df.join(scores, list(unit), "left")
 
 
+def score_rows(
+    df: DataFrame,
+    expected: DataFrame,
+    group: Sequence[str],
+    unit: Sequence[str],
+    item: str,
+    resolved: str,
+    reported_count: str = "reported_indicator_count",
+    expected_count: str = "expected_indicator_count",
+    score: str = "completeness_score",
+) -> DataFrame:
+    """``df`` with the scores that ``attach`` would join to it, counted within each unit.
+
+    For rows without duplicates that nobody else needs scores of: they are shuffled by unit
+    either way, and this saves a second pass over them.
+    """
+    items = F.collect_set(F.when(F.col(resolved).isNotNull(), F.col(item))).over(Window.partitionBy(*unit))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in unit])
+    counted = df.withColumn(reported_count, F.when(whole, F.nullif(F.size(items), F.lit(0)).cast("long")))
+    found = completeness(counted, expected, group, reported_count, expected_count, score)
+    return found.withColumn(expected_count, F.when(F.col(reported_count).isNotNull(), F.col(expected_count)))
+
+
 def mean_score(
     df: DataFrame,
     by: Sequence[str],

@@ -663,12 +663,11 @@ def service_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_brand").alias("data_element_uid"),
         ).distinct()
     )
-    # Used by the scores and by the fact: built once and side by side, as the job does.
-    built = {"observations": observations, "bridge": bridge, "indicators": indicators, "hierarchy": hierarchy}
-    observations, bridge, indicators, hierarchy = side_by_side(
+    # Used by the scores and by the fact: built once. Observations are read once, and so are not written.
+    built = {"bridge": bridge, "indicators": indicators, "hierarchy": hierarchy}
+    bridge, indicators, hierarchy = side_by_side(
         spark, *[lambda name=name, df=df: work.keep(df, name) for name, df in built.items()])
-    scores = facility.completeness(facility.name_reports(observations, indicators, hierarchy), bridge)
-    enriched = facility.enrich(observations, indicators, flags, hierarchy, bridge, scores)
+    enriched = facility.enrich(observations, indicators, flags, hierarchy, bridge)
     return facility.fact_service_delivery(enriched).withColumns({
         c: F.col(c).cast("date").cast("string") for c in ("created_at", "last_updated_at")
     })

@@ -20,12 +20,14 @@ from wardbook.operators.validity import with_validity
 from wardbook.sources.tables import Workspace
 from wardbook.sources.versions import Version, VersionedTable
 
-# Levels of the organisation tree, the key of an observation, the aggregation
-# type of values that add up, the counts a score is the quotient of, the fact's columns with
+# Levels of the organisation tree, the key of an observation, what has an expected count and
+# what has a score, the aggregation type of values that add up, the counts a score is the quotient of, the fact's columns with
 # their contract types, and the output columns of the anomaly table.
 LEAF_LEVEL = 4
 LEVEL_NAMES = {1: "country_name", 2: "region_name", 3: "district_name"}
 OBSERVATION_KEY = ["data_element_uid", "period", "org_unit_uid", "category_option_combo_uid"]
+SCORE_GROUP = ["country_name", "health_area"]
+SCORE_UNIT = ["org_unit_uid", "period", *SCORE_GROUP]
 ADDITIVE_TYPE = "SUM"
 FACT_PARTITIONS = ["health_area", "year_month"]
 SCORE_COUNTS = ("reported_indicator_count", "expected_indicator_count")
@@ -93,9 +95,12 @@ def facility_hierarchy(org_units: DataFrame) -> DataFrame:
 
 
 def latest_observations(observations: DataFrame) -> DataFrame:
-    """The latest row per key, the later created one among equals."""
+    """The latest row per key, the later created one among equals.
+
+    Sorts compare the first column most: that is the one that tells most rows apart.
+    """
     return latest_by(
-        observations, OBSERVATION_KEY, ["last_updated_at", "created_at"],
+        observations, sorted(OBSERVATION_KEY, key=lambda c: c != "org_unit_uid"), ["last_updated_at", "created_at"],
     )
 
 
@@ -110,17 +115,19 @@ def enrich(
     category_options: DataFrame,
     hierarchy: DataFrame,
     bridge: DataFrame,
-    scores: DataFrame,
+    scores: DataFrame | None = None,
 ) -> DataFrame:
     """Latest observations with names, scores, typed values, flags and programs.
 
+    Without ``scores`` they are counted from the rows themselves, to the same result.
+
     Duplicates go before the joins: their key is part of the raw row, so nothing is widened
     only to be dropped. Each lookup is joined once and holds a key once; only the bridge may
     multiply rows.
     """
     latest = resolve(resolve_metadata(latest_observations(observations), indicators, category_options),
                      hierarchy, ["org_unit_uid"], spread=OBSERVATION_KEY)
-    named = attach_completeness(latest, scores)
+    named = score_latest(latest, bridge) if scores is None else attach_completeness(latest, scores)
     typed = with_quality_flags(with_typed_values(with_period_columns(named)))
     programs = bridge.select(
         "data_element_uid",
@@ -150,19 +157,22 @@ def completeness(named: DataFrame, bridge: DataFrame) -> DataFrame:
 
     ``named`` are enriched rows, or those of ``name_reports``.
     """
-    group = ["country_name", "health_area"]
-    expected = scoring.expected_counts(
-        bridge.withColumnsRenamed({"program_country": "country_name", "program_health_area": "health_area"}),
-        group, "data_element_uid",
-    )
-    reported = scoring.reported_counts(
-        named, [*group, "org_unit_uid", "period"], "data_element_uid", resolved="data_element_name"
-    )
-    return scoring.completeness(reported, expected, group)
+    reported = scoring.reported_counts(named, SCORE_UNIT, "data_element_uid", resolved="data_element_name")
+    return scoring.completeness(reported, _expected(bridge), SCORE_GROUP)
+
+
+def _expected(bridge: DataFrame) -> DataFrame:
+    named = bridge.withColumnsRenamed({"program_country": "country_name", "program_health_area": "health_area"})
+    return scoring.expected_counts(named, SCORE_GROUP, "data_element_uid")
 
 
 def attach_completeness(df: DataFrame, scores: DataFrame) -> DataFrame:
-    return scoring.attach(df, scores, ["country_name", "health_area", "org_unit_uid", "period"])
+    return scoring.attach(df, scores, SCORE_UNIT)
+
+
+def score_latest(latest: DataFrame, bridge: DataFrame) -> DataFrame:
+    """``attach_completeness`` of the scores that ``completeness`` would give."""
+    return scoring.score_rows(latest, _expected(bridge), SCORE_GROUP, SCORE_UNIT, "data_element_uid", "data_element_name")
 
 
 def fact_service_delivery(enriched: DataFrame) -> DataFrame:
