@@ -49,3 +49,13 @@ def test_no_reference_no_comparison(spark):
     rows = [(1, " ".join(f"w{i}" for i in range(50)), None), (2, " ".join(f"{i}" for i in range(90)), "xx")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert keep_good(docs, limits=Limits(min_chars_compared=10**6)).count() == 2
+
+
+def test_texts_are_counted_once(spark):
+    docs = spark.createDataFrame([(1, "a b c " * 200, "en"), (1, None, None)], "doc_id long, text string, lang string")
+    found = assess(docs, carry=["doc_id"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "LogicalRDD" not in plan
+    assert found.schema["doc"].dataType.names == ["doc_id"]
+    whole = assess(docs).drop("doc")
+    assert sorted(map(repr, found.drop("doc").collect())) == sorted(map(repr, whole.collect()))

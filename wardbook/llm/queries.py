@@ -54,7 +54,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict for every document."""
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return divergence_rules.assess(docs).select(
+    return divergence_rules.assess(docs, carry=["doc_id"]).select(
         F.col("id").alias("doc_id"), *[f"m.{c}" for c in counts], "base_failed", "kept"
     )
 
