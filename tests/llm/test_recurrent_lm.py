@@ -3,11 +3,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wardbook.llm import gru
 from wardbook.llm.common import workspace
-from wardbook.llm.recurrent_lm import Settings, document_scores, schedule, shape_of, tokens, vocabulary
+from wardbook.llm.recurrent_lm import (
+    END, Settings, Vocabulary, document_scores, schedule, shape_of, split_words, tokens, vocabulary,
+)
 
 SMALL = Settings(shortlist=40, classes=5, hidden=6, max_hot=60, buffer_tokens=2_000, count_words=50)
 
@@ -165,3 +168,81 @@ def test_training_windows_hold_every_word_once():
     x, y, owner, fresh = (np.concatenate([a.T.ravel() for a in part]) for part in zip(*gru.stream(texts, 99, lanes=4, steps=100)))
     assert y[owner >= 0].tolist() == np.concatenate(texts).tolist()
     assert fresh.sum() == len(texts) and (x[fresh] == 99).all() and (x[(owner >= 0) & ~fresh] == y[(owner >= 0) & ~fresh] - 1).all()
+
+
+def test_what_learners_return_follows_the_tokens():
+    settings, moved = Settings(), []
+    # The model grows with the root of the input: learners of a fixed share would return ever more per token.
+    for total, weights in ((10**8, 4 * 10**6), (10**10, 4 * 10**7), (10**12, 4 * 10**8)):
+        rounds, learners = schedule(total, settings, weights)
+        assert rounds * learners * max(settings.learner_tokens, settings.tokens_per_weight * weights) >= total
+        moved.append(rounds * learners * weights / total)
+    assert max(moved) < 0.5 and moved[2] < 1.3 * moved[0]
+
+
+def test_rows_over_several_learners_do_not_depend_on_partitions(spark, sf_dir):
+    some = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60)
+    docs = workspace(spark).keep(some, "documents")
+    several = Settings(learner_tokens=5_000, tokens_per_weight=0, lanes=8)
+    one, many = (sorted((r.id, r.score) for r in document_scores(t, settings=several).collect()) for t in (docs.coalesce(1), docs.repartition(9)))
+    assert [i for i, _ in one] == [i for i, _ in many]
+    assert np.allclose([s for _, s in one], [s for _, s in many], rtol=1e-5, atol=1e-4)
+
+
+def test_words_split_together_are_those_of_each_text():
+    texts = [None, "", " a  B ", "\n\n", " \t\x0b\x0c\r ", "a\x00b \U0001f600 \u00c9 \u00c0B\x1cC\x85d e", "x"]
+    words, owner = split_words(pa.array(texts, pa.string()))
+    found = [[w for w, o in zip(words.to_pylist(), owner) if o == i] for i in range(len(texts))]
+    assert [[*f, END] for f in found] == [tokens(t) for t in texts]
+
+
+def test_many_classes_are_grouped():
+    def groups_of(words):
+        counts = np.full(words, 10)
+        return shape_of(Vocabulary([b"%d" % i for i in range(words)], counts, words, int(counts.sum()), words), Settings())
+
+    few, many = groups_of(1_000), groups_of(90_000)
+    assert not few.group_starts
+    # A step weighs few groups and few classes of one group, not all classes.
+    widths = np.diff(many.group_starts)
+    assert many.group_starts[-1] == many.n_classes and len(widths) + widths.max() < many.n_classes / 3
+
+
+def grouped_model():
+    counts = np.array([9, 7, 5, 3, 2, 1])
+    return gru.Shape(gru.equal_mass_classes(counts, 3), 4, (0, 2, 4)), counts
+
+
+def test_probabilities_of_a_grouped_model_add_up():
+    shape, counts = grouped_model()
+    m = gru.Model(shape, gru.initial(shape, counts, 8, 0).astype(np.float64))
+    state = np.random.default_rng(3).normal(size=(1, shape.hidden))
+    logs = [m.log_prob(state, np.array([w]))[0][0] for w in range(shape.n_words + 1)]
+    assert math.isclose(sum(map(math.exp, logs)), 1)
+
+
+def test_gradient_of_a_grouped_model_is_that_of_differences():
+    shape, counts = grouped_model()
+    m, rng = gru.Model(shape, gru.initial(shape, counts, 8, 0).astype(np.float64)), np.random.default_rng(4)
+    states, y = rng.normal(size=(9, shape.hidden)), rng.integers(0, 7, 9)
+    grads = {k: np.zeros_like(v) for k, v in m.p.items()}
+    _, back = m.log_prob(states, y, grads)
+    for name, flat, grad in [("state", states.reshape(-1), back.reshape(-1))] + [
+        (k, m.p[k].reshape(-1), grads[k].reshape(-1)) for k in ("to_group", "group_bias", "to_class", "class_bias", "to_word", "word_bias")
+    ]:
+        for i in range(len(flat)):
+            kept, sums = flat[i], []
+            for step in (1e-5, -1e-5):
+                flat[i] = kept + step
+                sums.append(-m.log_prob(states, y)[0].sum())
+            flat[i] = kept
+            assert math.isclose((sums[0] - sums[1]) / 2e-5, grad[i], rel_tol=1e-3, abs_tol=1e-6), name
+
+
+def test_logits_out_of_range_are_shifted():
+    shape, counts = grouped_model()
+    m = gru.Model(shape, gru.initial(shape, counts, 8, 0).astype(np.float32))
+    for bias in (m.p["word_bias"], m.p["class_bias"], m.p["group_bias"]):
+        bias += 500
+    logs = [m.log_prob(np.zeros((1, 4), dtype=np.float32), np.array([w]))[0][0] for w in range(7)]
+    assert math.isclose(sum(map(math.exp, logs)), 1, rel_tol=1e-4)

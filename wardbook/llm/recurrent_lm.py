@@ -22,12 +22,12 @@ on. Without training documents all words are unknown. Rows may repeat.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,8 @@ class Settings:
     shortlist: int | None = None
     #: None: in proportion to the square root of the shortlist.
     classes: int | None = None
+    #: Classes from which on they are put in groups, so that work per word does not follow their number.
+    grouped_from: int = 100
     #: Least count of a word on the shortlist, or the square root of the tokens times ``count_share`` if larger.
     min_count: int = 8
     count_share: float = 0.01
@@ -53,6 +55,8 @@ class Settings:
     #: Tokens, about, that a learner has in a round.
     learner_tokens: int = 4_000_000
     rate: float = 0.12
+    #: Tokens that a learner has per number of its model, at least: what it returns follows what it reads.
+    tokens_per_weight: float = 3.0
     #: Texts read side by side.
     lanes: int = 512
     steps: int = 16
@@ -72,29 +76,52 @@ def tokens(text: str | None) -> list[bytes]:
     return words
 
 
+#: Texts that are split at once.
+SPLIT_ROWS = 2_048
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as ``tokens`` has them, without the ends, and the position of each word's text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, owner = lists.flatten().cast(pa.binary()), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    real = pc.greater(pc.binary_length(words), 0)
+    return words.filter(real), owner[real.to_numpy(zero_copy_only=False)]
+
+
 def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
 def _count_rows(limit: int):
-    def emit(counts: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts, fresh, ends = COUNTS.empty_table(), [], 0
         for batch in batches:
-            for text in batch.column("text"):
-                counts.update(tokens(text.as_py()))
+            for low in range(0, len(batch), SPLIT_ROWS):
+                texts = batch.column("text").slice(low, SPLIT_ROWS)
+                ends += len(texts)
+                found = pc.value_counts(split_words(texts)[0])
+                fresh.append(pa.Table.from_arrays(found.flatten(), schema=COUNTS))
+                # Counts that are new are added up once they are as many as those that are held.
+                if sum(map(len, fresh)) < max(len(counts), limit // 4):
+                    continue
+                counts, fresh = _added_up([counts, *fresh]), []
                 if len(counts) > limit:
-                    yield emit(counts)
-                    counts = Counter()
-        yield emit(counts)
+                    yield from counts.to_batches()
+                    counts = COUNTS.empty_table()
+        if ends:
+            yield from _added_up([counts, *fresh, pa.table([[END], [ends]], schema=COUNTS)]).to_batches()
 
     return run
 
 
+COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+
+
+def _added_up(counts: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return sums.rename_columns({"n_sum": "n"}).select(["word", "n"]).combine_chunks()
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Hot words in falling order of count, the shortlist first; totals of all training tokens."""
@@ -152,12 +179,19 @@ def vocabulary(counts: DataFrame, settings: Settings) -> Vocabulary:
 def shape_of(vocab: Vocabulary, settings: Settings) -> gru.Shape:
     own = vocab.counts[: vocab.shortlist]
     classes = settings.classes or math.ceil(0.6 * math.sqrt(len(own)))
-    return gru.Shape(gru.equal_mass_classes(own, min(classes, len(own))), settings.hidden)
+    starts, groups = gru.equal_mass_classes(own, min(classes, len(own))), ()
+    if len(starts) >= settings.grouped_from:
+        counts = gru.class_counts(starts, own, vocab.tail()[0])
+        groups = gru.equal_mass_classes(counts, math.isqrt(len(starts)))
+    return gru.Shape(starts, settings.hidden, groups)
+
 
+def schedule(total: int, settings: Settings, weights: int = 0) -> tuple[int, int]:
+    """Rounds, and learners per round, for ``total`` training tokens and a model of ``weights`` numbers.
 
-def schedule(total: int, settings: Settings) -> tuple[int, int]:
-    """Rounds, and learners per round, for ``total`` training tokens."""
-    shares = max(1, math.ceil(total / settings.learner_tokens))
+    All learners return no more than a multiple of the tokens, however large the model.
+    """
+    shares = max(1, math.ceil(total / max(settings.learner_tokens, settings.tokens_per_weight * weights)))
     rounds = math.isqrt(shares)
     return rounds, math.ceil(shares / rounds)
 
@@ -166,13 +200,20 @@ class _Indexer:
     """Positions of words among the hot ones; all others have the position after the last."""
 
     def __init__(self, vocab: Vocabulary):
-        self.of = {w: i for i, w in enumerate(vocab.words)}
+        self.words = pa.array(vocab.words, pa.binary())
         self.rest = len(vocab.words)
-        self.end = self.of[END]
+        self.end = vocab.words.index(END)
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        get, rest = self.of.get, self.rest
-        return np.array([get(w, rest) for w in words], dtype=np.int32)
+    def __call__(self, texts: pa.Array) -> tuple[list[np.ndarray], pa.Array, np.ndarray]:
+        """Positions of each text's words and of its end; the words that are not hot, and the position of each one's text."""
+        words, owner = split_words(texts)
+        found = pc.index_in(words, value_set=self.words)
+        cold = found.is_null()
+        # Each text before a word has an end too.
+        out = np.full(len(words) + len(texts), self.end, dtype=np.int32)
+        out[np.arange(len(words)) + owner] = found.fill_null(self.rest).to_numpy()
+        bounds = np.cumsum(np.bincount(owner, minlength=len(texts)) + 1)
+        return np.split(out, bounds[:-1]) if len(texts) else [], words.filter(cold), owner[cold.to_numpy(zero_copy_only=False)]
 
 
 def _encode_rows(vocab):
@@ -180,12 +221,14 @@ def _encode_rows(vocab):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, shortlist = _Indexer(vocab.value), vocab.value.shortlist
-        for batch in batches:
-            ids = [np.minimum(index(tokens(text.as_py())), shortlist).tobytes() for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("round", "learner", "key")), pa.array(ids, pa.binary())],
-                ["round", "learner", "key", "ids"],
-            )
+        for whole in batches:
+            for low in range(0, len(whole), SPLIT_ROWS):
+                batch = whole.slice(low, SPLIT_ROWS)
+                ids = [np.minimum(a, shortlist).tobytes() for a in index(batch.column("text"))[0]]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in ("round", "learner", "key")), pa.array(ids, pa.binary())],
+                    ["round", "learner", "key", "ids"],
+                )
 
     return run
 
@@ -240,7 +283,7 @@ def train(docs: DataFrame, vocab: Vocabulary, shared: Broadcast, settings: Setti
     shape = shape_of(vocab, settings)
     weights = gru.initial(shape, vocab.counts[: vocab.shortlist], vocab.tail()[0], settings.seed)
     flat = np.concatenate([weights, np.full_like(weights, 0.1)])
-    rounds, learners = schedule(vocab.total, settings)
+    rounds, learners = schedule(vocab.total, settings, len(weights))
     dealt = F.pmod("key", F.lit(rounds * learners))
     # By id and text: copies of a text go to several learners.
     rows = docs.withColumn("key", F.xxhash64("id", "text")).select(
@@ -272,6 +315,16 @@ SCORED = (
 )
 
 
+def _cold_lists(words: pa.Array, owner: np.ndarray, texts: int) -> tuple[pa.Array, pa.Array]:
+    """Per text its distinct words of ``words``, and how often it has each; ``owner`` is in order, and groups keep it."""
+    found = pa.table({"text": owner, "word": words}).group_by(["text", "word"], use_threads=False)
+    found = found.aggregate([([], "count_all")]).sort_by("text").combine_chunks()
+    begins = pa.array(np.searchsorted(found["text"].to_numpy(), np.arange(texts + 1)), pa.int32())
+    parts = (found["word"], found["count_all"].cast(pa.int32()))
+    return tuple(pa.ListArray.from_arrays(begins, pa.concat_arrays(part.chunks)) if part.num_chunks
+                 else pa.ListArray.from_arrays(begins, pa.array([], part.type)) for part in parts)
+
+
 def _score_rows(vocab, flat, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocab.value
@@ -280,36 +333,39 @@ def _score_rows(vocab, flat, settings: Settings):
         seen = np.append(known.counts > 0, False)
         row = TaskContext.get().partitionId() << 40
 
-        def emit(docs: list[tuple]) -> pa.RecordBatch:
+        def emit(held: list[tuple]) -> pa.RecordBatch:
             nonlocal row
-            arrays = [d[2] for d in docs]
+            arrays = [a for part in held for a in part[2]]
             short = [np.minimum(a, known.shortlist) for a in arrays]
             scored = gru.scores(model, short, index.end, settings.lanes, settings.steps)
-            cold = [d[3] for d in docs]
             columns = [
-                pa.array(np.arange(row, row + len(docs))), pa.array([d[0] for d in docs], pa.int64()),
-                pa.array([d[1] for d in docs], pa.bool_()), pa.array([len(a) for a in arrays], pa.int64()),
+                pa.array(np.arange(row, row + len(arrays))), pa.concat_arrays([part[0] for part in held]),
+                pa.concat_arrays([part[1] for part in held]), pa.array([len(a) for a in arrays], pa.int64()),
                 pa.array([int(seen[a].sum()) for a in arrays], pa.int64()),
                 pa.array([int((s == known.shortlist).sum()) for s in short], pa.int64()),
                 pa.array([float(logs[a].sum()) for a in arrays]),
                 pa.array([float(logs[a[a >= known.shortlist]].sum()) for a in arrays]), pa.array(scored),
-                pa.array([list(c) for c in cold], pa.list_(pa.binary())),
-                pa.array([list(c.values()) for c in cold], pa.list_(pa.int32())),
+                *(pa.concat_arrays([part[i] for part in held]) for i in (3, 4)),
             ]
-            row += len(docs)
+            row += len(arrays)
             return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SCORED.split(", ")])
 
         held, size = [], 0
-        for batch in batches:
-            for doc_id, out, text in zip(*(batch.column(c) for c in ("id", "held_out", "text"))):
-                words = tokens(text.as_py())
-                array = index(words)
-                cold = Counter([words[i] for i in np.flatnonzero(array == index.rest)])
-                held.append((doc_id.as_py(), out.as_py(), array, cold))
-                size += len(array)
-                if size >= settings.buffer_tokens:
-                    yield emit(held)
-                    held, size = [], 0
+        for whole in batches:
+            for low in range(0, len(whole), SPLIT_ROWS):
+                batch = whole.slice(low, SPLIT_ROWS)
+                arrays, cold, owner = index(batch.column("text"))
+                cold = _cold_lists(cold, owner, len(batch))
+                done = 0
+                for i, array in enumerate(arrays, 1):
+                    size += len(array)
+                    if size >= settings.buffer_tokens or i == len(arrays):
+                        part = slice(done, i)
+                        held.append((batch.column("id")[part], batch.column("held_out")[part], arrays[part], *(c[part] for c in cold)))
+                        done = i
+                    if size >= settings.buffer_tokens:
+                        yield emit(held)
+                        held, size = [], 0
         if held:
             yield emit(held)
 
