@@ -5,11 +5,11 @@
    starts from the model it was sent, learns by truncated backpropagation, and returns its weights
    and the sums of squares that set its step sizes; their weighted mean is what the next round
    starts from. Every training document is used in one round. Rounds and learners both grow with
-   the root of the training tokens. How the input is partitioned changes nothing.
+   the root of the training tokens, or slower where a larger model asks for larger shares. How the input is partitioned changes nothing.
 3. Score: each whole document runs through the model with its state carried from window to
    window, so the sum of its log-probabilities is that of the complete text.
 
-The model predicts a class of words and then the word within it. The shortlist has all words that
+The model predicts a class of words, in two steps if there are many, and then the word within it. The shortlist has all words that
 occur often enough, and grows with the corpus. Words beyond it are one class, the tail; within it a word has its add-one share of the tail's counts, and the share
 left over is that of unknown words, given in full to each of them: scores are not normalised over
 unseen words. Counts of frequent words travel with the code, at most
