@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from wardbook.plans.export_queries import _document_lines
 from wardbook.sources import exports as ex
 from wardbook.sources import splitting
 
@@ -114,6 +115,69 @@ def test_records_longer_than_a_block(spark, small_splits, tmp_path):
     assert found(ex.read_split_data_values(spark, str(path))) == found(whole)
 
 
+def test_records_of_whole_files_are_not_moved(spark, tmp_path):
+    folder = tmp_path / "data_values.json"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"{i}.json").write_text(json.dumps(envelope([record(j, value=BRACES[j % len(BRACES)]) for j in range(50)]), indent=2))
+    documents = ex.read_split_data_values(spark, str(folder))
+    plan = documents._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window [" not in plan and "Aggregate [" not in plan and "Join " not in plan
+    assert found(documents) == found(ex.read_documents(spark, str(folder), ex.DATA_VALUES_DOCUMENT, multi_line=True))
+
+
+@pytest.mark.parametrize("size", ["700", "90", "128m"])
+def test_objects_after_the_array_and_nulls_in_it(spark, small_splits, tmp_path, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    records = [record(i, value=BRACES[i % len(BRACES)]) for i in range(12)]
+    around = {"system": {"x": {"y": 1, "dataValues": [record(99)]}}, "lists": [[record(98)], {"value": "}"}], "dataValues ": [record(97)]}
+    documents = [
+        {**envelope(records), **around}, {"version": "2"}, {**around, "dataValues": records},
+        {"dataValues": [], "system": {"dataValues": [{"dataElement": "no"}]}}, {"a\\\"dataValues": [record(96)]},
+    ]
+    folder = tmp_path / "data_values.json"
+    folder.mkdir()
+    (folder / "all.json").write_text("\n".join(json.dumps(d) for d in documents) + "\n")
+    whole = found(ex.read_documents(spark, str(folder), ex.DATA_VALUES_DOCUMENT))
+    assert found(ex.read_split_data_values(spark, str(folder))) == whole
+    (folder / "null.json").write_text(json.dumps({"dataValues": [None, record(50, value="{"), None, record(51)], "after": [{}]}))
+    more = [json.dumps({"dataValues": [record(50, value="{"), record(51)]})]
+    (tmp_path / "more.json").write_text("\n".join(more))
+    expected = whole + found(ex.read_documents(spark, str(tmp_path / "more.json"), ex.DATA_VALUES_DOCUMENT))
+    assert found(ex.read_split_data_values(spark, str(folder))) == expected
+
+
+def test_blocks_of_whole_and_cut_files_of_many_documents(spark, small_splits, tmp_path):
+    draw = random.Random(5)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    folder = tmp_path / "data_values.json"
+    folder.mkdir()
+    for i in range(12):
+        documents = [
+            envelope([record(j, value=draw.choice(BRACES), extra=draw.choice([{}, [], [[{"a": "]"}]], "{"])) for j in range(draw.choice([0, 0, 1, 5]))],
+                     after=draw.choice([None, {"b": {"c": []}}, [{"d": "}"}]]))
+            for _ in range(draw.choice([1, 2, 20]))
+        ]
+        if i % 4 == 0:
+            documents = [{"version": str(i)}]
+        (folder / f"{i}.json").write_text("\n".join(json.dumps(d) for d in documents) + "\n")
+    whole = ex.read_documents(spark, str(folder), ex.DATA_VALUES_DOCUMENT)
+    assert found(ex.read_split_data_values(spark, str(folder))) == found(whole)
+
+
+def test_documents_are_written_by_record(spark, tmp_path):
+    rows = [(d, json.dumps(record(i, value="{"))) for d in (1, 2, None) for i in range(20 if d else 1)]
+    lines = _document_lines(spark.createDataFrame(rows, "document long, record string"))
+    assert "collect_list" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    assert lines.count() == len(rows)
+    lines.write.partitionBy("document").text(str(tmp_path / "out"))
+    for d, n in ((1, 20), (2, 20), ("__HIVE_DEFAULT_PARTITION__", 1)):
+        [file] = (tmp_path / "out" / f"document={d}").glob("part-*.txt")
+        text = file.read_text()
+        assert text.startswith('{\n  "version": "2",\n  "dataValues": [\n    {"') and text.endswith("}\n  ]\n}\n")
+        assert sorted(r["dataElement"] for r in json.loads(text)["dataValues"]) == sorted(f"e{i}" for i in range(n))
+
+
 def test_a_document_that_breaks_off_gives_its_whole_records(spark, tmp_path):
     path = tmp_path / "data_values.json"
     path.write_text(json.dumps(envelope([record(i) for i in range(10)]))[:-40])

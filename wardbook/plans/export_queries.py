@@ -6,7 +6,7 @@ time stamp that does not parse or a user name in mixed case. Big ones hold those
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardbook.sources import exports as ex
@@ -51,6 +51,17 @@ def flatten_data_values(spark: SparkSession, read) -> DataFrame:
 ORDERS_A_DOCUMENT = 20_000
 
 
+def _document_lines(records: DataFrame) -> DataFrame:
+    """Pretty-printed documents as a row per record, so that no task holds a whole one.
+
+    The first record of a document comes with what begins it, the last with what ends it.
+    """
+    at = Window.partitionBy("document").orderBy("document")
+    begin = F.when(F.row_number().over(at) == 1, F.lit('{\n  "version": "2",\n  "dataValues": [\n    ')).otherwise(F.lit("    "))
+    end = F.when(F.lead(F.lit(True)).over(at).isNull(), F.lit("\n  ]\n}")).otherwise(F.lit(","))
+    return records.select("document", F.concat(begin, "record", end).alias("text"))
+
+
 def _split_export(spark: SparkSession, read, user: Column) -> DataFrame:
     """Order lines as observations in few big documents, a pretty-printed file each, cut into records."""
     record = F.struct(
@@ -60,9 +71,7 @@ def _split_export(spark: SparkSession, read, user: Column) -> DataFrame:
     )
     records = read("lineitem").select(
         F.floor(F.col("l_orderkey") / ORDERS_A_DOCUMENT).alias("document"), F.to_json(record).alias("record"))
-    documents = records.groupBy("document").agg(F.concat(
-        F.lit('{\n  "version": "2",\n  "dataValues": [\n    '), F.array_join(F.collect_list("record"), ",\n    "), F.lit("\n  ]\n}"),
-    ).alias("text"))
+    documents = _document_lines(records)
     work = query_workspace(spark)
     documents.write.partitionBy("document").text(f"{work.folder}/{ex.FILES['data_values']}")
     found = ex.flatten_data_values(ex.load_export(spark, work.folder, "data_values", split_data_values=True, work=work))

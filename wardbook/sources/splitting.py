@@ -7,11 +7,12 @@ pass over the text says whether all files have that layout: a record's piece beg
 of its fields, which text in a string cannot, as the quotes in it are escaped.
 
 Otherwise, as when strings hold braces, records hold objects, or a file holds several documents,
-pieces are put together again. Whether a piece begins in a string, how deep it is nested, and which
-array it is in are running sums over the file; they run within each block of the file, side by
-side, and every block starts from a sum over the blocks before it, of which there is one row each.
-Pieces are written once with what each says by itself. Two passes over these numbers, without the
-text, find the first record of every block; the text then moves once, to where its record begins.
+pieces are put together again. Whether a place is in a string, how deep it is nested, and which
+array it is in follow from the text before it, so a task that walks over a block of a file from its start
+knows where records begin and end. Only blocks of files that Spark cuts start in the middle: a first pass
+sums up each of these, for a start in a string and for one outside, in one row, and the driver chains the
+rows of a file. Records that lie in one block are written as they are found, without a shuffle; of a
+record across blocks the parts, at most two a block, are put together.
 
 Results equal those of the document reader for valid documents, except that null elements of the
 array are left out. A document without records gives one row without any. Of a document that breaks off the whole
@@ -21,20 +22,42 @@ records are read.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardbook.sources.tables import Workspace, query_workspace
 
-BLOCK = ["file", "block"]
+# The characters that structure JSON, and how each changes the depth.
+QUOTE, BACKSLASH, BRACKET, BRACE = b'"\\[{'
+SIGNS = np.zeros(256, bool)
+SIGNS[list(b'"\\[]{}')] = True
+STEPS = np.zeros(256, np.int64)
+STEPS[list(b"[{")] = 1
+STEPS[list(b"]}")] = -1
+
+#: How an array of the wanted field is noted among what is open; others are noted by their brace or bracket.
+FIELD = ord("f")
+
+#: Documents nested deeper are not JSON to Spark's reader.
+DEEPEST = 1000
+
+#: Pieces looked at before all are, as one that is nothing of the plain layout is mostly among the first.
+PEEK = 1000
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, block, n, piece)``: the text between opening braces, ``n`` rising within a block of a file."""
+    """``(file, block, cut, n, piece)``: the text between opening braces, ``n`` rising within a block of a file.
+
+    ``cut``: the file has other blocks.
+    """
     return spark.read.option("lineSep", "{").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        (F.col("_metadata.file_block_length") < F.col("_metadata.file_size")).alias("cut"),
         F.monotonically_increasing_id().alias("n"), F.col("value").alias("piece"),
     )
 
@@ -51,12 +74,15 @@ def _is_plain(pieces: DataFrame, field: str, names: Sequence[str]) -> bool:
         F.when(_opens(field), "envelope").when(F.col("piece").rlike(starts), "record")
         .when(F.col("piece").rlike(r"^\s*$"), "blank").otherwise("other")
     )
+    kinds = pieces.withColumn("kind", kind)
+    if not kinds.limit(PEEK).filter("kind = 'other'").isEmpty():
+        return False
     closing = F.col("kind").eqNullSafe("record") & F.col("piece").rlike(r"\}\s*\]")
 
     def of(wanted: str) -> Column:
         return F.when(F.col("kind") == wanted, at)
 
-    files = pieces.withColumn("kind", kind).groupBy("file").agg(
+    files = kinds.groupBy("file").agg(
         F.count_if(F.col("kind") == "other").alias("others"), F.count(of("blank")).alias("blanks"),
         F.count(of("envelope")).alias("envelopes"), F.count_if(closing).alias("ends"),
         F.min(at).alias("first"), F.min(of("blank")).alias("blank"), F.min(of("envelope")).alias("envelope"),
@@ -69,127 +95,338 @@ def _is_plain(pieces: DataFrame, field: str, names: Sequence[str]) -> bool:
     return files.filter(~F.coalesce(plain, F.lit(False))).isEmpty()
 
 
-def _marks(pieces: DataFrame, field: str) -> DataFrame:
-    """``pieces`` with what each says by itself: whether its quotes change sides, how many brackets it opens less
-    brackets and braces it closes if it begins outside a string (``out``) or inside (``ins``), and whether it ends
-    in the opening of the field's array (true) or of another (false)."""
-    text = F.col("piece")
-    bare = F.when(F.contains(text, F.lit("\\")), F.regexp_replace(text, r"\\.", "")).otherwise(text)
-
-    def count(of: Column, mark: str) -> Column:
-        return F.char_length(of) - F.char_length(F.replace(of, F.lit(mark), F.lit("")))
-
-    def step(outside: Column) -> Column:
-        return count(outside, "[") - count(outside, "]") - count(outside, "}")
-
-    string = '"[^"]*"?'
-    opener = F.when(text.rlike(r"\[\s*$"), _opens(field))
-    return (
-        pieces.withColumn("bare", bare)
-        .withColumns({"o": F.regexp_replace("bare", string, ""),
-                      "i": F.regexp_replace(F.concat(F.lit('"'), "bare"), string, "")})
-        .select(*BLOCK, "n", "piece", (count(F.col("bare"), '"') % 2).alias("quotes"), step(F.col("o")).alias("out"),
-                step(F.col("i")).alias("ins"), opener.alias("opener"))
-    )
-
-
-def _step(inside: Column) -> Column:
-    return F.when(inside == 0, F.col("opened") + F.col("out")).otherwise(F.col("ins"))
-
-
-def _running(rows: DataFrame, group: Sequence[str], order: Sequence[str], inside: Column, depth: Column, opened: Column) -> DataFrame:
-    """``rows`` with ``opened``, ``depth``, ``array`` and ``after``, from what holds at the start of each group.
-
-    ``opened``: the piece begins an object. ``depth``: how deep that object is. ``array``: whether
-    the last array opened at depth 2 before it is the field's, null if the group has opened none.
+def _signs(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where quotes, brackets and braces are, and what each is; without quotes that a backslash escapes."""
+    at = np.flatnonzero(SIGNS.take(text))
+    sign = text[at]
+    kept = sign != BACKSLASH
+    slash = np.flatnonzero(~kept)
+    if not len(slash):
+        return at, sign
+    # Every other backslash of a run escapes what follows it.
+    index, where = np.arange(len(slash)), at[slash]
+    first = np.ones(len(slash), bool)
+    first[1:] = np.diff(where) != 1
+    escapes = (index - np.maximum.accumulate(np.where(first, index, 0))) % 2 == 0
+    next_one = slash[escapes] + 1
+    there = next_one < len(at)
+    next_one, where = next_one[there], where[escapes][there]
+    kept[next_one[at[next_one] == where + 1]] = False
+    return at[kept], sign[kept]
+
+
+def _outside(sign: np.ndarray, inside: int) -> tuple[np.ndarray, int]:
+    """Which signs are brackets and braces outside strings, if the first is ``inside`` one or not, and where the last leaves."""
+    quotes = sign == QUOTE
+    sides = (np.cumsum(quotes, dtype=np.uint8) + np.uint8(inside)) & 1
+    return np.flatnonzero(~quotes & (sides == 0)), int(sides[-1]) if len(sides) else inside
+
+
+def _opens_field(text: np.ndarray, at: np.ndarray, sign: np.ndarray, i: int, field: bytes) -> bool:
+    """Whether sign ``i`` is a bracket after the name of the field."""
+    if i < 2 or sign[i] != BRACKET or sign[i - 1] != QUOTE or sign[i - 2] != QUOTE:
+        return False
+    name, colon = text[at[i - 2] + 1 : at[i - 1]], text[at[i - 1] + 1 : at[i]]
+    return name.tobytes() == field and colon.tobytes().strip() == b":"
+
+
+class _Sum:
+    """What a stretch of text does to the depth, whatever it was before: ``net`` of it, the lowest (``low``) it comes to,
+    and what it leaves ``open``, a byte for each level above the lowest."""
+
+    def __init__(self, inside: int):
+        self.inside, self.net, self.low, self.open = inside, 0, 0, bytearray()
+
+    def add(self, text: np.ndarray, at: np.ndarray, sign: np.ndarray, field: bytes) -> None:
+        out, self.inside = _outside(sign, self.inside)
+        if not len(out):
+            return
+        step = STEPS[sign[out]]
+        after = np.cumsum(step)
+        low = min(0, int(after.min()))
+        left = out[(step == 1) & (np.minimum.accumulate(after[::-1])[::-1] == after)]
+        kinds = sign[left]
+        for k in np.flatnonzero(kinds == BRACKET):
+            if _opens_field(text, at, sign, left[k], field):
+                kinds[k] = FIELD
+        del self.open[max(0, self.net + low - self.low):]
+        self.open += kinds.tobytes()
+        self.low = min(self.low, self.net + low)
+        self.net += int(after[-1])
+
+    def row(self) -> dict:
+        """Of what is open the levels that can matter at the start of the next block."""
+        lowest = max(self.low, -DEEPEST)
+        return {"net": self.net, "low": self.low, "open": bytes(self.open[lowest - self.low : DEEPEST - self.low])}
+
+
+#: Bytes of the key before a piece. Its last is ``CUT`` if the file has other blocks.
+KEY, CUT = 17, b"+"
+
+
+def _rows(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``row``: the key of its block, and the piece behind its brace.
+
+    Arrow takes as long for a column as for the text, so the key is not one.
     """
-    at = Window.partitionBy(*group).orderBy(*order)
-    through = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    listed = F.when((F.col("after") == 2) & ((F.col("inside") + F.col("quotes")) % 2 == 0), F.col("opener"))
-    return (
-        rows.withColumn("inside", (inside + F.sum("quotes").over(through) - F.col("quotes")) % 2)
-        .withColumn("opened", ((F.col("inside") == 0) & opened).cast("int"))
-        .withColumn("step", _step(F.col("inside")))
-        .withColumn("after", depth + F.sum("step").over(through))
-        .withColumn("depth", F.col("after") - F.col("step"))
-        .withColumn("list", listed)
-        .withColumn("array", F.last("list", ignorenulls=True).over(at.rowsBetween(Window.unboundedPreceding, -1)))
-    )
-
-
-def _earlier() -> Window:
-    return Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _block_starts(marks: DataFrame) -> DataFrame:
-    """Per block whether it starts in a string (``q0``) and how deep (``d0``), from sums for either case."""
-    at = Window.partitionBy(*BLOCK).orderBy("n")
-    before = F.sum("quotes").over(at.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("quotes")
-    sides = marks.withColumns({"side": before % 2, "head": (F.col("block") == 0) & (F.row_number().over(at) == 1)})
-
-    def steps(start: int) -> Column:
-        inside = (F.col("side") + start) % 2
-        return F.sum(F.when(inside == 0, F.col("out") + F.when(F.col("head"), 0).otherwise(1)).otherwise(F.col("ins")))
-
-    sums = sides.groupBy(*BLOCK).agg(F.sum("quotes").alias("q"), steps(0).alias("outside"), steps(1).alias("within"))
-    begun = sums.withColumn("q0", F.coalesce(F.sum("q").over(_earlier()), F.lit(0)) % 2)
-    taken = F.when(F.col("q0") == 0, F.col("outside")).otherwise(F.col("within"))
-    return begun.withColumn("d0", F.coalesce(F.sum(taken).over(_earlier()), F.lit(0))).select(*BLOCK, "q0", "d0")
-
-
-def _counted(marks: DataFrame) -> DataFrame:
-    """Records per file, block and document, and the first of each block.
-
-    A block may start in an array that an earlier one opened. What would begin a record if that is
-    the field's is counted apart, and taken or not once the blocks before are known.
+    key = F.lpad(F.hex(F.xxhash64("file", "block")), KEY - 1, "0")
+    cut = F.when(F.col("cut"), F.lit(CUT.decode())).otherwise(F.lit("-"))
+    return pieces.withColumn("row", F.concat(key, cut, F.lit("{"), F.col("piece")))
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Per run of rows of one block its first row, the block's key and its text."""
+    rows = batch.column("row")
+    if not len(rows):
+        return
+    wide = np.int64 if pa.types.is_large_string(rows.type) else np.int32
+    _, offsets, data = rows.buffers()
+    ends = np.frombuffer(offsets, wide)[rows.offset : rows.offset + len(rows) + 1].astype(np.int64)
+    data, ends = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+    head = ends[:-1, None] + np.arange(KEY)
+    key = data[head].view(f"S{KEY}").ravel()
+    is_text = np.ones(len(data), bool)
+    is_text[head.ravel()] = False
+    text, ends = data[is_text], ends - KEY * np.arange(len(ends))
+    bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
+    for low, high in zip(bounds, bounds[1:]):
+        yield int(low), bytes(key[low]), text[ends[low] : ends[high]]
+
+
+SUM = "struct<net long, low long, open binary>"
+
+
+def _sum_rows(field: bytes):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([
+            ("key", pa.binary()), ("file", pa.string()), ("block", pa.int64()), ("quotes", pa.int64()),
+            *[(name, pa.struct([("net", pa.int64()), ("low", pa.int64()), ("open", pa.binary())])) for name in ("outside", "within")],
+        ])
+        key, place, sums = None, (None, None), ()
+
+        def row() -> pa.RecordBatch:
+            outside, within = sums
+            values = {
+                "key": key, "file": place[0], "block": place[1], "quotes": outside.inside, "outside": outside.row(),
+                "within": within.row(),
+            }
+            return pa.RecordBatch.from_pylist([values], schema)
+
+        for batch in batches:
+            for first, at_key, text in _runs(batch):
+                if at_key != key:
+                    if sums:
+                        yield row()
+                    key, sums = at_key, (_Sum(0), _Sum(1))
+                    place = batch.column("file")[first].as_py(), batch.column("block")[first].as_py()
+                    if place[1] == 0:
+                        text = text[1:]
+                at, sign = _signs(text)
+                for s in sums:
+                    s.add(text, at, sign, field)
+        if sums:
+            yield row()
+
+    return run
+
+
+#: Where a block is and what holds at its start: file, block, if it starts in a string, how deep, in the field's array, in a record of it.
+Start = tuple[str, int, int, int, bool, bool]
+
+
+def _starts(sums: Sequence[Row]) -> dict[bytes, Start]:
+    """What holds at the start of each block, by key."""
+    starts = {}
+    for file, blocks in groupby(sorted(sums, key=lambda r: (r["file"], r["block"])), key=lambda r: r["file"]):
+        inside, depth, kinds = 0, 0, {2: None, 3: None}
+        for block in blocks:
+            listed = kinds[2] == FIELD
+            starts[bytes(block["key"])] = file, block["block"], inside, depth, listed, listed and kinds[3] == BRACE
+            taken = block["within" if inside else "outside"]
+            lowest = max(taken["low"], -DEEPEST)
+            for level in kinds:
+                at = level - depth
+                if at > taken["low"]:
+                    kinds[level] = taken["open"][at - lowest - 1] if 0 < at - lowest <= len(taken["open"]) else None
+            inside, depth = (inside + block["quotes"]) % 2, depth + taken["net"]
+    if len(starts) < len(sums):
+        raise ValueError("two blocks have the same key")
+    return starts
+
+
+def _strings(kind: pa.DataType, data, bounds: Sequence[int] | np.ndarray) -> pa.Array:
+    wide = np.int64 if pa.types.is_large_string(kind) else np.int32
+    offsets = np.ascontiguousarray(bounds, wide)
+    return pa.Array.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _joined(kind: pa.DataType, values: Sequence[bytes]) -> pa.Array:
+    return _strings(kind, b"".join(values), np.cumsum([0, *map(len, values)]))
+
+
+class _Walk:
+    """A walk over a block from what holds at its start.
+
+    ``records`` are those of the document it is in, ``docs`` the documents that begin in the block, and
+    ``before`` the records before the first of them. Documents that begin and end in the block without a record are ``bare``.
     """
-    at = Window.partitionBy(*BLOCK).orderBy("n")
-    through = at.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = marks.withColumn("head", (F.col("block") == 0) & (F.row_number().over(at) == 1))
-    rows = _running(
-        marked.join(F.broadcast(_block_starts(marks)), BLOCK), BLOCK, ["n"], F.col("q0"), F.col("d0"), ~F.col("head"))
-    candidate = (F.col("opened") == 1) & (F.col("depth") == 2)
-    sure, unsure = candidate & F.coalesce("array", F.lit(False)), candidate & F.col("array").isNull()
-    counts = rows.withColumn("doc", F.sum(F.col("opened") * (F.col("depth") == 0).cast("int")).over(through)).groupBy(*BLOCK, "doc").agg(
-        F.count_if(sure).alias("sure"), F.count_if(unsure).alias("unsure"),
-        F.min(F.when(sure, F.col("n"))).alias("first_sure"), F.min(F.when(unsure, F.col("n"))).alias("first_unsure"),
-        F.max(F.when(F.col("list").isNotNull(), F.struct("n", "list"))).alias("last"),
-    )
-    blocks = (
-        counts.groupBy(*BLOCK).agg(F.max("doc").alias("docs"), F.max("last")["list"].alias("list"))
-        .withColumns({"l0": F.coalesce(F.last("list", ignorenulls=True).over(_earlier()), F.lit(False)),
-                      "doc0": F.coalesce(F.sum("docs").over(_earlier()), F.lit(0))})
-    )
-    return counts.join(blocks.select(*BLOCK, "l0", "doc0"), BLOCK).select(
-        *BLOCK, (F.col("doc0") + F.col("doc")).alias("doc"),
-        (F.col("sure") + F.when(F.col("l0"), F.col("unsure")).otherwise(0)).alias("records"),
-        F.least("first_sure", F.when(F.col("l0"), F.col("first_unsure"))).alias("first"),
-    )
-
 
-def _reassembled(pieces: DataFrame, field: str, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Texts of the records, and the documents and files that have none."""
-    marks = work.keep(_marks(pieces, field), f"marks-{uuid.uuid4().hex}")
-    counted = work.keep(_counted(marks.drop("piece")), f"records-{uuid.uuid4().hex}")
-
-    # Pieces before the first record of a block belong to the last one before. Where a record begins, what holds is known.
-    blocks = counted.groupBy(*BLOCK).agg(F.min("first").alias("first"))
-    held = F.last(F.when(F.col("first").isNotNull(), F.col("block")), ignorenulls=True).over(_earlier())
-    homes = F.broadcast(blocks.withColumn("held", held))
-    home = F.when(F.col("n") >= F.col("first"), F.col("block")).otherwise(F.col("held"))
-    grouped = marks.join(homes, BLOCK).withColumn("home", home).filter("home IS NOT NULL").drop("first", "held")
-    rows = _running(grouped, ["file", "home"], BLOCK[1:] + ["n"], F.lit(0), F.lit(2), F.lit(True))
-    begins = F.col("opened") * ((F.col("depth") == 2) & F.coalesce("array", F.lit(True))).cast("int")
-    through = Window.partitionBy("file", "home").orderBy("block", "n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    texts = (
-        rows.withColumn("record", F.sum(begins).over(through)).groupBy("file", "home", "record")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "n", "piece"))).alias("parts"))
-        .select(F.array_join("parts.piece", "{").alias("piece"))
+    def __init__(self, inside: int = 0, depth: int = 0, listed: bool = False, taking: bool = False):
+        self.inside, self.depth, self.listed, self.taking = inside, depth, listed, taking
+        self.own, self.kept = not taking, []
+        self.docs = self.records = self.before = self.bare = 0
+        self.whole: list[pa.Array] = []
+        self.parts: list[tuple[bool, bytes]] = []
+
+    def over(self, text: np.ndarray, field: bytes, kind: pa.DataType) -> None:
+        at, sign = _signs(text)
+        out, self.inside = _outside(sign, self.inside)
+        sign_out, where = sign[out], at[out]
+        step = STEPS[sign_out]
+        after = self.depth + np.cumsum(step)
+        lists = np.flatnonzero((step == 1) & (after == 2))
+        listed = np.array([self.listed, *[_opens_field(text, at, sign, i, field) for i in out[lists]]])
+        braces = sign_out == BRACE
+        begins = np.flatnonzero(braces & (after == 3))
+        begins = begins[listed[np.searchsorted(lists, begins)]]
+        ends = np.flatnonzero((step == -1) & (after == 2))
+        self._count(np.searchsorted(begins, np.flatnonzero(braces & (after == 1))), len(begins))
+        if self.taking:
+            if len(ends):
+                self._close(text[: where[ends[0]] + 1], kind)
+            else:
+                self.kept.append(text.tobytes())
+        closed = np.searchsorted(ends, begins)
+        full = closed < len(ends)
+        if full.any():
+            # Records and what lies between them in turn, of which the records are taken.
+            bounds = np.stack([where[begins[full]], where[ends[closed[full]]] + 1], axis=1).ravel()
+            self.whole.append(_strings(kind, text, bounds).take(pa.array(np.arange(0, len(bounds), 2))))
+        if len(begins) and not full[-1]:
+            self.taking, self.own, self.kept = True, True, [text[where[begins[-1]] :].tobytes()]
+        self.listed = bool(listed[-1])
+        self.depth = int(after[-1]) if len(after) else self.depth
+
+    def _count(self, firsts: np.ndarray, n: int) -> None:
+        """``firsts``: how many of the ``n`` records lie before each document that begins."""
+        counts = np.diff([0, *firsts, n])
+        counts[0] += self.records
+        if len(firsts):
+            closed = counts[:-1]
+            if not self.docs:
+                self.before, closed = int(closed[0]), closed[1:]
+            self.bare += int(np.count_nonzero(closed == 0))
+            self.docs += len(firsts)
+        self.records = int(counts[-1])
+
+    def _close(self, rest: np.ndarray, kind: pa.DataType) -> None:
+        text = b"".join([*self.kept, rest.tobytes()])
+        if self.own:
+            self.whole.append(_joined(kind, [text]))
+        else:
+            self.parts.append((False, text))
+        self.taking, self.own, self.kept = False, True, []
+
+    def end(self, cut: bool, kind: pa.DataType) -> None:
+        """At the end of the block, which is the file's unless it is ``cut``."""
+        if self.taking and cut:
+            self.parts.append((self.own, b"".join(self.kept)))
+        elif self.taking:
+            self.whole.append(_joined(kind, [b"".join(self.kept)]))
+        if not cut and self.records == 0:
+            self.bare += 1
+
+
+FOUND = "file string, block long, begins boolean, part string, doc long, records long, piece string"
+
+
+def _found_rows(field: bytes, starts: dict[bytes, Start]):
+    """Whole records, and a row without any for each document that has none, by themselves; of cut files also the parts
+    of records across blocks, and the records of the documents that the block did not begin or may not end."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, place, walk, kind = None, None, None, pa.string()
+
+        def rows(n: int, **columns: pa.Array) -> pa.RecordBatch:
+            kinds = {
+                "file": kind, "block": pa.int64(), "begins": pa.bool_(), "part": kind, "doc": pa.int64(), "records": pa.int64(),
+                "piece": kind,
+            }
+            return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, t)) for c, t in kinds.items()], names=list(kinds))
+
+        def found() -> list[pa.Array]:
+            some = [*walk.whole, *([pa.nulls(walk.bare, kind)] if walk.bare else [])]
+            walk.whole, walk.bare = [], 0
+            return some
+
+        def edges() -> Iterator[pa.RecordBatch]:
+            file, block = place
+
+            def of(n: int, **columns: pa.Array) -> pa.RecordBatch:
+                return rows(n, file=_joined(kind, [file.encode()] * n), block=pa.array([block] * n, pa.int64()), **columns)
+
+            if walk.parts:
+                begins, parts = zip(*walk.parts)
+                yield of(len(parts), begins=pa.array(begins, pa.bool_()), part=_joined(kind, parts))
+            counts = [(0, walk.before), (walk.docs, walk.records)] if walk.docs else [(0, walk.records)]
+            docs, records = (pa.array(c, pa.int64()) for c in zip(*counts))
+            yield of(len(counts), doc=docs, records=records)
+
+        for batch in batches:
+            kind, pieces = batch.column("row").type, []
+            for _, at_key, text in _runs(batch):
+                if at_key != key:
+                    if walk is not None:
+                        walk.end(place is not None, kind)
+                        pieces += found()
+                        if place is not None:
+                            yield from edges()
+                    start = starts[at_key] if at_key.endswith(CUT) else ()
+                    key, place, walk = at_key, start[:2] or None, _Walk(*start[2:])
+                    if place is None or place[1] == 0:
+                        text = text[1:]
+                walk.over(text, field, kind)
+                pieces += found()
+            if pieces:
+                whole = pa.concat_arrays(pieces)
+                yield rows(len(whole), piece=whole)
+        if walk is not None:
+            walk.end(place is not None, kind)
+            if pieces := found():
+                whole = pa.concat_arrays(pieces)
+                yield rows(len(whole), piece=whole)
+            if place is not None:
+                yield from edges()
+
+    return run
+
+
+def _reassembled(pieces: DataFrame, field: str, work: Workspace) -> DataFrame:
+    """Texts of the records, and a null for every document and file that has none."""
+    rows = _rows(pieces)
+    sums = rows.filter("cut").select("row", "file", "block").mapInArrow(
+        _sum_rows(field.encode()), f"key binary, file string, block long, quotes long, outside {SUM}, within {SUM}").collect()
+    found = work.keep(rows.select("row").mapInArrow(_found_rows(field.encode(), _starts(sums)), FOUND), f"records-{uuid.uuid4().hex}")
+    whole = found.filter("file IS NULL").select("piece")
+    if not sums:
+        return whole
+
+    # A part that begins no record belongs to the last record that an earlier block has begun.
+    through = Window.partitionBy("file").orderBy("block", "begins").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    home = F.last(F.when(F.col("begins"), F.col("block")), ignorenulls=True).over(through)
+    across = (
+        found.filter("part IS NOT NULL").withColumn("home", home).groupBy("file", "home")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "begins", "part"))).alias("parts"))
+        .select(F.array_join("parts.part", "").alias("piece"))
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
+    documents = (
+        found.filter("records IS NOT NULL").withColumn("doc", F.col("doc") + F.coalesce(F.sum("doc").over(earlier), F.lit(0)))
+        .groupBy("file", "doc").agg(F.sum("records").alias("records"))
     )
-    documents = counted.groupBy("file", "doc").agg(F.sum("records").alias("records"))
     files = documents.groupBy("file").agg(F.max("doc").alias("docs"))
-    bare = documents.join(files, "file").filter("records = 0 AND (doc > 0 OR docs = 0)").select("file")
-    return texts, bare
+    bare = documents.join(files, "file").filter("records = 0 AND (doc > 0 OR docs = 0)")
+    return whole.unionByName(across).unionByName(bare.select(F.lit(None).cast("string").alias("piece")))
 
 
 def read_split_documents(
@@ -197,16 +434,11 @@ def read_split_documents(
 ) -> DataFrame:
     """Rows with ``field`` as an array of one record each, so that flattening is that of documents.
 
-    ``work`` holds the pieces of files that are not in the plain layout; by default it is the session's.
+    ``work`` holds the records of files that are not in the plain layout; by default it is the session's.
     """
     pieces = _pieces(spark, path)
     if _is_plain(pieces, field, names):
-        texts = pieces.filter(~_opens(field) & ~F.col("piece").rlike(r"^\s*$")).select("piece")
-        bare = None
-    else:
-        texts, bare = _reassembled(pieces, field, work or query_workspace(spark))
-    record = F.from_json(F.concat(F.lit("{"), "piece"), record_schema)
-    found = texts.select(F.array(record).alias(field))
-    if bare is None:
-        return found
-    return found.unionByName(bare.select(F.lit(None).cast(found.schema[field].dataType).alias(field)))
+        texts = pieces.filter(~_opens(field) & ~F.col("piece").rlike(r"^\s*$")).select(F.concat(F.lit("{"), "piece").alias("piece"))
+        return texts.select(F.array(F.from_json("piece", record_schema)).alias(field))
+    texts = _reassembled(pieces, field, work or query_workspace(spark))
+    return texts.select(F.when(F.col("piece").isNotNull(), F.array(F.from_json("piece", record_schema))).alias(field))
