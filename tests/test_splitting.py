@@ -1,10 +1,14 @@
 """Documents cut at braces against the reader of whole documents."""
 
 import json
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import pytest
+from pyspark import cloudpickle
 
 from wardbook.plans.export_queries import _document_lines
 from wardbook.sources import exports as ex
@@ -165,6 +169,13 @@ def test_blocks_of_whole_and_cut_files_of_many_documents(spark, small_splits, tm
     assert found(ex.read_split_data_values(spark, str(folder))) == found(whole)
 
 
+def test_executors_need_not_have_the_package(tmp_path):
+    walk = cloudpickle.dumps(splitting._found_rows(b"dataValues", {}))
+    code = "import pickle, sys; assert not [*pickle.load(sys.stdin.buffer)([])]; assert 'wardbook' not in sys.modules"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], input=walk, cwd=tmp_path, env=env, check=True)
+
+
 def test_documents_are_written_by_record(spark, tmp_path):
     rows = [(d, json.dumps(record(i, value="{"))) for d in (1, 2, None) for i in range(20 if d else 1)]
     lines = _document_lines(spark.createDataFrame(rows, "document long, record string"))

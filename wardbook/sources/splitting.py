@@ -21,17 +21,22 @@ records are read.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardbook.sources.tables import Workspace, query_workspace
 
+# Executors get the walk's code with the task and need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The characters that structure JSON, and how each changes the depth.
 QUOTE, BACKSLASH, BRACKET, BRACE = b'"\\[{'
 SIGNS = np.zeros(256, bool)
